@@ -125,7 +125,7 @@ near AS (
     FROM apexes a JOIN line l ON a.track = l.track) WHERE rn = 1)"""
 
 
-def apexes(spark: SparkSession, sf: str) -> DataFrame:
-    """The projected apexes: track, corner, gap_m, idx, dist_m."""
+def apexes(spark: SparkSession, sf: str, points: DataFrame | None = None) -> DataFrame:
+    """The projected apexes: track, corner, gap_m, idx, dist_m. At most four rows per track."""
     wide, names = apex_columns(spark, sf)
-    return geometry.nearest_vertex(line(spark, sf), wide, names)
+    return geometry.nearest_vertex(line(spark, sf) if points is None else points, wide, names)

@@ -195,8 +195,9 @@ def wide_lap_table(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(F.year("o_orderdate").alias("season"), F.col("o_orderdate").alias("weather_ts"))
         .agg(F.max("o_totalprice").alias("temperature"))
     )
+    line = materialize(b.line(spark, sf))
     tracks = wide_laps.corner_table(
-        b.line(spark, sf), b.apexes(spark, sf), n_corners=len(b.APEX_VERTICES)
+        line, b.apexes(spark, sf, line), n_corners=len(b.APEX_VERTICES)
     ).withColumnRenamed("track", "race_round")
     wide = wide_laps.assemble(
         laps,

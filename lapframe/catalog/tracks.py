@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lapframe import bindings as b
 from lapframe.catalog.registry import query
 from lapframe.operators import geometry
+from lapframe.session import materialize
 
 _V = b.VERTICES_SQL
 
@@ -46,8 +47,8 @@ _SPACED = """spaced AS (SELECT near.*, CAST(row_number() OVER w AS BIGINT) AS co
        round(spacing_m, 4) AS spacing_m, round(final_straight_m, 4) AS final_straight_m FROM spaced"""
 )
 def corner_spacing(spark: SparkSession, sf: str) -> DataFrame:
-    totals = geometry.track_totals(b.line(spark, sf))
-    rows = geometry.corner_spacing(b.apexes(spark, sf), totals)
+    line = materialize(b.line(spark, sf))
+    rows = geometry.corner_spacing(b.apexes(spark, sf, line), geometry.track_totals(line), fits=True)
     return _round(
         rows.select("track", "corner", "corner_no", "spacing_m", "final_straight_m"),
         4,
@@ -65,10 +66,10 @@ def corner_spacing(spark: SparkSession, sf: str) -> DataFrame:
     FROM e"""
 )
 def corner_elev_change(spark: SparkSession, sf: str) -> DataFrame:
-    line = b.line(spark, sf)
-    apexes = b.apexes(spark, sf).select("track", "corner", "dist_m")
+    line = materialize(b.line(spark, sf))
+    apexes = materialize(b.apexes(spark, sf, line).select("track", "corner", "dist_m"))
     heights = geometry.interpolate(apexes, line, "dist_m", "dist_m", ["elevation_m"])
-    rows = geometry.corner_elevation_change(heights)
+    rows = geometry.corner_elevation_change(heights, fits=True)
     return _round(
         rows.select("track", "corner", "elevation_m", "elev_change_m"),
         7,
@@ -91,7 +92,7 @@ def corner_elev_change(spark: SparkSession, sf: str) -> DataFrame:
       AS elevation_m FROM hit WHERE rn = 1"""
 )
 def interp_elevation(spark: SparkSession, sf: str) -> DataFrame:
-    line = b.line(spark, sf)
+    line = materialize(b.line(spark, sf))
     # From one eighth before the start to one eighth beyond the end, to meet both clamps.
     spots = geometry.track_totals(line).select(
         "track", "total_m", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("k")
@@ -105,12 +106,12 @@ def interp_elevation(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {_V}, {b.APEX_SQL},
     seg AS (SELECT *, lead(dist_m) OVER w AS next_m, lead(x) OVER w AS next_x, lead(y) OVER w AS next_y
             FROM line WINDOW w AS (PARTITION BY track ORDER BY idx)),
-    spots AS (SELECT track, corner, dist_m AS apex_m, s,
+    probes AS (SELECT track, corner, dist_m AS apex_m, s,
                 greatest(0, least(total_m, dist_m + (s - 1) * 15.0)) AS at_m
               FROM near JOIN totals USING (track), (SELECT unnest([0, 1, 2]) AS s)),
     hit AS (SELECT p.*, seg.dist_m, next_m, x, y, next_x, next_y,
               row_number() OVER (PARTITION BY p.track, corner, s ORDER BY seg.dist_m DESC) AS rn
-            FROM spots p JOIN seg ON p.track = seg.track AND at_m >= seg.dist_m),
+            FROM probes p JOIN seg ON p.track = seg.track AND at_m >= seg.dist_m),
     pt AS (SELECT track, corner, s, coalesce(x + (next_x - x) * (at_m - dist_m) / (next_m - dist_m), x) AS x,
              coalesce(y + (next_y - y) * (at_m - dist_m) / (next_m - dist_m), y) AS y FROM hit WHERE rn = 1),
     t AS (SELECT track, corner, max(x) FILTER (s = 0) AS ax, max(y) FILTER (s = 0) AS ay,
@@ -122,8 +123,9 @@ def interp_elevation(spark: SparkSession, sf: str) -> DataFrame:
       sqrt(pow(ax - cx, 2) + pow(ay - cy, 2)) / (2 * abs(det)), 3) END AS radius_m FROM d"""
 )
 def corner_radius(spark: SparkSession, sf: str) -> DataFrame:
-    line = b.line(spark, sf)
-    rows = geometry.corner_radius(b.apexes(spark, sf), line, geometry.track_totals(line))
+    line = materialize(b.line(spark, sf))
+    apexes = materialize(b.apexes(spark, sf, line))
+    rows = geometry.corner_radius(apexes, line, geometry.track_totals(line))
     return _round(rows.select("track", "corner", "radius_m"), 3, "radius_m")
 
 
@@ -196,8 +198,8 @@ _SAMPLES = """mid AS (SELECT track, dist_m - seg_m / 2 AS dist_m, 200 - 100 * el
   UNION ALL SELECT track, dist_m, 200 + 100 * elevation_m FROM line)"""
 
 
-def _samples(spark: SparkSession, sf: str) -> DataFrame:
-    return b.line(spark, sf).select(
+def _samples(line: DataFrame) -> DataFrame:
+    return line.select(
         "track",
         F.explode(
             F.array(
@@ -220,6 +222,7 @@ def _samples(spark: SparkSession, sf: str) -> DataFrame:
     FROM hit GROUP BY track, corner"""
 )
 def corner_speeds(spark: SparkSession, sf: str) -> DataFrame:
-    apexes = b.apexes(spark, sf).select("track", "corner", "dist_m")
-    rows = geometry.corner_speeds(_samples(spark, sf), apexes, 900.0, 900.0)
+    line = materialize(b.line(spark, sf))
+    apexes = b.apexes(spark, sf, line).select("track", "corner", "dist_m")
+    rows = geometry.corner_speeds(_samples(line), apexes, 900.0, 900.0)
     return _round(rows.drop("dist_m"), 6, "entry_speed", "exit_speed", "max_speed")

@@ -210,9 +210,12 @@ def nearest_vertex(
     )
 
 
-def corner_spacing(apexes: DataFrame, totals: DataFrame) -> DataFrame:
-    """Order corners along the lap. Adds corner_no, spacing_m and, on the last, final_straight_m."""
-    fits = split_hot(apexes, ["track"]) is None
+def corner_spacing(apexes: DataFrame, totals: DataFrame, fits: bool = False) -> DataFrame:
+    """Order corners along the lap. Adds corner_no, spacing_m and, on the last, final_straight_m.
+
+    ``fits`` says that a track has few corners by construction, as after ``nearest_vertex``.
+    """
+    fits = fits or split_hot(apexes, ["track"]) is None
     order = ["dist_m", "corner"]
     ranked = row_numbers(apexes, ["track"], order, "corner_no", fits=fits)
     spaced = neighbours(
@@ -237,10 +240,12 @@ def corner_spacing(apexes: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def corner_elevation_change(corners: DataFrame, elevation: str = "elevation_m") -> DataFrame:
+def corner_elevation_change(
+    corners: DataFrame, elevation: str = "elevation_m", fits: bool = False
+) -> DataFrame:
     """Elevation of the next corner minus this one; null on the last."""
     return neighbours(
-        corners, ["track"], ["dist_m", "corner"], leads={"_next": (elevation, 1)}
+        corners, ["track"], ["dist_m", "corner"], leads={"_next": (elevation, 1)}, fits=fits
     ).withColumn("elev_change_m", F.col("_next") - F.col(elevation)).drop("_next")
 
 

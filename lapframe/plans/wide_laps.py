@@ -12,9 +12,12 @@ from lapframe.operators import geometry, joins
 
 
 def corner_table(line: DataFrame, apexes: DataFrame, n_corners: int) -> DataFrame:
-    """Per track: the length, and the distance of each corner from the one before."""
+    """Per track: the length, and the distance of each corner from the one before.
+
+    ``apexes`` comes from ``nearest_vertex`` and so has at most ``n_corners`` rows per track.
+    """
     totals = geometry.track_totals(line)
-    spaced = geometry.corner_spacing(apexes, totals)
+    spaced = geometry.corner_spacing(apexes, totals, fits=True)
     wide = geometry.corners_wide(spaced, {"distance": "spacing_m"}, n_corners)
     return wide.join(totals.withColumnRenamed("total_m", "track_length"), "track")
 
@@ -30,15 +33,16 @@ def track_features(
 
     ``line`` holds vertices with x, y and dist_m; ``apexes`` track, corner, dist_m; ``profile``
     track, distance_m, elevation_m; ``samples`` track, dist_m, speed of the representative lap.
+    Line and apexes are read several times, so pass materialized tables.
     """
     totals = geometry.track_totals(line)
-    spaced = geometry.corner_spacing(apexes.select("track", "corner", "dist_m"), totals)
+    spaced = geometry.corner_spacing(apexes.select("track", "corner", "dist_m"), totals, fits=True)
     radius = geometry.corner_radius(apexes, line, totals).select("track", "corner", "radius_m")
     speeds = geometry.corner_speeds(samples, apexes.select("track", "corner", "dist_m")).drop("dist_m")
     heights = geometry.interpolate(
         apexes.select("track", "corner", "dist_m"), profile, "dist_m", "distance_m", ["elevation_m"]
     )
-    rise = geometry.corner_elevation_change(heights).select("track", "corner", "elev_change_m")
+    rise = geometry.corner_elevation_change(heights, fits=True).select("track", "corner", "elev_change_m")
     corners = (
         spaced.join(radius, ["track", "corner"], "left")
         .join(rise, ["track", "corner"], "left")

@@ -61,7 +61,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage by writing a table to the shared folder and reading it back.
+
+    A lost executor then costs no recomputation, later readers prune columns, and the
+    planner knows the true size. Use it for what several later steps share.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
