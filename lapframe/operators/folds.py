@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from lapframe.operators.ordered import row_numbers
 from lapframe.operators.skew import same_keys
 
+CHUNK = 1_000_000
+
 
 def group_folds(df: DataFrame, keys: Sequence[str], n_folds: int) -> DataFrame:
     """One row per group with its size ``n`` and ``fold``.
@@ -30,10 +32,16 @@ def group_folds(df: DataFrame, keys: Sequence[str], n_folds: int) -> DataFrame:
             if count:
                 steps.append((run["n"], fold, loads[fold], count))
                 loads[fold] += count * run["n"]
-    spark = df.sparkSession
+    made = df.sparkSession.createDataFrame(
+        steps, "size bigint, fold int, load bigint, count bigint"
+    )
+    # Very many groups of one size: start chunks first, so that no task makes all their places.
+    start = F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1, F.lit(CHUNK))
+    stop = F.least(F.col("_from") + CHUNK - 1, F.col("count") - 1)
     slots = (
-        spark.createDataFrame(steps, "size bigint, fold int, load bigint, count bigint")
-        .withColumn("_t", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1)))
+        made.withColumn("_from", F.explode(start))
+        .repartition("size", "fold", "_from")
+        .withColumn("_t", F.explode(F.sequence("_from", stop)))
         .select("size", "fold", (F.col("load") + F.col("size") * F.col("_t")).alias("level"))
     )
     slots = row_numbers(slots, ["size"], ["level", "fold"], "_slot").select("size", "fold", "_slot")

@@ -38,8 +38,8 @@ def lap_at(
     Laps of one key must not overlap. The latest lap begun is then the only candidate, so
     the interval join is an as-of step plus a bound, with no inequality join.
     """
-    kept = laps.select(*keys, lap_start, lap_end, *columns)
-    found = last_known(samples, kept, keys, sample_time, lap_start, "_lap")
+    kept = list(dict.fromkeys([*keys, lap_start, lap_end, *columns]))
+    found = last_known(samples, laps.select(*kept), keys, sample_time, lap_start, "_lap")
     inside = F.col(sample_time) < F.col("_lap")[lap_end]
     return found.select(
         *samples.columns, *[F.when(inside, F.col("_lap")[c]).alias(c) for c in columns]
@@ -55,9 +55,8 @@ def as_of(
     columns: Sequence[str],
 ) -> DataFrame:
     """The latest history row at or before each row, per key."""
-    found = last_known(
-        rows, history.select(*keys, history_time, *columns), keys, time, history_time, "_past"
-    )
+    kept = list(dict.fromkeys([*keys, history_time, *columns]))
+    found = last_known(rows, history.select(*kept), keys, time, history_time, "_past")
     return found.select(*rows.columns, *[F.col("_past")[c].alias(c) for c in columns])
 
 

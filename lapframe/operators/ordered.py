@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lapframe.operators.skew import same_keys, split_hot
 from lapframe.session import materialize, max_group_rows
@@ -46,14 +46,14 @@ def over_groups(
         return step(df, keys, order)
 
     n_blocks = max(2, -(-split.hot_rows // max_group_rows(df.sparkSession, max_rows)))
-    # A hash of the row breaks ties the same way everywhere, so a long run of equal
-    # order values can be cut as well.
-    hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    # A row number breaks ties, so a long run of equal rows can be cut as well. It depends on
+    # the task that made it, so it is written down before anything relies on it.
+    numbered = materialize(split.hot.withColumn("_mix", F.monotonically_increasing_id()))
     order = [*order, "_mix"]
     blocked = materialize(
-        split.hot.withColumn("_mix", F.xxhash64(*hashable))
-        .repartitionByRange(n_blocks, *keys, *order)
-        .withColumn("_block", F.spark_partition_id())
+        numbered.repartitionByRange(n_blocks, *keys, *order).withColumn(
+            "_block", F.spark_partition_id()
+        )
     )
     block_keys = [*keys, "_block"]
     # One row per (group, block), numbered within the group; as small as the block count.
@@ -218,14 +218,11 @@ def last_known(
     Among right rows at one time, the greatest in column order wins.
     """
     keys = list(keys)
-    right_cols = [c for c in right.columns if c not in keys]
-    rest = sorted(c for c in right_cols if c != right_time)
     right_rows = right.where(F.col(right_time).isNotNull()).select(
         *keys,
         F.col(right_time).alias("_t"),
         F.lit(0).alias("_tag"),
-        F.struct(*[F.col(c) for c in right_cols]).alias(payload),
-        F.struct(F.lit(0).alias("_z"), *[F.col(c) for c in rest]).alias("_tie"),
+        F.struct(*[F.col(c) for c in right.columns if c not in keys]).alias(payload),
     )
     left_rows = left.withColumns({"_t": F.col(left_time), "_tag": F.lit(1)})
     both = left_rows.unionByName(right_rows, allowMissingColumns=True)
@@ -235,6 +232,6 @@ def last_known(
         return rows.withColumn(payload, F.last(payload, ignorenulls=True).over(w))
 
     done = over_groups(
-        both, keys, ["_t", "_tag", "_tie"], step, lasts=[payload], max_rows=max_rows, fits=fits
+        both, keys, ["_t", "_tag", payload], step, lasts=[payload], max_rows=max_rows, fits=fits
     )
     return done.where(F.col("_tag") == 1).select(*left.columns, payload)

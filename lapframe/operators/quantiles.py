@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lapframe.operators.skew import same_keys, split_hot
+from lapframe.session import materialize, max_group_rows
+
+# A task holds the distinct values of a group while ``percentile`` runs, and of up to 128
+# groups at once, so groups must be far smaller here than where rows are only sorted.
+GROUP_ROWS = 50_000
 
 # Half width of the bracket searched around each percentile, as a share of the group.
 _BRACKET = 0.0005
@@ -24,7 +29,8 @@ def percentiles(
     """One row per group: the keys and an array with the exact percentiles of ``value``.
 
     Groups a task can hold use the built-in ``percentile``. Larger ones are narrowed with
-    a mergeable sketch first, see ``_narrowed``. Without keys the whole input is one group.
+    a mergeable sketch first, see ``_narrowed``. Without keys the whole input is one group,
+    held alone, so the session's group limit applies to it.
     """
     keys = list(keys)
     values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
@@ -33,7 +39,8 @@ def percentiles(
     by = keys or ["_all"]
     if not keys:
         values = values.withColumn("_all", F.lit(1))
-    split = split_hot(values, by, max_rows)
+    limit = max_group_rows(df.sparkSession, max_rows)
+    split = split_hot(values, by, min(limit, GROUP_ROWS) if keys else limit)
     if split is None:
         return _built_in(values, keys, fractions, name)
     cold = _built_in(split.cold, by, fractions, name)
@@ -63,12 +70,14 @@ def _narrowed(
     grid = sorted(
         {min(1.0, max(0.0, p + d)) for p in fractions for d in (-_BRACKET, _BRACKET)}
     )
-    cuts = values.groupBy(*keys).agg(
-        F.array_distinct(
-            F.percentile_approx("_v", [float(g) for g in grid], _ACCURACY)
-        ).alias("_cuts")
+    cuts = materialize(
+        values.groupBy(*[F.col(k).alias(f"_c_{k}") for k in keys]).agg(
+            F.array_distinct(
+                F.percentile_approx("_v", [float(g) for g in grid], _ACCURACY)
+            ).alias("_cuts")
+        ),
+        "cuts",
     )
-    cuts = F.broadcast(cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts"))
     placed = (
         values.join(cuts, same_keys(values, cuts, [(k, f"_c_{k}") for k in keys]))
         .withColumn("_bin", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
@@ -98,16 +107,18 @@ def _narrowed(
         .distinct()
     )
     w = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_i", "_at", "_rank")
-    located = bins.join(
-        w,
-        same_keys(bins, w, [(k, f"_w_{k}") for k in keys])
-        & (F.col("_rank") >= F.col("_before"))
-        & (F.col("_rank") < F.col("_before") + F.col("_in")),
-    ).select(*keys, "_bin", "_before", "_i", "_at", "_rank")
-
-    targets = F.broadcast(
-        located.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_bin").alias("_t_bin"))
-        .distinct()
+    located = materialize(
+        bins.join(
+            w,
+            same_keys(bins, w, [(k, f"_w_{k}") for k in keys])
+            & (F.col("_rank") >= F.col("_before"))
+            & (F.col("_rank") < F.col("_before") + F.col("_in")),
+        ).select(*keys, "_bin", "_before", "_i", "_at", "_rank"),
+        "ranks",
+    )
+
+    targets = located.select(
+        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_bin").alias("_t_bin")
     )
     inside = placed.join(
         targets,
@@ -129,7 +140,7 @@ def _narrowed(
         *[F.col(k).alias(f"_l_{k}") for k in [*keys, "_bin"]], "_before", "_i", "_at", "_rank"
     )
     hits = ranked.join(
-        F.broadcast(loc),
+        loc,
         same_keys(ranked, loc, [(k, f"_l_{k}") for k in [*keys, "_bin"]])
         & (F.col("_rank") - F.col("_before") < F.col("_end"))
         & (F.col("_rank") - F.col("_before") >= F.col("_end") - F.col("_copies")),

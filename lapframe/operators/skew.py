@@ -26,16 +26,17 @@ class Split:
 def split_hot(df: DataFrame, keys: list[str], max_rows: int | None = None) -> Split | None:
     """Separate groups above the row limit, or return None when there are none.
 
-    The check is one pre-aggregated count over the key columns, and one row comes
-    back to the driver. At most rows / limit groups can be hot, which bounds the broadcast.
+    The check is one pre-aggregated count over the key columns, and one row comes back to the
+    driver. The hot keys are written to a table, at most rows / limit of them, so the planner
+    knows its true size when it picks the join: broadcast if small, shuffled if not.
     """
     limit = max_group_rows(df.sparkSession, max_rows)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
     n_hot, hot_rows = sizes.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if not n_hot:
         return None
-    hot_keys = materialize(sizes)
-    probe = F.broadcast(hot_keys.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+    hot_keys = materialize(sizes, "hot-keys")
+    probe = hot_keys.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
     on = same_keys(df, probe, [(k, f"_hot_{k}") for k in keys])
     return Split(
         cold=df.join(probe, on, "left_anti"),
