@@ -18,6 +18,7 @@ def lag_features(
     order: Sequence[str],
     lags: dict[str, Sequence[int]],
     fill: float | None = None,
+    fits: bool = False,
 ) -> DataFrame:
     """Positional lags ``{column}_lag{n}`` within each driver's race, after filtering.
 
@@ -33,7 +34,7 @@ def lag_features(
     }
     if not wanted:
         return df
-    out = neighbours(df, keys, order, lags=wanted)
+    out = neighbours(df, keys, order, lags=wanted, fits=fits)
     return out if fill is None else out.fillna(fill, subset=list(wanted))
 
 

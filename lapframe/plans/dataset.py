@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from lapframe.config import FeatureConfig
 from lapframe.functions.text import group_key
 from lapframe.operators import clean, features
+from lapframe.session import max_group_rows
 
 
 @dataclass
@@ -26,8 +27,7 @@ class FeatureSet:
 
 
 def prepare(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """Trim names, coerce booleans, validate, filter, derive categories and lags. Lazy but for
-    the boolean check and the group size check."""
+    """Trim names, coerce booleans, validate, filter and derive the categories."""
     rows = clean.coerce_booleans(clean.trim_names(df))
     rows = clean.clean_laps(
         rows,
@@ -37,8 +37,30 @@ def prepare(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
         cfg.max_lap,
         "PitDuration" if cfg.drop_pit_laps else None,
     )
-    rows = features.with_team(features.with_compound(rows))
-    return features.lag_features(rows, cfg.driver_keys, cfg.lap_order, cfg.lags)
+    return features.with_team(features.with_compound(rows))
+
+
+@dataclass
+class Profile:
+    """What one pass over the prepared rows tells: which columns hold values, and group sizes."""
+
+    filled: set[str]
+    largest_group: int
+    most_filled: dict[str, int]  # greatest number of values of a column in one group
+
+
+def profile(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Profile:
+    """One job, pre-aggregated per group, and one row back to the driver."""
+    columns = list(columns)
+    per_group = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(columns)],
+    )
+    row = per_group.agg(
+        F.max("_n"), *[F.max(f"_{i}") for i in range(len(columns))]
+    ).first()
+    most = {c: n or 0 for c, n in zip(columns, row[1:])}
+    return Profile({c for c, n in most.items() if n}, row[0] or 0, most)
 
 
 def build(
@@ -56,8 +78,6 @@ def build(
     left out before nulls are filled. ``fill=None`` leaves nulls in place.
     """
     rows = prepare(df, cfg)
-    lags = [f"{c}_lag{n}" for c, steps in cfg.lags.items() for n in steps]
-    lags = [c for c in lags if c in rows.columns]
     base = clean.without(
         clean.names_with(rows, cfg.numeric), cfg.exclude_exact, cfg.exclude_prefixes
     )
@@ -71,7 +91,19 @@ def build(
         )
         if c in numeric and c not in base
     ]
+    seen = None
+    if names is None and all(k in rows.columns for k in cfg.driver_keys):
+        lagged = [c for c in cfg.lags if c in rows.columns]
+        seen = profile(rows, cfg.driver_keys, dict.fromkeys([*base, *flags, *lagged]))
+    fits = seen is not None and seen.largest_group <= max_group_rows(df.sparkSession)
     hot, levels = features.one_hot(rows, cfg.categorical, levels, cfg.max_levels)
+    rows = features.lag_features(rows, cfg.driver_keys, cfg.lap_order, cfg.lags, fits=fits)
+    lags = {
+        f"{c}_lag{n}": (c, n)
+        for c, steps in cfg.lags.items()
+        for n in steps
+        if f"{c}_lag{n}" in rows.columns
+    }
     taken = {c.lower() for c in [*base, *lags, *flags]}
     made = {
         **{c: F.col(f"`{c}`").cast("double") for c in [*base, *lags, *flags]},
@@ -81,11 +113,31 @@ def build(
     kept = {k: F.col(k) for k in keys if k not in made}
     kept["season_race"] = group_key(*[F.col(k) for k in cfg.group_keys])
     if names is None:
-        wide = rows.select(*[e.alias(n) for n, e in made.items()])
-        names = clean.non_null_columns(wide, list(made))
+        names = _with_values(rows, made, lags, seen)
     chosen = []
     for n in names:
         value = made.get(n, F.lit(None).cast("double"))
         chosen.append((value if fill is None else F.coalesce(value, F.lit(fill))).alias(n))
     frame = rows.select(*[e.alias(k) for k, e in kept.items()], *chosen)
     return FeatureSet(frame, names, levels)
+
+
+def _with_values(
+    rows: DataFrame, made: dict, lags: dict[str, tuple[str, int]], seen: Profile | None
+) -> list[str]:
+    """The feature columns that are not null throughout.
+
+    The profile settles nearly all of them: a group with more than n values of a column gives
+    its lag of n steps a value. Only what stays open is looked up in the lagged rows.
+    """
+    if seen is None:
+        wide = rows.select(*[e.alias(n) for n, e in made.items()])
+        return clean.non_null_columns(wide, list(made))
+    base = set(seen.most_filled)
+    empty = {c for c in made if c in base and c not in lags and c not in seen.filled}
+    empty |= {c for c, (source, _) in lags.items() if source not in seen.filled}
+    open_ = [
+        c for c, (source, n) in lags.items() if c not in empty and seen.most_filled[source] <= n
+    ]
+    found = set(clean.non_null_columns(rows, open_))
+    return [c for c in made if c not in empty and (c not in open_ or c in found)]

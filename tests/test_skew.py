@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lapframe.operators import folds, ordered, quantiles
+from lapframe.operators import folds, geometry, ordered, quantiles
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +100,60 @@ def test_share_out_equals_one_by_one():
             now[f] += size
             want[f] += 1
         assert folds._share_out(loads, size, groups) == want
+
+
+@pytest.fixture(scope="module")
+def tracks(spark):
+    """One track holds most vertices."""
+    rng = random.Random(5)
+    rows = []
+    for track, n in (("long", 400), ("short", 20), ("tiny", 3)):
+        lon, lat = 10.0, 45.0
+        for i in range(n):
+            rows.append((track, i, lon, lat, rng.uniform(0, 50)))
+            lon, lat = lon + rng.uniform(0, 0.0006), lat + rng.uniform(-0.0003, 0.0003)
+    return spark.createDataFrame(
+        rows, "track string, idx int, lon double, lat double, elevation_m double"
+    ).repartition(3).cache()
+
+
+def _track_tables(tracks):
+    line = geometry.plane_distance(geometry.local_xy(tracks))
+    samples = geometry.resample(geometry.sphere_segments(tracks), 25.0)
+    totals = geometry.track_totals(line)
+    apexes = line.where("idx % 9 = 1").select(
+        "track", F.concat(F.lit("c"), F.col("idx").cast("string")).alias("corner"),
+        (F.col("dist_m") + 1.5).alias("dist_m"),
+    )
+    spaced = geometry.corner_spacing(apexes, totals)
+    radius = geometry.corner_radius(apexes, line, totals)
+    heights = geometry.interpolate(apexes, line, "dist_m", "dist_m", ["elevation_m"])
+    return [
+        line.select("track", "idx", F.round("dist_m", 6).alias("dist_m")),
+        samples.select("track", F.round("sample_m", 5).alias("m"), F.round("lon", 9).alias("lon")),
+        spaced.select("track", "corner", "corner_no", F.round("spacing_m", 5).alias("s")),
+        radius.select("track", "corner", F.round("radius_m", 3).alias("r")),
+        geometry.corner_elevation_change(heights).select(
+            "track", "corner", F.round("elev_change_m", 6).alias("e")
+        ),
+    ]
+
+
+def test_track_geometry(tracks, same, small_groups):
+    plain = _track_tables(tracks)
+    expected = [t.cache() for t in plain]
+    for t in expected:
+        t.count()
+    small_groups(35)
+    for got, want in zip(_track_tables(tracks), expected):
+        same(got, want)
+
+
+def test_resample_covers_the_track_once(tracks):
+    got = geometry.resample(geometry.sphere_segments(tracks), 25.0).toPandas()
+    ends = geometry.sphere_segments(tracks).groupBy("track").agg(F.max("dist_m").alias("m")).collect()
+    for track, total in ends:
+        marks = sorted(got[got.track == track].sample_m)
+        assert marks[-1] == total
+        assert marks[:-1] == [25.0 * i for i in range(len(marks) - 1)]
+        assert len(marks) - 1 == -(-total // 25.0)
