@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapframe import bindings as b
-from lapframe.catalog.registry import query
+from lapframe.catalog.registry import ENTRIES, query
 from lapframe.operators import geometry
+from lapframe.plans import wide_laps
 from lapframe.session import materialize
 
 _V = b.VERTICES_SQL
@@ -223,6 +224,47 @@ def _samples(line: DataFrame) -> DataFrame:
 )
 def corner_speeds(spark: SparkSession, sf: str) -> DataFrame:
     line = materialize(b.line(spark, sf))
-    apexes = b.apexes(spark, sf, line).select("track", "corner", "dist_m")
+    apexes = materialize(b.apexes(spark, sf, line).select("track", "corner", "dist_m"))
     rows = geometry.corner_speeds(_samples(line), apexes, 900.0, 900.0)
     return _round(rows.drop("dist_m"), 6, "entry_speed", "exit_speed", "max_speed")
+
+
+_MEASURES = {
+    "radius": "radius_m",
+    "distance": "spacing_m",
+    "elev_change": "elev_change_m",
+    "entry_speed": "entry_speed",
+    "exit_speed": "exit_speed",
+    "max_speed": "max_speed",
+}
+_PARTS = ("corner_spacing", "corner_radius", "corner_elev_change", "corner_speeds")
+
+
+@query(
+    "WITH "
+    + ", ".join(f"part_{n} AS ({ENTRIES[n].sql})" for n in _PARTS)
+    + " SELECT track, "
+    + ", ".join(
+        f"max({column}) FILTER (corner_no = {i}) AS corner_{i}_{name}"
+        for i in range(1, len(b.APEX_VERTICES) + 1)
+        for name, column in _MEASURES.items()
+    )
+    + " FROM "
+    + " JOIN ".join(f"part_{n}" + (" USING (track, corner)" if i else "") for i, n in enumerate(_PARTS))
+    + " GROUP BY track"
+)
+def track_features(spark: SparkSession, sf: str) -> DataFrame:
+    line = materialize(b.line(spark, sf))
+    apexes = materialize(b.apexes(spark, sf, line))
+    profile = line.select("track", F.col("dist_m").alias("distance_m"), "elevation_m")
+    n = len(b.APEX_VERTICES)
+    wide = wide_laps.track_features(line, apexes, profile, _samples(line), n, 900.0)
+    digits = {"radius": 3, "distance": 4, "elev_change": 7}
+    return wide.select(
+        "track",
+        *[
+            F.round(f"corner_{i}_{name}", digits.get(name, 6)).alias(f"corner_{i}_{name}")
+            for i in range(1, n + 1)
+            for name in _MEASURES
+        ],
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -52,9 +53,13 @@ def clean_laps(
     pit_column: str | None = None,
     pit_limit: float = config.PIT_SECONDS,
 ) -> DataFrame:
-    """Keep complete rows with a plausible lap time, and optionally no pit laps."""
+    """Keep complete rows with a plausible lap time, and optionally no pit laps.
+
+    Plain comparisons, so that the scan can skip row groups by them.
+    """
     require_columns(df, required)
-    out = df.dropna(subset=list(required)).where(F.col(lap_time).between(low, high))
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
+    out = df.where(complete & F.col(lap_time).between(low, high))
     if pit_column and pit_column in df.columns:
         out = out.where(F.coalesce(F.col(pit_column), F.lit(0.0)) <= pit_limit)
     return out

@@ -24,11 +24,9 @@ def vertices(df: DataFrame, track: str, coordinates: str) -> DataFrame:
 
 
 def origins(points: DataFrame) -> DataFrame:
-    """The first vertex of every track, found by a mergeable aggregate."""
-    return (
-        points.groupBy("track")
-        .agg(F.min_by(F.struct("lat", "lon"), "idx").alias("_o"))
-        .select("track", F.col("_o.lat").alias("lat0"), F.col("_o.lon").alias("lon0"))
+    """The first vertex of every track: plain numbers, so a hash aggregate without a sort."""
+    return points.groupBy("track").agg(
+        F.min_by("lat", "idx").alias("lat0"), F.min_by("lon", "idx").alias("lon0")
     )
 
 
@@ -48,16 +46,20 @@ def local_xy(points: DataFrame, origin: DataFrame | None = None) -> DataFrame:
 
 
 def _with_segments(points: DataFrame, length: Column, previous: dict[str, str]) -> DataFrame:
-    """Add the previous vertex, the length from it (seg_m), and the distance since the start
-    at the previous vertex (from_m) and at this one (dist_m)."""
+    """Add the previous vertex, the length from it (seg_m), the distance since the start at
+    the previous vertex (from_m) and at this one (dist_m), and whether it is the last (is_end)."""
     fits = split_hot(points, ["track"]) is None
     linked = neighbours(
         points,
         ["track"],
         ["idx"],
         lags={name: (column, 1) for name, column in previous.items()},
+        leads={"_next": ("idx", 1)},
         fits=fits,
-    ).withColumn("seg_m", F.coalesce(length, F.lit(0.0)))
+    )
+    linked = linked.withColumns(
+        {"seg_m": F.coalesce(length, F.lit(0.0)), "is_end": F.col("_next").isNull()}
+    ).drop("_next")
 
     def step(rows: DataFrame, part: list[str], by: list[str]) -> DataFrame:
         w = Window.partitionBy(*part).orderBy(*by)
@@ -76,11 +78,11 @@ def _with_segments(points: DataFrame, length: Column, previous: dict[str, str])
 def plane_distance(points: DataFrame) -> DataFrame:
     """Cumulative distance in the local plane; needs x and y. Adds seg_m and dist_m."""
     step = F.hypot(F.col("x") - F.col("_px"), F.col("y") - F.col("_py"))
-    return _with_segments(points, step, {"_px": "x", "_py": "y"}).drop("_px", "_py", "from_m")
+    return _with_segments(points, step, {"_px": "x", "_py": "y"}).drop("_px", "_py", "from_m", "is_end")
 
 
 def sphere_segments(points: DataFrame) -> DataFrame:
-    """Cumulative great-circle distance. Adds prev_lat, prev_lon, seg_m, from_m and dist_m."""
+    """Cumulative great-circle distance. Adds prev_lat, prev_lon, seg_m, from_m, dist_m and is_end."""
     step = haversine(F.col("prev_lat"), F.col("prev_lon"), F.col("lat"), F.col("lon"))
     return _with_segments(points, step, {"prev_lat": "lat", "prev_lon": "lon"})
 
@@ -89,26 +91,25 @@ def resample(segments: DataFrame, step_m: float = SAMPLE_STEP_M) -> DataFrame:
     """Points every ``step_m`` along each track, plus the end point at its true distance.
 
     Takes ``sphere_segments``. Each segment (from, to] makes the samples that fall into it, so
-    nothing is searched and a long track spreads over as many tasks as it has vertices.
+    nothing is searched or joined, and a long track spreads over as many tasks as it fills.
     """
     first = F.floor(F.col("from_m") / step_m) + 1
     last = F.floor(F.col("dist_m") / step_m)
-    marks = F.when(F.col("prev_lat").isNull(), F.array(F.lit(0).cast("bigint"))).when(
-        last >= first, F.sequence(first, last)
+    nothing = F.array().cast("array<double>")
+    marks = F.when(F.col("prev_lat").isNull(), F.array(F.lit(0.0))).when(
+        last >= first, F.transform(F.sequence(first, last), lambda k: k * F.lit(float(step_m)))
     )
-    ends = segments.groupBy("track").agg(
-        F.max_by(F.struct("dist_m", "lon", "lat"), "idx").alias("_e")
+    # The end point takes the place of a mark that falls exactly on it.
+    inner = F.filter(
+        F.coalesce(marks, nothing), lambda m: ~F.col("is_end") | (m < F.col("dist_m"))
     )
-    inner = (
-        segments.withColumn("_k", F.explode(marks))
-        .withColumn("sample_m", F.col("_k") * F.lit(float(step_m)))
-        .withColumn(
-            "_share",
-            F.when(
-                F.col("seg_m") > 0,
-                (F.col("sample_m") - F.col("from_m")) / F.col("seg_m"),
-            ).otherwise(F.lit(1.0)),
-        )
+    end = F.when(F.col("is_end"), F.array("dist_m")).otherwise(nothing)
+    share = F.when(
+        F.col("seg_m") > 0, (F.col("sample_m") - F.col("from_m")) / F.col("seg_m")
+    ).otherwise(F.lit(1.0))
+    return (
+        segments.withColumn("sample_m", F.explode(F.concat(inner, end)))
+        .withColumn("_share", F.when(F.col("sample_m") == F.col("dist_m"), 1.0).otherwise(share))
         .select(
             "track",
             "sample_m",
@@ -116,14 +117,6 @@ def resample(segments: DataFrame, step_m: float = SAMPLE_STEP_M) -> DataFrame:
             along(F.coalesce("prev_lat", "lat"), F.col("lat"), F.col("_share")).alias("lat"),
         )
     )
-    # A mark that falls exactly on the end is the end point.
-    inner = inner.join(
-        ends.select("track", F.col("_e.dist_m").alias("_total")), "track"
-    ).where(F.col("sample_m") < F.col("_total")).drop("_total")
-    end = ends.select(
-        "track", F.col("_e.dist_m").alias("sample_m"), F.col("_e.lon"), F.col("_e.lat")
-    )
-    return inner.unionByName(end)
 
 
 def interpolate(
@@ -349,6 +342,11 @@ def corners_long(
     return meta.unpivot(list(keys), present, "corner", value).where(F.col(value).isNotNull())
 
 
+def most_corners(corners: DataFrame) -> int:
+    """The greatest number of corners of any track, for ``corners_wide``."""
+    return corners.agg(F.max("corner_no")).first()[0] or 0
+
+
 def corners_wide(
     corners: DataFrame, measures: dict[str, str], n_corners: int
 ) -> DataFrame:

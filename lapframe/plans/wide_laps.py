@@ -28,6 +28,7 @@ def track_features(
     profile: DataFrame,
     samples: DataFrame,
     n_corners: int,
+    speed_window_m: float = geometry.SPEED_WINDOW_M,
 ) -> DataFrame:
     """All corner features of every track in one plan, one row per track.
 
@@ -38,7 +39,9 @@ def track_features(
     totals = geometry.track_totals(line)
     spaced = geometry.corner_spacing(apexes.select("track", "corner", "dist_m"), totals, fits=True)
     radius = geometry.corner_radius(apexes, line, totals).select("track", "corner", "radius_m")
-    speeds = geometry.corner_speeds(samples, apexes.select("track", "corner", "dist_m")).drop("dist_m")
+    speeds = geometry.corner_speeds(
+        samples, apexes.select("track", "corner", "dist_m"), speed_window_m, speed_window_m
+    ).drop("dist_m")
     heights = geometry.interpolate(
         apexes.select("track", "corner", "dist_m"), profile, "dist_m", "distance_m", ["elevation_m"]
     )
