@@ -170,7 +170,7 @@ def race_baseline(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {PREDICTIONS_SQL}, bins AS (
        SELECT least(CAST(floor((error + 20) / 0.5) AS INT) + 1, 80) AS bin FROM preds
        WHERE error BETWEEN -20 AND 20)
-    SELECT bin, CAST(count(*) AS BIGINT) AS n, -20 + (bin - 1) * 0.5 AS bin_start FROM bins GROUP BY bin"""
+    SELECT bin, CAST(count(*) AS BIGINT) AS n, CAST(-20 + (bin - 1) * 0.5 AS DOUBLE) AS bin_start FROM bins GROUP BY bin"""
 )
 def residual_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.histogram(predictions(spark, sf), "error", -20, 20, 80)

@@ -59,7 +59,8 @@ def normalize_laps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT year(l_shipdate) AS season, month(l_shipdate) AS race_round, l_suppkey AS driver_id,
+    """SELECT CAST(year(l_shipdate) AS INT) AS season, CAST(month(l_shipdate) AS INT) AS race_round,
+       l_suppkey AS driver_id,
        l_orderkey * 10 + l_linenumber AS lap_number, l_extendedprice / 1000 AS lap_time
        FROM lineitem WHERE l_tax > 0 AND l_extendedprice / 1000 BETWEEN 40 AND 300"""
 )
@@ -106,7 +107,7 @@ def _track_periods(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, month(o_orderdate) - 3 AS "RoundNumber" FROM orders
+    """SELECT o_orderkey, CAST(month(o_orderdate) - 3 AS INT) AS "RoundNumber" FROM orders
        WHERE month(o_orderdate) - 3 >= 1"""
 )
 def valid_rounds(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,7 +172,7 @@ def drop_all_null_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1.0 WHEN 'O' THEN 0.0 END AS deleted,
+    """SELECT o_orderkey, CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS DOUBLE) AS deleted,
        o_orderpriority FROM orders"""
 )
 def coerce_booleans(spark: SparkSession, sf: str) -> DataFrame:

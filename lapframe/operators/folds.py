@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapframe.operators.ordered import row_numbers
 from lapframe.operators.skew import same_keys
+from lapframe.session import materialize
 
 CHUNK = 1_000_000
 
@@ -22,7 +23,8 @@ def group_folds(df: DataFrame, keys: Sequence[str], n_folds: int) -> DataFrame:
     groups meet their fold in a join on (size, position).
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # One row per group, read three times below.
+    sizes = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
     runs = sizes.groupBy("n").agg(F.count(F.lit(1)).alias("groups")).orderBy(F.desc("n"))
     loads = [0] * n_folds
     steps = []

@@ -10,8 +10,10 @@ from lapframe.operators.skew import same_keys, split_hot
 from lapframe.session import materialize, max_group_rows
 
 # A task holds the distinct values of a group while ``percentile`` runs, and of up to 128
-# groups at once, so groups must be far smaller here than where rows are only sorted.
+# groups at once, so groups must be far smaller here than where rows are only sorted. A
+# group without keys is the only one.
 GROUP_ROWS = 50_000
+SINGLE_GROUP_ROWS = 1_000_000
 
 # Half width of the bracket searched around each percentile, as a share of the group.
 _BRACKET = 0.0005
@@ -30,7 +32,7 @@ def percentiles(
 
     Groups a task can hold use the built-in ``percentile``. Larger ones are narrowed with
     a mergeable sketch first, see ``_narrowed``. Without keys the whole input is one group,
-    held alone, so the session's group limit applies to it.
+    and held alone.
     """
     keys = list(keys)
     values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
@@ -40,7 +42,7 @@ def percentiles(
     if not keys:
         values = values.withColumn("_all", F.lit(1))
     limit = max_group_rows(df.sparkSession, max_rows)
-    split = split_hot(values, by, min(limit, GROUP_ROWS) if keys else limit)
+    split = split_hot(values, by, min(limit, GROUP_ROWS if keys else SINGLE_GROUP_ROWS))
     if split is None:
         return _built_in(values, keys, fractions, name)
     cold = _built_in(split.cold, by, fractions, name)

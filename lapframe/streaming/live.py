@@ -76,7 +76,8 @@ class LatestTable:
     """Newest row per key in a folder: one snapshot plus one small delta per micro-batch.
 
     A delta is written below its batch id, so a batch that runs twice replaces itself.
-    ``compact`` folds the deltas into a new snapshot and never touches a folder being read.
+    ``compact`` writes the current rows as the snapshot of a new folder, for a stream that
+    continues there, and never touches the folder being read.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]):
@@ -98,7 +99,7 @@ class LatestTable:
         return latest(rows.select(*columns.names), self.keys, self.order).select(*columns.names)
 
     def compact(self, columns: T.StructType, target: str) -> LatestTable:
-        """Write the current rows as the first delta of a new table folder and return that table."""
+        """The current rows as the snapshot of a new table."""
         self.read(columns).write.mode("errorifexists").parquet(f"{target}/snapshot")
         return LatestTable(self.spark, target, self.keys, self.order)
 
