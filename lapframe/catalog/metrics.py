@@ -8,6 +8,7 @@ from lapframe import bindings as b
 from lapframe import config
 from lapframe.catalog.registry import query
 from lapframe.operators import clean, evaluate, folds
+from lapframe.operators.quantiles import percentiles
 from lapframe.session import materialize
 
 # The deterministic predictor: the race median, and bands at its residual percentiles.
@@ -120,7 +121,7 @@ def fold_metrics(spark: SparkSession, sf: str) -> DataFrame:
             F.array(*[F.lit(i) for i in range(config.FOLDS)]), F.array("fold")
         ))
     )
-    fallback = evaluate.percentiles(training, ["held_out"], "baseline", [0.5], "_m").select(
+    fallback = percentiles(training, ["held_out"], "baseline", [0.5], "_m").select(
         F.col("held_out").alias("fold"), F.col("_m")[0].alias("pred_lap_time")
     )
     rows = folds.with_folds(laps, fold_table, config.RACE_KEYS).join(fallback, "fold")

@@ -65,3 +65,23 @@ class FeatureConfig:
     max_lap: float = MAX_LAP_SECONDS
     drop_pit_laps: bool = False
     max_levels: int = 200
+
+    @classmethod
+    def from_dict(cls, settings: dict) -> FeatureConfig:
+        """Settings in nested form, as read from a YAML file; what is missing keeps its default."""
+        data, filters = settings.get("data", {}), settings.get("filters", {})
+        given = {
+            "required": data.get("required_columns"),
+            "target": settings.get("target"),
+            "group_keys": settings.get("cv", {}).get("group_by"),
+            "numeric": settings.get("candidate_numeric"),
+            "categorical": settings.get("candidate_categorical"),
+            "flag_prefixes": settings.get("onehot_prefixes"),
+            "exclude_exact": settings.get("exclude_exact"),
+            "exclude_prefixes": settings.get("exclude_prefixes"),
+            "lags": settings.get("lags"),
+            "min_lap": filters.get("min_lap_time_sec"),
+            "max_lap": filters.get("max_lap_time_sec"),
+            "drop_pit_laps": filters.get("drop_pit_in_laps"),
+        }
+        return cls(**{k: v for k, v in given.items() if v is not None})

@@ -131,8 +131,10 @@ def compare(
 def feature_importance(model: PipelineModel, frame: DataFrame) -> DataFrame:
     """Impurity importance per feature, greatest first. One-hot slots carry their level."""
     spark = frame.sparkSession
-    scored = model.transform(frame.limit(0))
-    attrs = scored.schema["features"].metadata["ml_attr"]["attrs"]
+    vectors = frame.limit(0)
+    for stage in model.stages[:-1]:
+        vectors = stage.transform(vectors)
+    attrs = vectors.schema["features"].metadata["ml_attr"]["attrs"]
     slots = {a["idx"]: a["name"] for group in attrs.values() for a in group}
     weights = model.stages[-1].featureImportances.toArray().tolist()
     rows = [(slots.get(i, f"feature_{i}"), w) for i, w in enumerate(weights)]
@@ -220,24 +222,20 @@ class Bundle:
     quantiles: DataFrame | None = None
 
     def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        tables = {"baseline": self.baseline, "quantiles": self.quantiles}
+        kept = [name for name, table in tables.items() if table is not None]
+        meta = json.dumps({"names": self.names, "levels": self.levels, "tables": kept})
         self.model.write().overwrite().save(f"{path}/model")
-        spark = SparkSession.getActiveSession()
-        meta = json.dumps({"names": self.names, "levels": self.levels})
         spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(
             f"{path}/columns"
         )
-        for name in ("baseline", "quantiles"):
-            table = getattr(self, name)
-            if table is not None:
-                table.write.mode("overwrite").parquet(f"{path}/{name}")
+        for name in kept:
+            tables[name].write.mode("overwrite").parquet(f"{path}/{name}")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, residual: bool = False) -> Bundle:
+    def load(cls, spark: SparkSession, path: str) -> Bundle:
         meta = json.loads(spark.read.text(f"{path}/columns").first()["value"])
-        return cls(
-            model=PipelineModel.load(f"{path}/model"),
-            names=meta["names"],
-            levels=meta["levels"],
-            baseline=spark.read.parquet(f"{path}/baseline") if residual else None,
-            quantiles=spark.read.parquet(f"{path}/quantiles"),
-        )
+        tables = {name: spark.read.parquet(f"{path}/{name}") for name in meta["tables"]}
+        model = PipelineModel.load(f"{path}/model")
+        return cls(model, meta["names"], meta["levels"], **tables)

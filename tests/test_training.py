@@ -1,5 +1,6 @@
 """Models on a small learnable table."""
 
+import json
 import random
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lapframe import config
 from lapframe.operators import evaluate, folds
-from lapframe.plans import dataset, lap_model, training
+from lapframe.plans import dataset, lap_model, report, training
 
 SPEC = training.ModelSpec("gbt", {"maxIter": 3, "maxDepth": 3, "stepSize": 0.5, "minInstancesPerNode": 1}, ["compound"])
 
@@ -40,6 +41,11 @@ def test_train_predict_save_load(spark, laps, tmp_path):
     assert oof.count() == laps.count()
     mean_error = laps.agg(F.stddev_pop("lap_time")).first()[0]
     assert rmse(oof) < mean_error
+    report.write(oof, bundle, str(tmp_path / "report"), "oof", oof.limit(0))
+    metrics = json.loads(spark.read.text(str(tmp_path / "report" / "metrics")).first().value)
+    assert metrics["n_rows"] == laps.count() and len(metrics["cv"]) == 3
+    races = spark.read.option("header", "true").csv(str(tmp_path / "report" / "slice_by_race"))
+    assert races.count() == 8 and {r.origin for r in races.collect()} == {"oof"}
     bundle.save(str(tmp_path / "bundle"))
     again = training.Bundle.load(spark, str(tmp_path / "bundle"))
     assert again.names == bundle.names and again.levels == {"compound": ["HARD", "SOFT"]}
@@ -58,7 +64,7 @@ def test_residualized_target(spark, laps, tmp_path):
     bundle, oof = lap_model.train(laps, CFG, spec, 2, residualize=True)
     assert bundle.baseline.count() == 8 and oof.count() == laps.count()
     bundle.save(str(tmp_path / "b"))
-    again = training.Bundle.load(spark, str(tmp_path / "b"), residual=True)
+    again = training.Bundle.load(spark, str(tmp_path / "b"))
     assert rmse(lap_model.predict(laps, CFG, again, carry=["lap_number"])) < rmse(oof)
 
 
@@ -122,3 +128,11 @@ def test_slices_recombine(laps):
         assert n == whole.n
         assert sum(r.mae * r.n for r in part) / n == pytest.approx(whole.mae)
         assert (sum(r.rmse**2 * r.n for r in part) / n) ** 0.5 == pytest.approx(whole.rmse)
+
+
+def test_settings_from_nested_dict():
+    cfg = config.FeatureConfig.from_dict(
+        {"filters": {"min_lap_time_sec": 60, "drop_pit_in_laps": True}, "lags": {"lap_time": [1]}}
+    )
+    assert (cfg.min_lap, cfg.max_lap, cfg.drop_pit_laps) == (60, 300.0, True)
+    assert cfg.lags == {"lap_time": [1]} and cfg.required == config.REQUIRED_COLUMNS
