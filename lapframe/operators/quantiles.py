@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from lapframe.operators.skew import same_keys, split_hot
+from lapframe.operators.ordered import running_sum
+from lapframe.operators.skew import same_keys
 from lapframe.session import materialize, max_group_rows
 
 # A task holds the distinct values of a group while ``percentile`` runs, and of up to 128
@@ -15,9 +16,9 @@ from lapframe.session import materialize, max_group_rows
 GROUP_ROWS = 50_000
 SINGLE_GROUP_ROWS = 1_000_000
 
-# Half width of the bracket searched around each percentile, as a share of the group.
-_BRACKET = 0.0005
-_ACCURACY = 20_000
+# The sketch errs by at most 1 / accuracy of a group's rows; the bracket is several times wider.
+ACCURACY = 20_000
+BRACKET = 4 / ACCURACY
 
 
 def percentiles(
@@ -30,128 +31,124 @@ def percentiles(
 ) -> DataFrame:
     """One row per group: the keys and an array with the exact percentiles of ``value``.
 
-    Groups a task can hold use the built-in ``percentile``. Larger ones are narrowed with
-    a mergeable sketch first, see ``_narrowed``. Without keys the whole input is one group,
-    and held alone.
+    The input is read twice. The first pass gives the size of each group and a mergeable
+    sketch that brackets every percentile. When all groups are small the second pass is the
+    built-in ``percentile``; otherwise it is ``_narrowed``, which never gathers a group.
+    Without keys the whole input is one group.
     """
     keys = list(keys)
-    values = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull()
-    )
     by = keys or ["_all"]
-    if not keys:
-        values = values.withColumn("_all", F.lit(1))
-    limit = max_group_rows(df.sparkSession, max_rows)
-    split = split_hot(values, by, min(limit, GROUP_ROWS if keys else SINGLE_GROUP_ROWS))
-    if split is None:
-        return _built_in(values, keys, fractions, name)
-    cold = _built_in(split.cold, by, fractions, name)
-    hot = _narrowed(split.hot, split.hot_keys, by, fractions, name)
-    return cold.unionByName(hot).select(*keys, name)
-
-
-def _built_in(values: DataFrame, keys: list[str], fractions: Sequence[float], name: str):
-    wanted = F.array(*[F.lit(float(p)) for p in fractions])
-    return values.groupBy(*keys).agg(F.percentile("_v", wanted).alias(name))
+    values = df.select(
+        *(keys or [F.lit(1).alias("_all")]), F.col(value).cast("double").alias("_v")
+    ).where(F.col("_v").isNotNull())
+    grid = [min(1.0, max(0.0, p + d)) for p in fractions for d in (-BRACKET, BRACKET)]
+    sketch = materialize(
+        values.groupBy(*[F.col(k).alias(f"_s_{k}") for k in by]).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx("_v", grid, ACCURACY).alias("_cuts"),
+        ),
+        "sketch",
+    )
+    limit = min(
+        max_group_rows(df.sparkSession, max_rows), GROUP_ROWS if keys else SINGLE_GROUP_ROWS
+    )
+    largest = sketch.agg(F.max("_n")).first()[0] or 0
+    if largest <= limit:
+        wanted = F.array(*[F.lit(float(p)) for p in fractions])
+        return values.groupBy(*keys).agg(F.percentile("_v", wanted).alias(name))
+    return _narrowed(values, sketch, by, fractions, name, max_rows).select(*keys, name)
 
 
 def _narrowed(
     values: DataFrame,
-    sizes: DataFrame,
+    sketch: DataFrame,
     keys: list[str],
     fractions: Sequence[float],
     name: str,
+    max_rows: int | None,
 ) -> DataFrame:
-    """Exact percentiles of huge groups in three passes, none of which gathers a group.
+    """Count values one by one inside the brackets and in bulk between them.
 
-    1. A sketch proposes cut points just below and above each percentile.
-    2. Values are counted per interval between cuts. The counts say which interval holds
-       each wanted rank, whatever the error of the sketch.
-    3. Only those intervals are counted value by value and scanned in order.
+    The running count says where each wanted rank lies, whatever the error of the sketch. A
+    rank that misses its bracket, which the margin makes all but impossible, is looked up in
+    its bulk interval by one more pass over the values.
     """
-    grid = sorted(
-        {min(1.0, max(0.0, p + d)) for p in fractions for d in (-_BRACKET, _BRACKET)}
+    pairs = [(k, f"_s_{k}") for k in keys]
+    cuts, v = F.col("_cuts"), F.col("_v")
+    bracketed = F.lit(False)
+    for i in range(len(fractions)):
+        bracketed = bracketed | v.between(cuts[2 * i], cuts[2 * i + 1])
+    placed = values.join(
+        sketch.drop("_n"), same_keys(values, sketch, pairs)
+    ).select(
+        *keys,
+        F.size(F.filter(cuts, lambda c: c < v)).alias("_bin"),
+        F.when(bracketed, v).alias("_kept"),
+        "_v",
     )
-    cuts = materialize(
-        values.groupBy(*[F.col(k).alias(f"_c_{k}") for k in keys]).agg(
-            F.array_distinct(
-                F.percentile_approx("_v", [float(g) for g in grid], _ACCURACY)
-            ).alias("_cuts")
-        ),
-        "cuts",
-    )
-    placed = (
-        values.join(cuts, same_keys(values, cuts, [(k, f"_c_{k}") for k in keys]))
-        .withColumn("_bin", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
-        .select(*keys, "_bin", "_v")
-    )
-    up_to = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = (
-        placed.groupBy(*keys, "_bin")
-        .agg(F.count(F.lit(1)).alias("_in"))
-        .withColumn("_before", F.sum("_in").over(up_to) - F.col("_in"))
+    # Within a bin the bulk (null) lies below a kept value, and null sorts first.
+    counts = materialize(
+        placed.groupBy(*keys, "_bin", "_kept").agg(F.count(F.lit(1)).alias("_copies")), "counts"
     )
+    ranked = running_sum(counts, keys, ["_bin", "_kept"], "_copies", "_end", max_rows)
+    wanted = _wanted_ranks(sketch, pairs, fractions)
+    hits = materialize(_at_rank(ranked, wanted, keys), "hits")
+
+    missed = hits.where(F.col("_kept").isNull())
+    found = hits.where(F.col("_kept").isNotNull()).withColumnRenamed("_kept", "_p")
+    if not missed.isEmpty():
+        spots = missed.select(*[F.col(k).alias(f"_m_{k}") for k in [*keys, "_bin"]]).distinct()
+        bulk = placed.where(F.col("_kept").isNull())
+        inside = bulk.join(
+            spots, same_keys(bulk, spots, [(k, f"_m_{k}") for k in [*keys, "_bin"]]), "left_semi"
+        )
+        one_by_one = materialize(
+            inside.groupBy(*keys, "_bin", "_v").agg(F.count(F.lit(1)).alias("_copies")), "bulk"
+        )
+        ranked = running_sum(one_by_one, [*keys, "_bin"], ["_v"], "_copies", "_end", max_rows)
+        open_ = missed.select(
+            *[F.col(k).alias(f"_w_{k}") for k in [*keys, "_bin"]],
+            "_i",
+            "_at",
+            (F.col("_rank") - (F.col("_end") - F.col("_copies"))).alias("_rank"),
+        )
+        looked_up = _at_rank(ranked, open_, [*keys, "_bin"])
+        found = found.select(*keys, "_i", "_at", "_p").unionByName(
+            looked_up.select(*keys, "_i", "_at", F.col("_v").alias("_p"))
+        )
+    low, high = F.min("_p"), F.max("_p")
+    share = F.max("_at") - F.floor(F.max("_at"))
+    points = found.groupBy(*keys, "_i").agg((low + (high - low) * share).alias("_p"))
+    # As many points per group as fractions were asked for.
+    listed = F.array_sort(F.collect_list(F.struct("_i", "_p")))
+    return points.groupBy(*keys).agg(F.transform(listed, lambda s: s["_p"]).alias(name))
 
-    # The two ranks (from 0) around every percentile: few rows per group.
+
+def _wanted_ranks(
+    sketch: DataFrame, pairs: list[tuple[str, str]], fractions: Sequence[float]
+) -> DataFrame:
+    """The two ranks (from 0) around each percentile: two rows per group and fraction."""
     spots = F.array(
         *[
             F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("at"))
             for i, p in enumerate(fractions)
         ]
     )
-    wanted = (
-        sizes.select(*keys, F.explode(spots).alias("_spot"))
-        .select(*keys, F.col("_spot.i").alias("_i"), F.col("_spot.at").alias("_at"))
-        .withColumn(
-            "_rank",
-            F.explode(F.array(F.floor("_at").cast("bigint"), F.ceil("_at").cast("bigint"))),
-        )
-        .distinct()
+    names = [F.col(s).alias(f"_w_{k}") for k, s in pairs]
+    rows = sketch.select(*names, F.explode(spots).alias("_spot")).select(
+        *[f"_w_{k}" for k, _ in pairs], F.col("_spot.i").alias("_i"), F.col("_spot.at").alias("_at")
     )
-    w = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_i", "_at", "_rank")
-    located = materialize(
-        bins.join(
-            w,
-            same_keys(bins, w, [(k, f"_w_{k}") for k in keys])
-            & (F.col("_rank") >= F.col("_before"))
-            & (F.col("_rank") < F.col("_before") + F.col("_in")),
-        ).select(*keys, "_bin", "_before", "_i", "_at", "_rank"),
-        "ranks",
+    around = F.array_distinct(
+        F.array(F.floor("_at").cast("bigint"), F.ceil("_at").cast("bigint"))
     )
+    return rows.withColumn("_rank", F.explode(around))
 
-    targets = located.select(
-        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_bin").alias("_t_bin")
-    )
-    inside = placed.join(
-        targets,
-        same_keys(placed, targets, [(k, f"_t_{k}") for k in [*keys]])
-        & (placed["_bin"] == targets["_t_bin"]),
-        "left_semi",
-    )
-    in_bin = (
-        Window.partitionBy(*keys, "_bin")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = (
-        inside.groupBy(*keys, "_bin", "_v")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_end", F.sum("_copies").over(in_bin))
-    )
-    loc = located.select(
-        *[F.col(k).alias(f"_l_{k}") for k in [*keys, "_bin"]], "_before", "_i", "_at", "_rank"
-    )
-    hits = ranked.join(
-        loc,
-        same_keys(ranked, loc, [(k, f"_l_{k}") for k in [*keys, "_bin"]])
-        & (F.col("_rank") - F.col("_before") < F.col("_end"))
-        & (F.col("_rank") - F.col("_before") >= F.col("_end") - F.col("_copies")),
-    )
-    low, high = F.min("_v"), F.max("_v")
-    share = F.first("_at") - F.floor(F.first("_at"))
-    points = hits.groupBy(*keys, "_i").agg((low + (high - low) * share).alias("_p"))
-    return points.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", "_p"))), lambda s: s["_p"]).alias(
-            name
-        )
-    )
+
+def _at_rank(ranked: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The counted row that holds each wanted rank."""
+    return ranked.join(
+        wanted,
+        same_keys(ranked, wanted, [(k, f"_w_{k}") for k in keys])
+        & (F.col("_rank") < F.col("_end"))
+        & (F.col("_rank") >= F.col("_end") - F.col("_copies")),
+    ).drop(*[f"_w_{k}" for k in keys])

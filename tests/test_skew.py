@@ -68,6 +68,21 @@ def test_percentiles(skewed):
     assert whole == pytest.approx(list(np.percentile(frame["v"], [100 * p for p in wanted])))
 
 
+def test_percentiles_survive_a_bad_sketch(skewed, monkeypatch):
+    """With brackets that miss, the ranks are found in the intervals between them."""
+    monkeypatch.setattr(quantiles, "ACCURACY", 2)
+    monkeypatch.setattr(quantiles, "BRACKET", 0.0)
+    frame = skewed.toPandas()
+    got = quantiles.percentiles(skewed, ["k"], "v", [0.3, 0.77], "p", max_rows=1).collect()
+    want = {
+        None if k != k else int(k): np.percentile(g["v"], [30, 77])
+        for k, g in frame.groupby("k", dropna=False)
+    }
+    for r in got:
+        assert r.p == pytest.approx(list(want[r.k]), abs=1e-9)
+    assert len(got) == len(want)
+
+
 def _greedy(sizes, n):
     loads, out = [0] * n, {}
     for g, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
