@@ -17,6 +17,7 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 def interval_seconds(interval: Column) -> Column:
     """Seconds of a day-time interval as a double. Summed as a decimal, so nothing is lost."""
+    interval = interval.cast("interval day to second")
     whole = (
         F.extract(F.lit("DAY"), interval).cast("bigint") * SECONDS_PER_DAY
         + F.extract(F.lit("HOUR"), interval) * 3600

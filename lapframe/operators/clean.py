@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lapframe import config
+from lapframe.functions.times import interval_seconds
 
 
 def trim_names(df: DataFrame) -> DataFrame:
@@ -27,6 +28,12 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def intervals_to_seconds(df: DataFrame) -> DataFrame:
+    """Every day-time interval column as seconds, so that sources agree before a union."""
+    found = [f.name for f in df.schema if isinstance(f.dataType, T.DayTimeIntervalType)]
+    return df.withColumns({c: interval_seconds(F.col(c)) for c in found}) if found else df
+
+
 def normalize(
     df: DataFrame,
     renames: dict[str, str],
@@ -36,9 +43,9 @@ def normalize(
 ) -> DataFrame:
     """Rename to the common schema, add constants, cast keys, and keep the listed columns.
 
-    Names that are absent from the input are skipped by the rename.
+    Names that are absent from the input are skipped by the rename. Intervals become seconds.
     """
-    out = df.withColumnsRenamed(renames)
+    out = intervals_to_seconds(df.withColumnsRenamed(renames))
     out = out.withColumns({k: F.lit(v) for k, v in (literals or {}).items()})
     out = out.withColumns({k: F.col(k).try_cast("bigint") for k in int_keys})
     return out.select(*keep)
@@ -127,12 +134,16 @@ def drop_all_null(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
     return df.drop(*[n for n in names if n not in kept])
 
 
-def coerce_booleans(df: DataFrame) -> DataFrame:
+def coerce_booleans(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     """Text columns that hold any true/false become 1, 0, and null for everything else.
 
-    One job decides for all text columns. A column without true/false is left alone.
+    One job decides for all text columns, or for the named ones only. A column without
+    true/false is left alone.
     """
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    wanted = set(df.columns if names is None else names)
+    text = [
+        f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name in wanted
+    ]
     if not text:
         return df
     seen = df.agg(

@@ -215,10 +215,11 @@ def last_known(
     Both sides are united and sorted once; the newest right row is carried forward, so
     no pairs are formed. The right columns arrive as one struct named ``payload``, null
     when nothing precedes. A right row with null values still counts as the match.
-    Among right rows at one time, the greatest in column order wins.
+    Among right rows at one time, the greatest in column order wins. As in any join, a null
+    key or time matches nothing.
     """
     keys = list(keys)
-    right_rows = right.where(F.col(right_time).isNotNull()).select(
+    right_rows = right.dropna(subset=[*keys, right_time]).select(
         *keys,
         F.col(right_time).alias("_t"),
         F.lit(0).alias("_tag"),

@@ -28,7 +28,12 @@ class FeatureSet:
 
 def prepare(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """Trim names, coerce booleans, validate, filter and derive the categories."""
-    rows = clean.coerce_booleans(clean.trim_names(df))
+    rows = clean.trim_names(df)
+    # Only columns that can become features are worth the look at their values.
+    used = clean.names_with(
+        rows, [*cfg.required, *cfg.numeric, *cfg.categorical, *cfg.lags], cfg.flag_prefixes
+    )
+    rows = clean.coerce_booleans(rows, used)
     rows = clean.clean_laps(
         rows,
         cfg.required,

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from lapframe import config
 from lapframe.operators.evaluate import error_metrics
 from lapframe.operators.folds import with_folds
+from lapframe.session import shared_dir
 
 SEED = 42
 PREDICTION = "pred_lap_time"
@@ -68,7 +69,11 @@ def pipeline(spec: ModelSpec, names: Sequence[str], target: str = config.TARGET)
 def fit(
     frame: DataFrame, names: Sequence[str], spec: ModelSpec, target: str = config.TARGET
 ) -> PipelineModel:
-    """Fit on all rows. Pass a materialized frame: a tree model reads it once per level."""
+    """Fit on all rows. Pass a materialized frame: a tree model reads it once per level.
+
+    Boosting checkpoints its running residuals every few trees once a folder is set for it.
+    """
+    shared_dir(frame.sparkSession)
     return pipeline(spec, names, target).fit(frame)
 
 

@@ -98,10 +98,10 @@ def weather_documents(spark: SparkSession, root: str, body: T.StructType) -> Dat
         .option("pathGlobFilter", "*.json")
         .json(root)
         .select(
-            F.regexp_extract(path, tail, 1).cast("int").alias("year"),
+            F.regexp_extract(path, tail, 1).try_cast("int").alias("year"),
             F.regexp_extract(path, tail, 2).alias("slug"),
             F.regexp_extract(path, tail, 3).alias("label"),
-            F.regexp_extract(path, tail, 4).cast("date").alias("date"),
+            F.regexp_extract(path, tail, 4).try_cast("date").alias("date"),
             *body.names,
         )
     )

@@ -147,6 +147,33 @@ def test_as_of_keeps_a_match_with_null(spark):
     assert (row.rt, row.v) == (4, None)
 
 
+def test_as_of_ignores_null_keys_and_times(spark):
+    left = spark.createDataFrame([(None, 5), (1, None), (1, 5)], "k int, t int")
+    right = spark.createDataFrame([(None, 1, "a"), (1, None, "b"), (1, 2, "c")], "k int, rt int, v string")
+    out = joins.as_of(left, right, ["k"], "t", "rt", ["v"])
+    assert {(r.k, r.t): r.v for r in out.collect()} == {(None, 5): None, (1, None): None, (1, 5): "c"}
+
+
+def test_sources_agree_before_a_union(spark):
+    first = spark.sql("select 1 DriverNumber, interval '1' minute + interval '2.5' second LapTime")
+    keep = ["driver_id", "lap_time", "grand_prix"]
+    names = {"DriverNumber": "driver_id", "LapTime": "lap_time"}
+    one = clean.normalize(first, names, keep, ["driver_id"], {"grand_prix": "a"})
+    two = clean.normalize(
+        spark.createDataFrame([("7", 80.0), ("x", 81.0)], "DriverNumber string, LapTime double"),
+        names, keep, ["driver_id"], {"grand_prix": "b"},
+    )
+    got = [tuple(r) for r in one.unionByName(two).orderBy("lap_time").collect()]
+    assert got == [(1, 62.5, "a"), (7, 80.0, "b"), (None, 81.0, "b")]
+
+
+def test_lap_interval_ends(spark):
+    samples = spark.createDataFrame([(1, 5), (1, 12), (1, 25)], "k int, t int")
+    laps = spark.createDataFrame([(1, 0, 10, "a"), (1, 12, 20, "b")], "k int, s int, e int, lap string")
+    out = joins.lap_at(samples, laps, ["k"], "t", "s", "e", ["lap"])
+    assert {r.t: r.lap for r in out.collect()} == {5: "a", 12: "b", 25: None}
+
+
 def test_one_hot_null_is_all_zero(spark):
     df = spark.createDataFrame([("x",), ("y",), (None,)], "c string")
     made, levels = features.one_hot(df, ["c", "absent"])
