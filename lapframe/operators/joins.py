@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lapframe.functions.text import slug
 from lapframe.operators.ordered import last_known
-from lapframe.operators.quantiles import percentiles
+from lapframe.operators.quantiles import SINGLE_GROUP_ROWS, percentiles
 
 
 def attach(
@@ -81,9 +81,16 @@ def lookup_by_slug(
 
 
 def median_of(table: DataFrame, column: str) -> Column:
-    """The median of a column as a scalar subquery, 0 for an empty table."""
-    row = percentiles(table, [], column, [0.5], "_m")
-    return F.coalesce(row.select(F.col("_m")[0]).scalar(), F.lit(0.0))
+    """The median of a column as a scalar subquery, 0 for an empty table.
+
+    Meant for written tables, where the count comes from file footers.
+    """
+    if table.count() <= SINGLE_GROUP_ROWS:
+        middle = table.agg(F.percentile(column, 0.5)).scalar()
+    else:
+        row = percentiles(table, [], column, [0.5], "_m")
+        middle = row.select(F.col("_m")[0]).scalar()
+    return F.coalesce(middle, F.lit(0.0))
 
 
 def with_baseline(

@@ -50,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lapframe-"))
     return context.getCheckpointDir()

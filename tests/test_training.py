@@ -136,3 +136,26 @@ def test_settings_from_nested_dict():
     )
     assert (cfg.min_lap, cfg.max_lap, cfg.drop_pit_laps) == (60, 300.0, True)
     assert cfg.lags == {"lap_time": [1]} and cfg.required == config.REQUIRED_COLUMNS
+
+
+def test_wide_table_as_documented(spark):
+    """Text that shares a flag prefix, leakage columns, flags as words, and odd names."""
+    rows = [
+        (" 2024", 1, 4, lap, 90.0 + lap, "True" if lap % 2 else "False", "SOFT", "McL", "monza", 1.0, 1.0, 0.0, 25.5, 12.0, 3.0, 330.0)
+        for lap in range(1, 6)
+    ]
+    names = [
+        "season ", "race_round", "driver_id", "lap_number", "lap_time", "Driver_NOR", "Compound_type",
+        "Team_name", "grand_prix_(track_name)", "Team_McLaren", "Compound_SOFT", "Compound_HARD",
+        "current_temperature(°C)", "corner_1_radius", "humidity", "SpeedST",
+    ]
+    df = spark.createDataFrame(rows, names).withColumn("season ", F.trim("season ").cast("int"))
+    cfg = config.FeatureConfig(numeric=[*config.CANDIDATE_NUMERIC, "SpeedST"])
+    made = dataset.build(df, cfg, carry=["lap_number", "current_temperature(°C)"])
+    assert made.names == [
+        "humidity", "lap_time_lag1", "lap_time_lag2", "lap_time_lag3",
+        "Driver_NOR", "Team_McLaren", "Compound_SOFT", "Compound_HARD", "driver_id_4",
+    ]
+    first = made.frame.orderBy("lap_number").first()
+    assert (first.Driver_NOR, first.Compound_SOFT, first.lap_time_lag1, first.driver_id) == (1.0, 1.0, 0.0, 4)
+    assert first.season_race == "2024_1" and first["current_temperature(°C)"] == 25.5
