@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapframe import bindings as b
 from lapframe import config
-from lapframe.catalog.registry import query
+from lapframe.catalog.registry import query, settled, settled_sql
 from lapframe.operators import clean, evaluate, joins
 from lapframe.plans import wide_laps
 from lapframe.session import materialize
@@ -116,14 +116,14 @@ def event_coords_lookup(spark: SparkSession, sf: str) -> DataFrame:
     base AS (SELECT season, race_round, median(lap_time) AS baseline FROM clean
              WHERE season <= 1999 GROUP BY ALL)
     SELECT season, race_round, driver_id, lap_number, car_part, lap_time,
-           round(coalesce(baseline, (SELECT median(baseline) FROM base)), 9) AS baseline
+           {settled_sql("coalesce(baseline, (SELECT median(baseline) FROM base))", 9)} AS baseline
     FROM clean LEFT JOIN base USING (season, race_round)"""
 )
 def baseline_lookup(spark: SparkSession, sf: str) -> DataFrame:
     laps = clean.clean_laps(b.laps(spark, sf)).select(*config.REQUIRED_COLUMNS, "car_part")
     base = materialize(evaluate.race_baseline(laps.where("season <= 1999")))
     return joins.with_baseline(laps, base, config.RACE_KEYS).withColumn(
-        "baseline", F.round("baseline", 9)
+        "baseline", settled("baseline", 9)
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapframe import bindings as b
 from lapframe import config
-from lapframe.catalog.registry import query
+from lapframe.catalog.registry import query, settled, settled_sql
 from lapframe.operators import clean, evaluate, folds
 from lapframe.operators.quantiles import percentiles
 from lapframe.session import materialize
@@ -19,8 +19,8 @@ preds AS (SELECT clean.*, baseline AS pred_lap_time, lap_time AS actual,
 q AS (SELECT quantile_cont(-error, 0.1) AS p10, quantile_cont(-error, 0.9) AS p90 FROM preds),
 banded AS (SELECT preds.*, pred_lap_time + p10 AS pred_low, pred_lap_time + p90 AS pred_high
            FROM preds, q)"""
-_METRICS = """CAST(count(*) AS BIGINT) AS n, round(sqrt(avg(error * error)), 6) AS rmse,
-  round(avg(abs(error)), 6) AS mae"""
+_METRICS = f"""CAST(count(*) AS BIGINT) AS n, {settled_sql("sqrt(avg(error * error))")} AS rmse,
+  {settled_sql("avg(abs(error))")} AS mae"""
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,12 +35,13 @@ def banded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: settled(c, digits) for c in columns})
 
 
 @query(
     f"""WITH {PREDICTIONS_SQL} SELECT 'in_sample' AS origin, {_METRICS},
-       round(avg(CAST(actual BETWEEN pred_low AND pred_high AS DOUBLE)), 6) AS coverage FROM banded"""
+       {settled_sql("avg(CAST(actual BETWEEN pred_low AND pred_high AS DOUBLE))")} AS coverage
+       FROM banded"""
 )
 def metrics_overall(spark: SparkSession, sf: str) -> DataFrame:
     rows = evaluate.error_metrics(banded(spark, sf), band=("pred_low", "pred_high"))
@@ -151,7 +152,7 @@ def fastest_lap(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"WITH {PREDICTIONS_SQL} SELECT round(p10, 9) AS p10, round(p90, 9) AS p90 FROM q")
+@query(f"WITH {PREDICTIONS_SQL} SELECT {settled_sql('p10', 9)} AS p10, {settled_sql('p90', 9)} AS p90 FROM q")
 def residual_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(
         evaluate.residual_quantiles(predictions(spark, sf)), "p10", "p90", digits=9
@@ -159,7 +160,7 @@ def residual_quantiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {b.LAPS_SQL} SELECT season, race_round, round(median(lap_time), 9) AS baseline
+    f"""WITH {b.LAPS_SQL} SELECT season, race_round, {settled_sql("median(lap_time)", 9)} AS baseline
        FROM clean GROUP BY ALL"""
 )
 def race_baseline(spark: SparkSession, sf: str) -> DataFrame:
@@ -178,20 +179,19 @@ def residual_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {PREDICTIONS_SQL} SELECT round(avg(error), 6) AS mean_error,
-       round(median(error), 9) AS median_error FROM preds"""
+    f"""WITH {PREDICTIONS_SQL} SELECT {settled_sql("avg(error)")} AS mean_error,
+       {settled_sql("median(error)", 9)} AS median_error FROM preds"""
 )
 def residual_summary(spark: SparkSession, sf: str) -> DataFrame:
     row = evaluate.residual_summary(predictions(spark, sf))
     return row.select(
-        F.round("mean_error", 6).alias("mean_error"),
-        F.round("median_error", 9).alias("median_error"),
+        settled("mean_error").alias("mean_error"), settled("median_error", 9).alias("median_error")
     )
 
 
 @query(
-    """SELECT user_id, date_trunc('day', ts) AS day, round(avg(value), 6) AS value_avg,
-       round(stddev_samp(value), 6) AS value_std, CAST(count(*) AS BIGINT) AS n
+    f"""SELECT user_id, date_trunc('day', ts) AS day, {settled_sql("avg(value)")} AS value_avg,
+       {settled_sql("stddev_samp(value)")} AS value_std, CAST(count(*) AS BIGINT) AS n
        FROM events GROUP BY ALL"""
 )
 def sensor_stats_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,7 +202,8 @@ def sensor_stats_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {PREDICTIONS_SQL} SELECT season, race_round, driver_id, lap_number, car_part,
-       round(pred_lap_time, 9) AS pred_lap_time, actual, round(error, 9) AS error FROM preds"""
+       {settled_sql("pred_lap_time", 9)} AS pred_lap_time, actual, {settled_sql("error", 9)} AS error
+       FROM preds"""
 )
 def baseline_predictions(spark: SparkSession, sf: str) -> DataFrame:
     rows = predictions(spark, sf).select(
@@ -213,8 +214,9 @@ def baseline_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {PREDICTIONS_SQL} SELECT season, race_round, driver_id, lap_number, car_part,
-       round(pred_low, 8) AS pred_low, round(pred_high, 8) AS pred_high,
-       round(pred_lap_time - 1, 9) AS default_low, round(pred_lap_time + 1, 9) AS default_high
+       {settled_sql("pred_low", 8)} AS pred_low, {settled_sql("pred_high", 8)} AS pred_high,
+       {settled_sql("pred_lap_time - 1", 9)} AS default_low,
+       {settled_sql("pred_lap_time + 1", 9)} AS default_high
        FROM banded"""
 )
 def prediction_bands(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,8 +226,8 @@ def prediction_bands(spark: SparkSession, sf: str) -> DataFrame:
         *config.DRIVER_RACE_KEYS,
         "lap_number",
         "car_part",
-        F.round("low", 8).alias("pred_low"),
-        F.round("high", 8).alias("pred_high"),
-        F.round("pred_low", 9).alias("default_low"),
-        F.round("pred_high", 9).alias("default_high"),
+        settled("low", 8).alias("pred_low"),
+        settled("high", 8).alias("pred_high"),
+        settled("pred_low", 9).alias("default_low"),
+        settled("pred_high", 9).alias("default_high"),
     )

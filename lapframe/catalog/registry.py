@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -29,3 +29,15 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
         return run
 
     return register
+
+
+def settled(column: str, digits: int = 6) -> Column:
+    """A mean rounded for comparison. Sums differ in the last bits with the order of rows, and
+    a mean of prices can lie exactly between two roundings. So the noise is rounded away four
+    digits further down first, in decimals, and a tie then rounds the same way everywhere."""
+    fine = F.col(column).cast(f"decimal(28,{digits + 4})")
+    return F.round(fine, digits).cast("double")
+
+
+def settled_sql(expression: str, digits: int = 6) -> str:
+    return f"CAST(round(CAST({expression} AS DECIMAL(28,{digits + 4})), {digits}) AS DOUBLE)"

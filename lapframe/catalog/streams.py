@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lapframe import bindings as b
-from lapframe.catalog.registry import query
+from lapframe.catalog.registry import query, settled, settled_sql
 from lapframe.catalog.tables import MESSAGE, MESSAGE_DEFAULTS
 from lapframe.session import new_path
 from lapframe.streaming import live
@@ -47,8 +47,8 @@ def stream_latest_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, date_trunc('day', ts) AS window_start, round(avg(value), 6) AS value_avg,
-       round(stddev_samp(value), 6) AS value_std, CAST(count(*) AS BIGINT) AS n
+    f"""SELECT user_id, date_trunc('day', ts) AS window_start, {settled_sql("avg(value)")} AS value_avg,
+       {settled_sql("stddev_samp(value)")} AS value_std, CAST(count(*) AS BIGINT) AS n
        FROM events GROUP BY ALL"""
 )
 def stream_sensor_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,7 +63,7 @@ def stream_sensor_stats(spark: SparkSession, sf: str) -> DataFrame:
     return table.read(columns).select(
         "user_id",
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.round("value_avg", 6).alias("value_avg"),
-        F.round("value_std", 6).alias("value_std"),
+        settled("value_avg").alias("value_avg"),
+        settled("value_std").alias("value_std"),
         "n",
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapframe import bindings as b
 from lapframe import config
-from lapframe.catalog.registry import query
+from lapframe.catalog.registry import query, settled, settled_sql
 from lapframe.operators import clean, features
 
 _ORDER = 'PARTITION BY season, race_round, driver_id ORDER BY lap_number, car_part, lap_time, "TyreLife"'
@@ -27,8 +27,8 @@ def lag_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {b.LAPS_SQL} SELECT season, race_round, driver_id, lap_number, car_part, lap_time,
-       round(avg(lap_time) OVER w, 9) AS lap_time_roll_mean,
-       round(stddev_samp(lap_time) OVER w, 6) AS lap_time_roll_std
+       {settled_sql("avg(lap_time) OVER w", 9)} AS lap_time_roll_mean,
+       {settled_sql("stddev_samp(lap_time) OVER w")} AS lap_time_roll_std
        FROM clean WINDOW w AS ({_ORDER} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"""
 )
 def rolling_lap_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,8 +38,8 @@ def rolling_lap_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = features.rolling_stats(laps, config.DRIVER_RACE_KEYS, b.LAP_ORDER, "lap_time", 5)
     return rows.drop("TyreLife").withColumns(
         {
-            "lap_time_roll_mean": F.round("lap_time_roll_mean", 9),
-            "lap_time_roll_std": F.round("lap_time_roll_std", 6),
+            "lap_time_roll_mean": settled("lap_time_roll_mean", 9),
+            "lap_time_roll_std": settled("lap_time_roll_std"),
         }
     )
 
