@@ -85,9 +85,11 @@ class LatestTable:
         self.keys, self.order = list(keys), list(order)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        latest(batch, self.keys, self.order).write.mode("overwrite").parquet(
-            f"{self.path}/delta/batch={batch_id}"
-        )
+        self.write_unique(latest(batch, self.keys, self.order), batch_id)
+
+    def write_unique(self, batch: DataFrame, batch_id: int) -> None:
+        """As ``write``, for a batch that holds each key once already."""
+        batch.write.mode("overwrite").parquet(f"{self.path}/delta/batch={batch_id}")
 
     def read(self, columns: T.StructType) -> DataFrame:
         """The table as of now. Snapshots and deltas may overlap: the newest row wins."""
@@ -147,10 +149,13 @@ def windowed_stats(
 
 
 def keep_updates(stats: DataFrame, table: LatestTable, checkpoint: str) -> StreamingQuery:
-    """Upsert changed windows as they change, so open windows are visible too."""
+    """Upsert changed windows as they change, so open windows are visible too.
+
+    An update holds each window and key once, so it is written without another shuffle.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.write(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
+        table.write_unique(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
 
     return (
         stats.writeStream.outputMode("update")
