@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 
 from lapframe.session import materialize
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def pack(table: pa.Table) -> bytes:
@@ -29,6 +29,7 @@ def pack(table: pa.Table) -> bytes:
 
 
 def unpack(blob: bytes | pa.Buffer) -> pa.Table:
+    pa.default_memory_pool().release_unused()  # what the block before has left
     return pa.ipc.open_stream(pa.py_buffer(blob)).read_all()
 
 
@@ -73,31 +74,17 @@ def document_blocks(docs: DataFrame, id_col: Column, text_col: Column, block_byt
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in rechunked(batches, "text", block_bytes):
-            yield pa.RecordBatch.from_pydict(
-                {"block": [uuid.uuid4().int >> 65], "docs": [pack(part)]},
-                pa.schema([("block", pa.int64()), ("docs", pa.binary())]),
-            )
+        for batch in batches:
+            for part in slices(batch, "text", block_bytes):
+                yield pa.RecordBatch.from_pydict(
+                    {"block": [uuid.uuid4().int >> 65], "docs": [pack(part)]},
+                    pa.schema([("block", pa.int64()), ("docs", pa.binary())]),
+                )
 
     rows = docs.select(id_col.cast("long").alias("doc_id"), text_col.cast("string").alias("text"))
     return materialize(rows.mapInArrow(run, "block long, docs binary"), "blocks")
 
 
-def rechunked(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
-    """Tables of about ``limit`` bytes of text from batches of any size."""
-    held: list[pa.Table] = []
-    size = 0
-    for batch in batches:
-        for part in slices(batch, text, limit):
-            held.append(part)
-            size += part.nbytes
-            if size >= limit:
-                yield pa.concat_tables(held).combine_chunks()
-                held, size = [], 0
-    if held:
-        yield pa.concat_tables(held).combine_chunks()
-
-
 def routed(share: np.ndarray, n_shares: int, columns: dict[str, np.ndarray], fixed: dict) -> pa.RecordBatch:
     """One row per share that has entries: ``share``, the fixed values, and each array as binary."""
     order = np.argsort(share, kind="stable")

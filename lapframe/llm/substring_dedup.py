@@ -267,7 +267,7 @@ def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Per document its kept words (joined by one space) and its factors with their sources."""
-    n = partitions(docs)
+    n = 2 * partitions(docs)
     blocks = document_blocks(docs, F.col(id_col), F.col(text_col), block_bytes)
     wanted = blocks.mapInArrow(_anchors(min_words, n), ANCHORS).groupBy("share").applyInArrow(_common, WANTED)
     wanted = wanted.filter(F.length("number") > 0)

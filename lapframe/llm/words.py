@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes hashed in one vector operation.
-SPAN = 1 << 20
+SPAN = 1 << 18
 
 _SPACES = [0x20, *range(0x09, 0x0E)]
 #: Which bytes belong to a word: everything but ASCII white space.
