@@ -35,7 +35,7 @@ TRAIN_ROWS = 20_000
 FOLDS = 5
 MAX_TERMS = 2_000
 CONTEXT_WORDS = 5
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 CACHE_WORDS = 200_000
 
 #: Marks and verbs of quotation, words of address.
@@ -282,7 +282,7 @@ def train(
             share = n_toxic / max(1, n_toxic + n_clean)
             return Model([], np.array([0.0] * FEATURES + [math.log((share + 1e-9) / (1 - share + 1e-9))]))
         schema = "term string, n long"
-        least = max(3, n_toxic // 100)
+        least = max(4, n_toxic // 50)
         own = rows.filter("toxic = 1").select("text").mapInArrow(_counted(None), schema).groupBy("term").agg(F.sum("n").alias("n"))
         frequent = own.filter(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(20 * MAX_TERMS)
         toxic = {r["term"]: r["n"] for r in frequent.collect()}
