@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from lapframe.llm import decontaminate, simhash, substring_dedup
+from lapframe.llm import decontaminate, line_dedup, neighbours, packing, secrets, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op3_simhash": simhash.query,
+    "op4_secrets": secrets.query,
+    "op5_neighbours": neighbours.query,
+    "op6_packing": packing.query,
+    "op7_line_dedup": line_dedup.query,
+    "op8_toxicity": toxicity.query,
     "op10_decontaminate": decontaminate.query,
 }
 
