@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lapframe.llm import decontaminate, line_dedup, neighbours, packing, secrets, simhash, substring_dedup, toxicity
+from lapframe.llm import decontaminate, html_text, line_dedup, neighbours, packing, secrets, simhash, substring_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op2_html_text": html_text.query,
     "op3_simhash": simhash.query,
     "op4_secrets": secrets.query,
     "op5_neighbours": neighbours.query,
