@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from lapframe.llm import decontaminate, html_text, line_dedup, neighbours, packing, secrets, simhash, substring_dedup, toxicity
+from lapframe.llm import chat_format, decontaminate, html_text, line_dedup, neighbours, packing, secrets, simhash, substring_dedup, toxicity
+from lapframe.llm.ship import shipped
 
 QUERIES = {
-    "op1_substring_dedup": substring_dedup.query,
-    "op2_html_text": html_text.query,
-    "op3_simhash": simhash.query,
+    "op1_substring_dedup": shipped(substring_dedup.query),
+    "op2_html_text": shipped(html_text.query),
+    "op3_simhash": shipped(simhash.query),
     "op4_secrets": secrets.query,
-    "op5_neighbours": neighbours.query,
-    "op6_packing": packing.query,
-    "op7_line_dedup": line_dedup.query,
-    "op8_toxicity": toxicity.query,
-    "op10_decontaminate": decontaminate.query,
+    "op5_neighbours": shipped(neighbours.query),
+    "op6_packing": shipped(packing.query),
+    "op7_line_dedup": shipped(line_dedup.query),
+    "op8_toxicity": shipped(toxicity.query),
+    "op9_chat_format": shipped(chat_format.query),
+    "op10_decontaminate": shipped(decontaminate.query),
 }
 
 ORACLES = {
