@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from lapframe.session import materialize
 
@@ -68,7 +69,8 @@ def _table(batch: pa.RecordBatch | pa.Table, begin: int, end: int) -> pa.Table:
 
 
 def document_blocks(docs: DataFrame, id_col: Column, text_col: Column, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Write documents as rows ``block long, docs binary``; ``docs`` unpacks to ``doc_id, text``.
+    """Write documents as rows ``block long, docs binary``; ``docs`` unpacks to ``doc_id, th, text``,
+    ``th`` being a hash of the text.
 
     The table is written to the shared folder, so that a block keeps its number when it is read again.
     """
@@ -81,7 +83,7 @@ def document_blocks(docs: DataFrame, id_col: Column, text_col: Column, block_byt
                     pa.schema([("block", pa.int64()), ("docs", pa.binary())]),
                 )
 
-    rows = docs.select(id_col.cast("long").alias("doc_id"), text_col.cast("string").alias("text"))
+    rows = docs.select(id_col.cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"), text_col.cast("string").alias("text"))
     return materialize(rows.mapInArrow(run, "block long, docs binary"), "blocks")
 
 

@@ -33,7 +33,7 @@ PASS_WORDS = 2_000_000
 U64 = np.uint64
 
 INDEX = "block long, docs binary, n_words binary, terms binary, counts binary, places binary"
-HITS = "block long, row int, doc_id long, n_words long, marks binary, items array<string>"
+HITS = "block long, row int, doc_id long, th long, n_words long, marks binary, items array<string>"
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -53,11 +53,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 place = (np.arange(len(words)) + words.texts_of()).astype(np.uint32)
                 order = np.argsort(h, kind="stable")
                 terms, counts = np.unique(h, return_counts=True)
-                ids = part["doc_id"].combine_chunks()
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": [block.as_py()],
-                        "docs": [_ids(ids)],
+                        "docs": [_ids(part)],
                         "n_words": [words.counts.astype(np.int64).tobytes()],
                         "terms": [terms.tobytes()],
                         "counts": [counts.astype(np.uint32).tobytes()],
@@ -70,10 +69,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return materialize(blocks.mapInArrow(run, INDEX), "postings")
 
 
-def _ids(ids: pa.Array) -> bytes:
-    """Document ids, each after a flag for null."""
+def _ids(part: pa.Table) -> bytes:
+    """Of each document whether its id is null, its id, and the hash of its text."""
+    ids = part["doc_id"].combine_chunks()
     null = np.asarray(ids.is_null()).astype(np.int64)
-    return np.stack([null, np.asarray(ids.fill_null(0)).astype(np.int64)]).tobytes()
+    return np.stack([null, np.asarray(ids.fill_null(0)).astype(np.int64), np.asarray(part["th"])]).tobytes()
 
 
 @dataclass
@@ -204,7 +204,7 @@ def search(index: DataFrame, queries: Queries, within: int | None = None) -> Dat
         q, rare = sent.value
         for batch in batches:
             for row in ({c: batch[c][i] for c in batch.schema.names} for i in range(batch.num_rows)):
-                null, ids = array(row["docs"], np.int64).reshape(2, -1)
+                null, ids, th = array(row["docs"], np.int64).reshape(3, -1)
                 n_words = array(row["n_words"], np.int64)
                 first = np.concatenate([[0], np.cumsum(n_words + 1)])
                 steps = np.zeros(int(first[-1]) + 1, np.int32)
@@ -229,6 +229,7 @@ def search(index: DataFrame, queries: Queries, within: int | None = None) -> Dat
                         "block": pa.array([row["block"].as_py()] * len(ids), pa.int64()),
                         "row": pa.array(np.arange(len(ids), dtype=np.int32)),
                         "doc_id": pa.array(ids, mask=null.astype(bool)),
+                        "th": pa.array(th),
                         "n_words": pa.array(n_words),
                         "marks": pa.array([np.packbits(hit[a : a + n]).tobytes() for a, n in zip(first, n_words)], pa.binary()),
                         "items": pa.array([sorted({q.names[i] for i in f}) for f in found], pa.list_(pa.string())),
@@ -262,7 +263,7 @@ def find_contamination(
     pass_words: int = PASS_WORDS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Per document: ``doc_id, n_words, n_hit, items, marks``."""
+    """Per document: ``doc_id, th, n_words, n_hit, items, items_sha256, marks``; ``th`` is a hash of its text."""
     index = build_index(docs, id_col, text_col, block_bytes)
     found = [search(index, encode(part, window), within) for part in passes(items, item_col, item_text_col, pass_words)]
     if len(found) == 1:
@@ -272,6 +273,7 @@ def find_contamination(
         union = union.unionAll(more)
     merged = union.groupBy("block", "row").agg(
         F.first("doc_id").alias("doc_id"),
+        F.first("th").alias("th"),
         F.first("n_words").alias("n_words"),
         F.collect_list("marks").alias("parts"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -279,7 +281,7 @@ def find_contamination(
     return merged.mapInArrow(_counted, COUNTED)
 
 
-COUNTED = "doc_id long, n_words long, n_hit long, items array<string>, items_sha256 string, marks binary"
+COUNTED = "doc_id long, th long, n_words long, n_hit long, items array<string>, items_sha256 string, marks binary"
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,6 +294,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch["doc_id"],
+                "th": batch["th"],
                 "n_words": batch["n_words"],
                 "n_hit": pa.array([int.from_bytes(m, "big").bit_count() for m in marks], pa.int64()),
                 "items": pa.array(items, pa.list_(pa.string())),
@@ -301,6 +304,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The documents without hits, with all their columns."""
+    last = F.lit((1 << 63) - 1)
+    hit = find_contamination(docs, items, id_col, text_col, **settings).filter("n_hit > 0")
+    hit = materialize(hit.select(F.coalesce("doc_id", last).alias("id"), "th").distinct(), "contaminated")
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), last).alias("id"),
+        F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("th"),
+    )
+    return keyed.join(hit, ["id", "th"], "left_anti").select("row.*")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

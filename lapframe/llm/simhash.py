@@ -44,6 +44,7 @@ NODE_ROWS = 50_000
 #: Leaves of a node of the tree.
 FANOUT = 16
 SECTION = 1 << 22
+LAST = 9223372036854775807
 U64 = np.uint64
 GOLDEN = 0x9E3779B97F4A7C15
 _LANES = U64(0x0101010101010101)
@@ -83,18 +84,20 @@ def majority(h: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long. One pass, no shuffle."""
+    """``doc_id, th, fp``: a hash of the text and the fingerprint, as signed longs. One pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch["text"].cast(pa.large_binary())
             fp = [majority(shingle_hashes(t.as_py() or b"", shingle)) for t in texts]
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch["doc_id"], "fp": pa.array(np.array(fp, np.uint64).view(np.int64))}
+                {"doc_id": batch["doc_id"], "th": batch["th"], "fp": pa.array(np.array(fp, np.uint64).view(np.int64))}
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text_col}`").alias("th"), F.col(f"`{text_col}`").cast("string").alias("text")
+    )
+    return rows.mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def masks(distance: int) -> list[int]:
@@ -248,6 +251,20 @@ def linked_fingerprints(distinct: DataFrame, distance: int = DISTANCE, node_rows
     return routed_rows.groupBy("share").applyInArrow(_linked(distance), "a long, b long")
 
 
+def components_of(prints: DataFrame, distance: int = DISTANCE, node_rows: int = NODE_ROWS) -> DataFrame:
+    """``fp, id, th`` for every distinct fingerprint: the first document of its component.
+
+    ``prints`` is what ``fingerprints`` gives, written. The first has the least id (null ids last), then the
+    least hash of its text.
+    """
+    who = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("id"), "th")
+    distinct = materialize(prints.groupBy("fp").agg(F.min(who).alias("least")), "distinct")
+    roots = components(linked_fingerprints(distinct, distance, node_rows))
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    lowest = named.groupBy("root").agg(F.min("least").alias("first"))
+    return named.join(lowest, "root").select("fp", "first.id", "first.th")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -258,13 +275,21 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id, fp, component_id``: the least id that links reach, one row per document."""
     prints = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(linked_fingerprints(distinct, distance, node_rows))
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+    first = components_of(prints, distance, node_rows).select("fp", F.nullif("id", F.lit(LAST)).alias("component_id"))
+    return prints.join(first, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The first document of every component, with all its columns; of rows that repeat id and text, one."""
+    shingle = settings.pop("shingle", SHINGLE)
+    prints = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    first = materialize(components_of(prints, **settings).select("id", "th").distinct(), "first")
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"),
+        F.xxhash64(f"`{text_col}`").alias("th"),
     )
-    lowest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return keyed.join(first, ["id", "th"], "left_semi").dropDuplicates(["id", "th"]).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
