@@ -10,6 +10,7 @@ tasks: a block is first summed up as a table of the best score from every state
 state at its end, the tables of a transcript are chained to find the states at block borders,
 and each block is then decoded between its borders. Only the tables of one transcript meet in one task.
 
+Inside a turn, blank lines between two others become one, whatever their number.
 Rows of a transcript are ordered by the order column, nulls last, then by text. Rows with a null
 conversation are one transcript. Null texts count as empty, empty rows are blank lines, and a
 transcript of blank lines has no turns. Extra columns are not read.
@@ -225,12 +226,17 @@ def format_chats(
             if not observed:
                 continue
             states = viterbi(model, observed, own[0]["before"], own[0]["after"])
-            ends = [i for i, s in zip(at, states) if s in BEGINS or i == at[0]] + [len(lines)]
-            role = dict(zip(at, states))
-            for number, (a, b) in enumerate(zip(ends, ends[1:])):
-                begins = role[a] in BEGINS
-                kept = [marker(lines[a])[1] if begins else lines[a], *lines[a + 1 : b]]
-                row = (conv, block, number, not begins, ROLES[role[a] // 2], "\n".join(kept).strip("\n"))
+            turns: list[tuple[bool, int, list[str]]] = []
+            for i, state, o in zip(at, states, observed):
+                begins = state in BEGINS
+                if begins or not turns:
+                    turns.append((begins, state // 2, []))
+                    kept = [] if begins or o % 6 < 3 else [""]
+                    turns[-1][2].extend([*kept, marker(lines[i])[1] if begins else lines[i]])
+                else:
+                    turns[-1][2].extend(["", lines[i]] if o % 6 >= 3 else [lines[i]])
+            for number, (begins, role, kept) in enumerate(turns):
+                row = (conv, block, number, not begins, ROLES[role], "\n".join(kept))
                 for name, value in zip(out, row):
                     out[name].append(value)
         kinds = {"conv": pa.int64(), "block": pa.int64(), "number": pa.int32(), "goes_on": pa.bool_(), "role": pa.string(), "text": pa.string()}
@@ -254,7 +260,8 @@ def format_chats(
     turns = numbered.groupBy("conv_id", "turn").agg(
         F.min(F.struct("block", "role"))["role"].alias("role"), F.array_sort(F.collect_list(F.struct("block", "text"))).alias("parts")
     )
-    turns = turns.select("conv_id", "turn", "role", F.array_join(F.col("parts.text"), "\n").alias("text"))
+    text = F.btrim(F.array_join(F.col("parts.text"), "\n"), F.lit("\n"))
+    turns = turns.select("conv_id", "turn", "role", text.alias("text"))
     return turns.withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>\n")))
 
 
