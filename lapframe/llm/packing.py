@@ -34,7 +34,7 @@ from lapframe.session import materialize
 
 TOKENS = 4096
 SHARE_PIECES = 20_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 SLICE_BYTES = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ticket int"
@@ -67,6 +67,8 @@ class WordTokenizer:
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
+        if found is None and not part:
+            return b""
         if found is None:
             shown = part if part.isascii() else "".join(self.alphabet[b] for b in part.encode())
             found = np.array([t.id for t in self.model.tokenize(shown)], np.uint32).tobytes()
@@ -88,22 +90,43 @@ class WordTokenizer:
             self.chunks[chunk] = found
         return found
 
+    #: Chunks of simple letters (whose lower case and normal form are plain) and then simple marks.
+    SIMPLE = (
+        r"^(?P<letters>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]*)"
+        r"(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+    )
+
     def encode(self, texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after another, and where each text's ids begin."""
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
-        ids = [self.chunk(c) if c else b"" for c in coded.dictionary.to_pylist()]
+        simple = pc.extract_regex(coded.dictionary, self.SIMPLE)
+        plain = np.asarray(simple.is_valid())
+        letters = pc.utf8_lower(simple.field("letters").filter(simple.is_valid())).dictionary_encode()
+        marks = simple.field("marks").filter(simple.is_valid()).dictionary_encode()
+        others = coded.dictionary.filter(pc.invert(simple.is_valid())).to_pylist()
+        known = self.parts.get
+        ids = [known(p) or self._part(p) for p in letters.dictionary.to_pylist()]
+        n_letters = len(ids)
+        ids += [self._part(p) for p in marks.dictionary.to_pylist()]
+        n_parts = len(ids)
+        ids += [self.chunk(c) for c in others]
+        # Each distinct chunk is one or two parts: letters and marks, or itself and nothing.
+        pair = np.full((len(plain), 2), len(ids), np.int64)
+        ids.append(b"")
+        pair[plain, 0], pair[plain, 1] = np.asarray(letters.indices), np.asarray(marks.indices) + n_letters
+        pair[~plain, 0] = np.arange(len(others)) + n_parts
         flat = np.frombuffer(b"".join(ids), np.uint32)
         sizes = np.array([len(x) // 4 for x in ids], np.int64)
         begins = np.cumsum(sizes) - sizes
-        at = np.asarray(coded.indices)
+        at = pair[np.asarray(coded.indices)].ravel()
         n = sizes[at]
         total = np.concatenate([[0], np.cumsum(n)])
         place = np.arange(total[-1]) + np.repeat(begins[at] - total[:-1], n)
         edges = np.asarray(split.offsets) - (split.offsets[0].as_py() if len(split) else 0)
-        return flat[place], total[edges]
+        return flat[place], total[2 * edges]
 
 
 _made: dict[int, WordTokenizer] = {}
