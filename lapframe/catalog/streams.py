@@ -52,18 +52,60 @@ def stream_latest_features(spark: SparkSession, sf: str) -> DataFrame:
        FROM events GROUP BY ALL"""
 )
 def stream_sensor_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Events land in files by hour of day, the latest hours first, and each file is a batch, so
+    nearly every window gets rows a day or more late."""
     path = new_path(spark, "stats")
-    stream = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    stats = live.windowed_stats(stream, "ts", ["user_id"], "value")
-    table = live.LatestTable(
-        spark, f"{path}/table", ["user_id", "window_start"], ["batch_id"]
-    )
-    live.finish(live.keep_updates(stats, table, f"{path}/checkpoint"))
-    columns = T.StructType([*stats.schema.fields, T.StructField("batch_id", T.LongType())])
-    return table.read(columns).select(
+    events = b.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    part = (F.lit(3) - F.floor(F.hour("ts") / 6)).cast("int").alias("part")
+    shown = events.select("*", part)
+    for k in range(4):
+        shown.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = live.file_messages(spark, f"{path}/in", events.schema, files_per_batch=1)
+    live.finish(live.keep_stats(stream, "ts", ["user_id"], "value", f"{path}/parts", f"{path}/checkpoint"))
+    return live.read_stats(spark, f"{path}/parts", ["user_id"]).select(
         "user_id",
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         settled("value_avg").alias("value_avg"),
         settled("value_std").alias("value_std"),
         "n",
     )
+
+
+@query(
+    """SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id"""
+)
+def stream_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams with their own checkpoints write into one table, one after the other."""
+    path = new_path(spark, "runs")
+    events = b.table(spark, sf, "events").select("user_id", "ts", "event_id")
+    table = live.LatestTable(spark, f"{path}/table", ["user_id"], ["ts", "event_id"])
+    for k in range(2):
+        events.where(F.col("event_id") % 2 == k).write.parquet(f"{path}/in{k}")
+        stream = live.file_messages(spark, f"{path}/in{k}", events.schema, files_per_batch=1)
+        live.finish(live.keep_latest(stream, table, f"{path}/checkpoint{k}", compact_every=2))
+    return table.read(events.schema)
+
+
+@query(
+    """WITH m AS (SELECT event_id, CASE event_type WHEN 'click' THEN -1
+         ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k, event_type FROM events)
+    SELECT event_id, k, CAST(0.0 AS DOUBLE) AS z, CAST(NULL AS VARCHAR) AS malformed FROM m WHERE event_type <> 'error'
+    UNION ALL SELECT event_id, NULL, NULL, 'no message' FROM m WHERE event_type = 'error'"""
+)
+def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages with NaN tokens get defaults, and malformed ones are set aside, none is lost."""
+    path = new_path(spark, "rejects")
+    events = b.table(spark, sf, "events")
+    told = F.when(F.col("event_type") == "error", "no message").when(
+        F.col("event_type") == "click", F.lit('{"k": -1, "z": NaN}')
+    )
+    events.select("event_id", F.coalesce(told, "props").alias("value")).write.parquet(f"{path}/in")
+    raw = T.StructType.fromDDL("event_id long, value string")
+    stream = live.parse(
+        live.file_messages(spark, f"{path}/in", raw), "value", MESSAGE, MESSAGE_DEFAULTS, ["event_id"], None, "malformed"
+    )
+    table = live.LatestTable(spark, f"{path}/table", ["event_id"], ["k"])
+    live.finish(live.keep_latest(stream, table, f"{path}/checkpoint", "malformed", f"{path}/rejects"))
+    good = table.read(stream.drop("malformed").schema).withColumn("malformed", F.lit(None).cast("string"))
+    bad = spark.read.schema(stream.schema).parquet(f"{path}/rejects").select(*good.columns)
+    return good.unionByName(bad)

@@ -142,7 +142,7 @@ span AS (SELECT *, coalesce(lag(at_m) OVER (PARTITION BY track ORDER BY idx), 0)
 
 @query(
     f"""WITH {_V}, {_SPHERE}, ends AS (SELECT track, max(at_m) AS total FROM path GROUP BY track),
-    marks AS (SELECT track, total, unnest(range(0, CAST(ceil(total / 100.0) AS BIGINT))) * 100.0 AS sample_m FROM ends),
+    marks AS (SELECT track, total, unnest(range(0, CAST(ceil(total / 10.0) AS BIGINT))) * 10.0 AS sample_m FROM ends),
     inner_ AS (SELECT m.track, sample_m,
         CASE WHEN sample_m = 0 THEN lon ELSE plon + (lon - plon) * (sample_m - from_m) / (at_m - from_m) END AS lon,
         CASE WHEN sample_m = 0 THEN lat ELSE plat + (lat - plat) * (sample_m - from_m) / (at_m - from_m) END AS lat
@@ -153,7 +153,7 @@ span AS (SELECT *, coalesce(lag(at_m) OVER (PARTITION BY track ORDER BY idx), 0)
 )
 def resample_polyline(spark: SparkSession, sf: str) -> DataFrame:
     segments = geometry.sphere_segments(b.vertices(spark, sf))
-    rows = geometry.resample(segments, 100.0)
+    rows = geometry.resample(segments)
     return _round(_round(rows, 3, "sample_m"), 8, "lon", "lat")
 
 

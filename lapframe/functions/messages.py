@@ -4,18 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+_BAD = "_malformed"
+
 
 def decode_with_defaults(
-    text: Column, schema: T.StructType, defaults: dict[str, object]
+    text: Column, schema: T.StructType, defaults: dict[str, object], malformed: str | None = None
 ) -> list[Column]:
-    """The fields of a JSON text as columns, with a default for a missing or null field."""
-    record = F.from_json(text, schema)
-    return [
-        F.coalesce(record[f.name], F.lit(defaults[f.name]).cast(f.dataType)).alias(f.name)
-        if f.name in defaults
-        else record[f.name].alias(f.name)
-        for f in schema
-    ]
+    """The fields of a JSON text as columns, with a default for a missing, null or NaN field.
+
+    A text that is null, no JSON, or has a field of another type is malformed. It fails the query,
+    or, when ``malformed`` names a column, arrives there with all fields null, so that it can be
+    set aside. No malformed text turns into a row of defaults.
+    """
+    record = F.from_json(
+        text, T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]), {"columnNameOfCorruptRecord": _BAD}
+    )
+    bad = F.when(record.isNull() | record[_BAD].isNotNull(), F.coalesce(text, F.lit("")))
+    out = []
+    for f in schema:
+        value = record[f.name]
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            value = F.when(~F.isnan(value), value)
+        if f.name in defaults:
+            value = F.coalesce(value, F.lit(defaults[f.name]).cast(f.dataType))
+        if malformed is None:
+            failed = F.raise_error(F.concat(F.lit("malformed message: "), bad)).cast(f.dataType)
+            value = F.when(bad.isNotNull(), failed).otherwise(value)
+        else:
+            value = F.when(bad.isNull(), value)
+        out.append(value.alias(f.name))
+    return out if malformed is None else [*out, bad.alias(malformed)]
 
 
 def encode_rows(df: DataFrame, name: str = "value") -> DataFrame:

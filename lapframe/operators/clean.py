@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lapframe import config
 from lapframe.functions.times import interval_seconds
@@ -40,17 +40,28 @@ def normalize(
     keep: Sequence[str],
     int_keys: Sequence[str] = (),
     literals: dict[str, object] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Rename to the common schema, add constants, cast keys, and keep the listed columns.
 
     Names that are absent from the input are skipped by the rename. Intervals become seconds.
+    A key that is no whole number becomes null; with ``strict`` it fails the query.
     """
     out = intervals_to_seconds(df.withColumnsRenamed(renames))
     out = out.withColumns({k: F.lit(v) for k, v in (literals or {}).items()})
-    out = out.withColumns({k: F.col(k).try_cast("bigint") for k in int_keys})
+    out = out.withColumns({k: _whole(k, strict) for k in int_keys})
     return out.select(*keep)
 
 
+def _whole(key: str, strict: bool) -> Column:
+    number = F.col(key).try_cast("bigint")
+    if not strict:
+        return number
+    text = F.concat(F.lit(f"{key} is no whole number: "), F.col(key).cast("string"))
+    failed = F.raise_error(text).cast("bigint")
+    return F.when(F.col(key).isNotNull() & number.isNull(), failed).otherwise(number)
+
+
 def clean_laps(
     df: DataFrame,
     required: Sequence[str] = tuple(config.REQUIRED_COLUMNS),

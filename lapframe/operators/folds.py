@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapframe.operators.ordered import row_numbers
 from lapframe.operators.skew import same_keys
-from lapframe.session import materialize
+from lapframe.session import materialize, new_path
 
 CHUNK = 1_000_000
+STEPS = 100_000
 
 
 def group_folds(df: DataFrame, keys: Sequence[str], n_folds: int) -> DataFrame:
@@ -18,25 +19,28 @@ def group_folds(df: DataFrame, keys: Sequence[str], n_folds: int) -> DataFrame:
 
     The rule: groups in order of falling size, ties by key, each to the lightest fold (the
     lowest number among equals). The rule is sequential, but only over distinct sizes: the
-    groups of one size take the next free steps of the fold loads, which is a sort. So the
-    driver sees one row per distinct size (at most the square root of twice the rows), and
-    groups meet their fold in a join on (size, position).
+    groups of one size take the next free steps of the fold loads, which is a sort. The driver
+    walks the distinct sizes one by one, holds the fold loads and ``STEPS`` steps, and appends
+    those to a table, so its memory does not grow. Groups meet their fold in a join on
+    (size, position).
     """
     keys = list(keys)
     # One row per group, read three times below.
     sizes = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "sizes")
     runs = sizes.groupBy("n").agg(F.count(F.lit(1)).alias("groups")).orderBy(F.desc("n"))
-    loads = [0] * n_folds
-    steps = []
+    spark, columns = df.sparkSession, "size bigint, fold int, load bigint, count bigint"
+    path, loads, steps = new_path(spark, "steps"), [0] * n_folds, []
     for run in runs.toLocalIterator():
         taken = _share_out(loads, run["n"], run["groups"])
         for fold, count in enumerate(taken):
             if count:
                 steps.append((run["n"], fold, loads[fold], count))
                 loads[fold] += count * run["n"]
-    made = df.sparkSession.createDataFrame(
-        steps, "size bigint, fold int, load bigint, count bigint"
-    )
+        if len(steps) >= STEPS:
+            spark.createDataFrame(steps, columns).write.mode("append").parquet(path)
+            steps = []
+    spark.createDataFrame(steps, columns).write.mode("append").parquet(path)
+    made = spark.read.schema(columns).parquet(path)
     # Very many groups of one size: start chunks first, so that no task makes all their places.
     start = F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1, F.lit(CHUNK))
     stop = F.least(F.col("_from") + CHUNK - 1, F.col("count") - 1)

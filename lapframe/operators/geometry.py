@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lapframe.functions.geo import along, circumradius, haversine, plane_x, plane_y
-from lapframe.operators.ordered import last_known, neighbours, over_groups, row_numbers
+from lapframe.operators.ordered import last_known, neighbours, row_numbers, running_sum
 from lapframe.operators.skew import split_hot
+from lapframe.session import materialize
 
 # How far around an apex to look, and the sampling step, in metres.
 APEX_BUFFER_M = 15.0
@@ -61,18 +62,12 @@ def _with_segments(points: DataFrame, length: Column, previous: dict[str, str])
         {"seg_m": F.coalesce(length, F.lit(0.0)), "is_end": F.col("_next").isNull()}
     ).drop("_next")
 
-    def step(rows: DataFrame, part: list[str], by: list[str]) -> DataFrame:
-        w = Window.partitionBy(*part).orderBy(*by)
-        return rows.withColumns(
-            {
-                "from_m": F.coalesce(
-                    F.sum("seg_m").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-                ),
-                "dist_m": F.sum("seg_m").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            }
-        )
-
-    return over_groups(linked, ["track"], ["idx"], step, sums=["seg_m"], fits=fits)
+    summed = running_sum(linked, ["track"], ["idx"], "seg_m", "dist_m", fits=fits)
+    if not fits:
+        summed = materialize(summed, "segments")
+    # The very value of the vertex before, not a second sum that may differ in its last bits.
+    ranged = neighbours(summed, ["track"], ["idx"], lags={"from_m": ("dist_m", 1)}, fits=fits)
+    return ranged.withColumn("from_m", F.coalesce("from_m", F.lit(0.0)))
 
 
 def plane_distance(points: DataFrame) -> DataFrame:
@@ -184,14 +179,15 @@ def nearest_vertex(
     vertex-apex pairs are formed and a hot track merges before it is shuffled.
     """
     joined = points.join(apexes, "track")
+
+    def gap(c: str) -> Column:
+        return F.hypot(F.col("x") - F.col(f"{c}_x"), F.col("y") - F.col(f"{c}_y"))
+
+    # A vertex without coordinates has no gap and is passed over.
     nearest = joined.groupBy("track").agg(
         *[
             F.min(
-                F.struct(
-                    F.hypot(F.col("x") - F.col(f"{c}_x"), F.col("y") - F.col(f"{c}_y")).alias("gap_m"),
-                    F.col("idx"),
-                    F.col("dist_m"),
-                )
+                F.when(gap(c).isNotNull(), F.struct(gap(c).alias("gap_m"), "idx", "dist_m"))
             ).alias(c)
             for c in corners
         ]

@@ -13,9 +13,15 @@ from lapframe.operators import geometry
 from lapframe.operators.clean import trim_names
 
 
-def parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Parquet files or folders as one table; columns a file lacks are null."""
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+def parquet(
+    spark: SparkSession, paths: Sequence[str], columns: T.StructType | None = None
+) -> DataFrame:
+    """Parquet files or folders as one table; columns a file lacks are null, and so is NaN.
+
+    Pass the schema for many files: without one the footer of every file is read.
+    """
+    reader = spark.read.schema(columns) if columns else spark.read.option("mergeSchema", "true")
+    return schema.nan_to_null(reader.parquet(*paths))
 
 
 def lap_csv(
@@ -45,9 +51,12 @@ def _any_file(spark: SparkSession, root: str, pattern: str) -> bool:
 
 
 def lap_files(
-    spark: SparkSession, root: str, csv_schema: T.StructType | None = None
+    spark: SparkSession,
+    root: str,
+    csv_schema: T.StructType | None = None,
+    parquet_schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Every CSV and Parquet file below a dataset folder, united by column name."""
+    """Every CSV and Parquet file below a dataset folder, united by column name; NaN is null."""
     found = []
     if _any_file(spark, root, "*.csv"):
         reader = (
@@ -58,12 +67,13 @@ def lap_files(
         reader = reader.schema(csv_schema) if csv_schema else reader.option("inferSchema", "true")
         found.append(schema.nan_to_null(trim_names(reader.csv(root))))
     if _any_file(spark, root, "*.parquet"):
-        found.append(
-            spark.read.option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .option("mergeSchema", "true")
-            .parquet(root)
+        reader = spark.read.option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.parquet"
+        )
+        reader = (
+            reader.schema(parquet_schema) if parquet_schema else reader.option("mergeSchema", "true")
         )
+        found.append(schema.nan_to_null(reader.parquet(root)))
     if not found:
         raise FileNotFoundError(f"no CSV or Parquet files below {root}")
     return unite(found)

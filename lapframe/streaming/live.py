@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lapframe import schema
@@ -45,9 +48,14 @@ def parse(
     defaults: dict[str, object] = DEFAULTS,
     carry: Sequence[str] = (),
     event_time: str | None = "event_time",
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Decode each message with defaults, and stamp the processing time when asked to."""
-    out = stream.select(*carry, *decode_with_defaults(F.col(value), columns, defaults))
+    """Decode each message with defaults, and stamp the processing time when asked to.
+
+    A malformed message stops the stream, unless ``malformed`` names a column for its text.
+    ``keep_latest`` then writes such messages to a table of their own.
+    """
+    out = stream.select(*carry, *decode_with_defaults(F.col(value), columns, defaults, malformed))
     return out if event_time is None else out.withColumn(event_time, F.current_timestamp())
 
 
@@ -72,44 +80,135 @@ def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     )
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
+def _covered(upto: dict[str, int]) -> Column:
+    """Deltas up to a batch of each stream. On folder names alone, so that no file is opened for it."""
+    out = F.lit(False)
+    for stream, batch in sorted(upto.items()):
+        out = out | ((F.col("stream_id") == stream) & (F.col("stream_batch") <= batch))
+    return out
+
+
 class LatestTable:
-    """Newest row per key in a folder: one snapshot plus one small delta per micro-batch.
+    """Newest row per key in a folder: snapshots, and one small delta per stream and micro-batch.
 
-    A delta is written below its batch id, so a batch that runs twice replaces itself.
-    ``compact`` writes the current rows as the snapshot of a new folder, for a stream that
-    continues there, and never touches the folder being read.
+    A delta lies below its stream's id and its batch id, so a batch that runs twice replaces
+    itself, and a second stream (or one with a new checkpoint) never replaces what another has
+    written. ``compact`` writes a snapshot of all deltas so far and then a pointer to it; readers
+    follow the newest pointer and skip the deltas that it covers. Nothing is deleted or moved, so
+    it may run while a stream writes; give the folder a retention rule.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]):
         self.spark, self.path = spark, path
         self.keys, self.order = list(keys), list(order)
 
-    def write(self, batch: DataFrame, batch_id: int) -> None:
-        self.write_unique(latest(batch, self.keys, self.order), batch_id)
+    def write(self, batch: DataFrame, batch_id: int, stream: str = "batch") -> None:
+        self.write_unique(latest(batch, self.keys, self.order), batch_id, stream)
 
-    def write_unique(self, batch: DataFrame, batch_id: int) -> None:
+    def write_unique(self, batch: DataFrame, batch_id: int, stream: str = "batch") -> None:
         """As ``write``, for a batch that holds each key once already."""
-        batch.write.mode("overwrite").parquet(f"{self.path}/delta/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(
+            f"{self.path}/delta/stream_id={stream}/stream_batch={batch_id}"
+        )
+
+    def _deltas(self, columns: T.StructType) -> DataFrame | None:
+        fields = [*columns.fields, *T.StructType.fromDDL("stream_id string, stream_batch long").fields]
+        return _if_there(lambda: self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/delta"))
+
+    def _pointer(self) -> tuple[int, dict[str, int]] | None:
+        """The newest snapshot's version, and the last batch of each stream that it covers."""
+        pointers = _if_there(
+            lambda: self.spark.read.schema("stream_id string, upto long, version long").parquet(f"{self.path}/pointer")
+        )
+        if pointers is None:
+            return None
+        newest = pointers.agg(F.max("version")).scalar()
+        rows = pointers.where(F.col("version") == newest).collect()  # a row for each stream
+        return rows[0]["version"], {r["stream_id"]: r["upto"] for r in rows if r["stream_id"] is not None}
 
     def read(self, columns: T.StructType) -> DataFrame:
-        """The table as of now. Snapshots and deltas may overlap: the newest row wins."""
-        rows = (
-            self.spark.read.schema(columns)
-            .option("recursiveFileLookup", "true")
-            .parquet(self.path)
+        """The table as of now."""
+        return self._merged(columns, None)
+
+    def _merged(self, columns: T.StructType, upto: dict[str, int] | None) -> DataFrame:
+        pointer, parts = self._pointer(), []
+        deltas = self._deltas(columns)
+        if deltas is not None:
+            if pointer is not None:
+                deltas = deltas.where(~_covered(pointer[1]))
+            parts.append(deltas if upto is None else deltas.where(_covered(upto)))
+        if pointer is not None:
+            parts.append(self.spark.read.schema(columns).parquet(f"{self.path}/snapshot/version={pointer[0]}"))
+        if not parts:
+            return self.spark.createDataFrame([], columns)
+        rows = reduce(DataFrame.unionAll, [p.select(*columns.names) for p in parts])
+        return latest(rows, self.keys, self.order).select(*columns.names)
+
+    def compact(self, columns: T.StructType, target: str | None = None) -> LatestTable:
+        """The current rows as a new snapshot, here or as the start of a table in another folder."""
+        deltas = self._deltas(columns)
+        found = [] if deltas is None else deltas.groupBy("stream_id").agg(F.max("stream_batch").alias("b")).collect()
+        upto = {r["stream_id"]: r["b"] for r in found}
+        pointer = self._pointer()
+        here = target is None or target == self.path
+        version = pointer[0] + 1 if pointer is not None and here else 0
+        folder = self.path if here else target
+        rows = self._merged(columns, upto)
+        rows.write.mode("overwrite").parquet(f"{folder}/snapshot/version={version}")
+        marks = list(upto.items()) if here and upto else [(None, None)]
+        if here and pointer is not None:
+            marks += [(s, b) for s, b in pointer[1].items() if s not in upto]
+        self.spark.createDataFrame(marks, "stream_id string, upto long").write.mode("overwrite").parquet(
+            f"{folder}/pointer/version={version}"
         )
-        return latest(rows.select(*columns.names), self.keys, self.order).select(*columns.names)
+        return self if here else LatestTable(self.spark, folder, self.keys, self.order)
+
+
+def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What a folder holds, or None when it does not exist yet."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-    def compact(self, columns: T.StructType, target: str) -> LatestTable:
-        """The current rows as the snapshot of a new table."""
-        self.read(columns).write.mode("errorifexists").parquet(f"{target}/snapshot")
-        return LatestTable(self.spark, target, self.keys, self.order)
 
+def keep_latest(
+    stream: DataFrame,
+    table: LatestTable,
+    checkpoint: str,
+    malformed: str | None = None,
+    rejects: str | None = None,
+    compact_every: int = 200,
+) -> StreamingQuery:
+    """Upsert a stream into the table; stops when the input is used up.
+
+    Rows whose ``malformed`` column holds a text go to the folder ``rejects`` instead. Every so
+    many batches the deltas are folded into a snapshot.
+    """
+    if (malformed is None) != (rejects is None):
+        raise ValueError("name both the column of malformed messages and their folder")
+    columns = T.StructType([f for f in stream.schema if f.name != malformed])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = stream_id(table.spark, checkpoint)
+        good = batch
+        if malformed is not None:
+            good = batch.where(F.col(malformed).isNull()).drop(malformed)
+            bad = batch.where(F.col(malformed).isNotNull())
+            bad.write.mode("overwrite").parquet(f"{rejects}/stream_id={own}/stream_batch={batch_id}")
+        table.write(good, batch_id, own)
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(columns)
 
-def keep_latest(stream: DataFrame, table: LatestTable, checkpoint: str) -> StreamingQuery:
-    """Upsert a stream into the table; stops when the input is used up."""
     return (
-        stream.writeStream.foreachBatch(table.write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -127,45 +226,62 @@ def append_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def windowed_stats(
+def keep_stats(
     stream: DataFrame,
     time: str,
     keys: Sequence[str],
     value: str,
+    path: str,
+    checkpoint: str,
     window: str = "1 day",
-    late: str = "1 hour",
-) -> DataFrame:
-    """Mean, deviation and count per key and event-time window. State is bounded by the watermark."""
-    return (
-        stream.withWatermark(time, late)
-        .groupBy(F.window(time, window).alias("_w"), *keys)
-        .agg(
-            F.avg(value).alias("value_avg"),
-            F.stddev_samp(value).alias("value_std"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .select(F.col("_w.start").alias("window_start"), *keys, "value_avg", "value_std", "n")
-    )
-
+) -> StreamingQuery:
+    """Count, mean and squared deviation per key and event-time window, batch by batch.
 
-def keep_updates(stats: DataFrame, table: LatestTable, checkpoint: str) -> StreamingQuery:
-    """Upsert changed windows as they change, so open windows are visible too.
-
-    An update holds each window and key once, so it is written without another shuffle.
+    Each micro-batch writes what its own rows add to each window. There is no state and no
+    watermark, so a row counts however late it comes, and a batch that runs twice replaces itself.
+    ``read_stats`` merges the parts.
     """
+    place = F.window(time, window)["start"].alias("window_start")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.write_unique(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
+        own = stream_id(batch.sparkSession, checkpoint)
+        parts = batch.groupBy(place, *keys).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(value).alias("n_values"),
+            F.avg(value).alias("mean"),
+            (F.var_pop(value) * F.count(value)).alias("squares"),
+        )
+        parts.write.mode("overwrite").parquet(f"{path}/stream_id={own}/stream_batch={batch_id}")
 
     return (
-        stats.writeStream.outputMode("update")
-        .foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def read_stats(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Mean, sample deviation and count per window and key, merged from all parts.
+
+    Parts are merged around their common mean, so nothing cancels out.
+    """
+    by = ["window_start", *keys]
+    parts = spark.read.parquet(path)
+    whole = Window.partitionBy(*by)
+    weight = F.sum(F.col("mean") * F.col("n_values")).over(whole) / F.nullif(
+        F.sum("n_values").over(whole), F.lit(0)
+    )
+    moved = parts.withColumn("value_avg", weight)
+    spread = F.sum(F.col("squares") + F.col("n_values") * F.pow(F.col("mean") - F.col("value_avg"), F.lit(2.0)))
+    free = F.nullif(F.sum("n_values") - 1, F.lit(0))
+    return moved.groupBy(*by).agg(
+        F.first("value_avg").alias("value_avg"),
+        F.when(free > 0, F.sqrt(spread / free)).alias("value_std"),
+        F.sum("n").alias("n"),
+    )
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for the end of an available-now query and surface its error."""
     query.awaitTermination()

@@ -199,9 +199,48 @@ def test_text(spark):
 
 
 def test_message_defaults(spark):
-    df = spark.createDataFrame([("{}",), ('{"driver_id": 7, "tire_temp_avg": null}',), ("not json",)], "value string")
+    good = ["{}", '{"driver_id": 7, "tire_temp_avg": null}', '{"driver_id": 8, "tire_temp_avg": NaN, "tire_temp_std": 2}']
+    df = spark.createDataFrame([(t,) for t in good], "value string")
     out = df.select(*messages.decode_with_defaults(F.col("value"), LIVE_MESSAGE, DEFAULTS))
-    assert [tuple(r) for r in out.collect()] == [(0, 0.0, 0.0), (7, 0.0, 0.0), (0, 0.0, 0.0)]
+    assert [tuple(r) for r in out.collect()] == [(0, 0.0, 0.0), (7, 0.0, 0.0), (8, 0.0, 2.0)]
+
+
+def test_malformed_messages_never_become_defaults(spark):
+    bad = ["not json", '{"driver_id": "x"}', None, ""]
+    df = spark.createDataFrame([(t,) for t in ["{}", *bad]], "value string")
+    aside = df.select(*messages.decode_with_defaults(F.col("value"), LIVE_MESSAGE, DEFAULTS, "bad")).collect()
+    assert tuple(aside[0]) == (0, 0.0, 0.0, None)
+    assert [tuple(r) for r in aside[1:]] == [(None, None, None, t or "") for t in bad]
+    for text in bad:
+        one = spark.createDataFrame([(text,)], "value string")
+        with pytest.raises(Exception, match="malformed message"):
+            one.select(*messages.decode_with_defaults(F.col("value"), LIVE_MESSAGE, DEFAULTS)).collect()
+
+
+def test_keys_that_are_no_numbers_fail_when_asked(spark):
+    df = spark.createDataFrame([("7",), ("x",), (None,)], "driver_id string")
+    with pytest.raises(Exception, match="driver_id is no whole number: x"):
+        clean.normalize(df, {}, ["driver_id"], ["driver_id"], strict=True).collect()
+    kept = clean.normalize(df.where("driver_id is null or driver_id <> 'x'"), {}, ["driver_id"], ["driver_id"], strict=True)
+    assert {r.driver_id for r in kept.collect()} == {7, None}
+
+
+def test_a_vertex_without_coordinates_loses_no_corner(spark):
+    points = spark.createDataFrame([("a", 0, 0.0, 0.0, 0.0), ("a", 1, None, None, None), ("a", 2, 5.0, 0.0, 5.0)], "track string, idx int, x double, y double, dist_m double")
+    apex = spark.createDataFrame([("a", 4.0, 0.0, None, None)], "track string, c1_x double, c1_y double, c2_x double, c2_y double")
+    found = geometry.nearest_vertex(points, apex, ["c1", "c2"]).collect()
+    assert [(r.corner, r.idx, r.gap_m) for r in found] == [("c1", 2, 1.0)]
+
+
+@pytest.mark.parametrize("limit", [7, 97, 1000])
+def test_a_segment_begins_where_the_one_before_ends(spark, small_groups, limit):
+    rows = [("t", i, 0.01 * (i * 37 % 101) / 101, 0.01 * (i * 53 % 97) / 97) for i in range(400)]
+    points = spark.createDataFrame(rows, "track string, idx int, lon double, lat double")
+    small_groups(limit)
+    got = geometry.sphere_segments(points).orderBy("idx").collect()
+    assert [r.from_m for r in got[1:]] == [r.dist_m for r in got[:-1]] and got[0].from_m == 0.0
+    marks = geometry.resample(geometry.sphere_segments(points), 10.0).orderBy("sample_m").collect()
+    assert [r.sample_m for r in marks[:-1]] == [10.0 * k for k in range(len(marks) - 1)]
 
 
 def test_durations(spark):
