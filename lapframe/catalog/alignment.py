@@ -131,7 +131,7 @@ def baseline_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """WITH w AS (SELECT user_id, ts, event_id AS weather_id, value AS temperature FROM events
          WHERE event_type = 'view')
     SELECT p.event_id, p.user_id, p.ts, weather_id, temperature
-    FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+    FROM events p
     ASOF LEFT JOIN w ON p.user_id = w.user_id AND p.ts >= w.ts"""
 )
 def asof_weather(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,7 +142,7 @@ def asof_weather(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").alias("weather_id"),
         F.col("value").alias("temperature"),
     )
-    laps = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    laps = events.select("event_id", "user_id", "ts")
     return joins.as_of(
         laps, weather, ["user_id"], "ts", "weather_ts", ["weather_id", "temperature"]
     )
@@ -209,6 +209,7 @@ def wide_lap_table(spark: SparkSession, sf: str) -> DataFrame:
         lap_time="lap_start",
         weather_time="weather_ts",
         track_keys=["race_round"],
+        bucket_seconds=7 * 86400,
     )
     return wide.select(
         *config.REQUIRED_COLUMNS,

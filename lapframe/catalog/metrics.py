@@ -24,13 +24,20 @@ _METRICS = f"""CAST(count(*) AS BIGINT) AS n, {settled_sql("sqrt(avg(error * err
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    laps = clean.clean_laps(b.laps(spark, sf))
+    laps = narrow_laps(spark, sf)
     base = materialize(evaluate.race_baseline(laps))
     return evaluate.baseline_predictions(laps, base, config.RACE_KEYS)
 
 
+def narrow_laps(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean laps with the columns that the tables below need, written once: medians, sketches and
+    metrics read them several times."""
+    columns = [*config.REQUIRED_COLUMNS, "car_part", "compound", "TyreLife"]
+    return materialize(clean.clean_laps(b.laps(spark, sf)).select(*columns), "laps")
+
+
 def banded(spark: SparkSession, sf: str) -> DataFrame:
-    rows = predictions(spark, sf)
+    rows = materialize(predictions(spark, sf), "predictions")
     return evaluate.with_band(rows, materialize(evaluate.residual_quantiles(rows)))
 
 
@@ -111,7 +118,7 @@ def grouped_folds(spark: SparkSession, sf: str) -> DataFrame:
 def fold_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """A held-out race is never in its training baselines, so each fold is predicted by the
     median of the race medians of the other folds."""
-    laps = clean.clean_laps(b.laps(spark, sf))
+    laps = narrow_laps(spark, sf)
     fold_table = materialize(folds.group_folds(laps, config.RACE_KEYS, config.FOLDS))
     races = materialize(
         evaluate.race_baseline(laps).join(fold_table, config.RACE_KEYS).drop("n")

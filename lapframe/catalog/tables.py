@@ -9,6 +9,7 @@ from lapframe import config
 from lapframe.catalog.registry import query
 from lapframe.functions import arrays, geo, messages, text, times
 from lapframe.operators import clean, features, geometry
+from lapframe.operators.ordered import neighbours
 from lapframe.plans import dataset
 from lapframe.sources import readers, writers
 from lapframe.session import new_path
@@ -273,50 +274,54 @@ def cyclical_time(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_PAIRS = """SELECT vec_id, CAST(embedding[1] AS DOUBLE) * 0.01 AS lon_a, CAST(embedding[2] AS DOUBLE) * 0.01 AS lat_a,
-  CAST(embedding[3] AS DOUBLE) * 0.01 AS lon_b, CAST(embedding[4] AS DOUBLE) * 0.01 AS lat_b,
-  CAST(embedding[5] AS DOUBLE) * 0.01 AS lon_c, CAST(embedding[6] AS DOUBLE) * 0.01 AS lat_c FROM embeddings"""
+_LINES = f"""{b.VERTICES_SQL.split("xy AS (")[0].rstrip().rstrip(",")}, p AS (
+  SELECT track AS vec_id, idx, lag(lon) OVER w AS lon_a, lag(lat) OVER w AS lat_a, lon AS lon_b, lat AS lat_b,
+         lead(lon) OVER w AS lon_c, lead(lat) OVER w AS lat_c
+  FROM vertices WINDOW w AS (PARTITION BY track ORDER BY idx))"""
 
 
-def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    e = b.table(spark, sf, "embeddings")
-    names = ["lon_a", "lat_a", "lon_b", "lat_b", "lon_c", "lat_c"]
-    return e.select(
-        "vec_id",
-        *[
-            (F.col("embedding")[i].cast("double") * b.DEGREES).alias(name)
-            for i, name in enumerate(names)
-        ],
+def _along(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vertex of every line with the one before and the one after it."""
+    linked = neighbours(
+        b.vertices(spark, sf),
+        ["track"],
+        ["idx"],
+        lags={"lon_a": ("lon", 1), "lat_a": ("lat", 1)},
+        leads={"lon_c": ("lon", 1), "lat_c": ("lat", 1)},
+        fits=True,
     )
+    return linked.withColumnsRenamed({"track": "vec_id", "lon": "lon_b", "lat": "lat_b"})
 
 
 @query(
-    f"""WITH p AS ({_PAIRS}),
-    h AS (SELECT vec_id, pow(sin(radians(lat_b - lat_a) / 2), 2) + cos(radians(lat_a)) *
-          cos(radians(lat_b)) * pow(sin(radians(lon_b - lon_a) / 2), 2) AS a FROM p)
-    SELECT vec_id, round(2 * 6371000.0 * atan2(sqrt(a), sqrt(1 - a)), 4) AS distance_m FROM h"""
+    f"""WITH {_LINES},
+    h AS (SELECT vec_id, idx, pow(sin(radians(lat_b - lat_a) / 2), 2) + cos(radians(lat_a)) *
+          cos(radians(lat_b)) * pow(sin(radians(lon_b - lon_a) / 2), 2) AS a FROM p WHERE lon_a IS NOT NULL)
+    SELECT vec_id, idx, round(2 * 6371000.0 * atan2(sqrt(a), sqrt(1 - a)), 4) AS distance_m FROM h"""
 )
 def haversine_distance(spark: SparkSession, sf: str) -> DataFrame:
     d = geo.haversine(*[F.col(c) for c in ("lat_a", "lon_a", "lat_b", "lon_b")])
-    return _pairs(spark, sf).select("vec_id", F.round(d, 4).alias("distance_m"))
+    rows = _along(spark, sf).where("lon_a IS NOT NULL")
+    return rows.select("vec_id", "idx", F.round(d, 4).alias("distance_m"))
 
 
 @query(
-    f"""WITH p AS ({_PAIRS}), m AS (
-      SELECT vec_id, lon_a * 1e5 AS ax, lat_a * 1e5 AS ay, lon_b * 1e5 AS bx, lat_b * 1e5 AS by_,
-             lon_c * 1e5 AS cx, lat_c * 1e5 AS cy FROM p),
+    f"""WITH {_LINES}, m AS (
+      SELECT vec_id, idx, lon_a * 1e5 AS ax, lat_a * 1e5 AS ay, lon_b * 1e5 AS bx, lat_b * 1e5 AS by_,
+             lon_c * 1e5 AS cx, lat_c * 1e5 AS cy FROM p WHERE lon_a IS NOT NULL AND lon_c IS NOT NULL),
     d AS (SELECT *, ax * (by_ - cy) - ay * (bx - cx) + (bx * cy - cx * by_) AS det,
              ax * ax + ay * ay AS sa, bx * bx + by_ * by_ AS sb, cx * cx + cy * cy AS sc FROM m),
     u AS (SELECT *, (sa * (by_ - cy) - ay * (sb - sc) + (sb * cy - sc * by_)) / (2 * det) AS ux,
-             -(sa * (bx - cx) - ax * (sb - sc) + (sb * cx - sc * bx)) / (2 * det) AS uy FROM d)
-    SELECT vec_id, CASE WHEN abs(det) >= 1e-6 THEN
-      round(sqrt(pow(ux - ax, 2) + pow(uy - ay, 2)), 2) END AS radius_m FROM u"""
+             -(sa * (bx - cx) - ax * (sb - sc) + (sb * cx - sc * bx)) / (2 * det) AS uy FROM d),
+    r AS (SELECT vec_id, idx, CASE WHEN abs(det) >= 1e-6 THEN sqrt(pow(ux - ax, 2) + pow(uy - ay, 2)) END AS r FROM u)
+    SELECT vec_id, idx, round(r, CASE WHEN r < 1e5 THEN 2 ELSE -2 END) AS radius_m FROM r"""
 )
 def circumradius(spark: SparkSession, sf: str) -> DataFrame:
+    """The circle through every three vertices in a row; a nearly straight one is told less exactly."""
     scaled = [F.col(c) * 1e5 for c in ("lon_a", "lat_a", "lon_b", "lat_b", "lon_c", "lat_c")]
-    return _pairs(spark, sf).select(
-        "vec_id", F.round(geo.circumradius(*scaled), 2).alias("radius_m")
-    )
+    r = geo.circumradius(*scaled)
+    rows = _along(spark, sf).where("lon_a IS NOT NULL AND lon_c IS NOT NULL")
+    return rows.select("vec_id", "idx", F.when(r < 1e5, F.round(r, 2)).otherwise(F.round(r, -2)).alias("radius_m"))
 
 
 @query(
@@ -344,38 +349,32 @@ def decode_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT vec_id, embedding[1] AS corner_1_radius, embedding[2] AS corner_2_radius,
-       embedding[3] AS corner_3_radius, embedding[4] AS corner_4_radius,
-       CASE WHEN label < 5 THEN NULL ELSE embedding[5] END AS corner_5_radius,
-       CASE WHEN label < 5 THEN NULL ELSE embedding[6] END AS corner_6_radius FROM embeddings"""
+    "SELECT vec_id, "
+    + ", ".join(f"CASE WHEN label >= 5 OR {i} <= 40 THEN embedding[{i}] END AS corner_{i}_radius" for i in range(1, 65))
+    + " FROM embeddings"
 )
 def corner_wide(spark: SparkSession, sf: str) -> DataFrame:
-    corners = F.when(F.col("label") < 5, 4).otherwise(6)
+    """Lists of 40 and of 64 corners as columns."""
+    corners = F.when(F.col("label") < 5, 40).otherwise(64)
     rows = b.table(spark, sf, "embeddings").select(
         "vec_id", F.slice("embedding", F.lit(1), corners).alias("radii")
     )
-    names = [f"corner_{i}_radius" for i in range(1, 7)]
+    names = [f"corner_{i}_radius" for i in range(1, 65)]
     return rows.select("vec_id", *arrays.to_wide(F.col("radii"), names))
 
 
 @query(
-    """SELECT vec_id, corner, coords FROM (
-         SELECT vec_id, embedding[1] AS corner_1_coords,
-                CASE WHEN label < 5 THEN NULL ELSE embedding[2] END AS corner_2_coords,
-                embedding[3] AS corner_3_coords FROM embeddings)
-       UNPIVOT (coords FOR corner IN (corner_1_coords, corner_2_coords, corner_3_coords))"""
+    """SELECT vec_id, 'corner_' || i || '_coords' AS corner, embedding[i] AS coords
+       FROM (SELECT vec_id, label, embedding, unnest(range(1, 65)) AS i FROM embeddings)
+       WHERE i <> 2 OR label >= 5"""
 )
 def corner_long(spark: SparkSession, sf: str) -> DataFrame:
-    second = F.when(F.col("label") >= 5, F.col("embedding")[1])
-    meta = b.table(spark, sf, "embeddings").select(
-        "vec_id",
-        F.col("embedding")[0].alias("corner_1_coords"),
-        second.alias("corner_2_coords"),
-        F.col("embedding")[2].alias("corner_3_coords"),
-    )
-    return geometry.corners_long(
-        meta, ["vec_id"], [f"corner_{i}_coords" for i in range(1, 5)]
-    )
+    """64 corner columns as rows; the second is missing on some tracks."""
+    names = [f"corner_{i}_coords" for i in range(1, 65)]
+    values = [F.col("embedding")[i] for i in range(64)]
+    values[1] = F.when(F.col("label") >= 5, values[1])
+    meta = b.table(spark, sf, "embeddings").select("vec_id", *[v.alias(n) for v, n in zip(values, names)])
+    return geometry.corners_long(meta, ["vec_id"], [*names, "corner_65_coords"])
 
 
 MESSAGE = T.StructType([T.StructField("k", T.LongType()), T.StructField("z", T.DoubleType())])

@@ -64,16 +64,24 @@ class FeatureConfig:
     min_lap: float = MIN_LAP_SECONDS
     max_lap: float = MAX_LAP_SECONDS
     drop_pit_laps: bool = False
-    max_levels: int = 200
+    wide_levels: int = 200
+    n_folds: int = FOLDS
+    model: dict[str, object] = field(default_factory=lambda: {"type": "gbt", "params": {}})
+    fractions: tuple[float, float] = BAND_FRACTIONS
 
     @classmethod
     def from_dict(cls, settings: dict) -> FeatureConfig:
-        """Settings in nested form, as read from a YAML file; what is missing keeps its default."""
+        """Settings in nested form, as read from a YAML file; what is missing keeps its default.
+
+        Unknown settings are an error, so that none is ignored without a word.
+        """
+        check_settings(settings)
         data, filters = settings.get("data", {}), settings.get("filters", {})
+        cv, bands = settings.get("cv", {}), settings.get("intervals", {}).get("alphas")
         given = {
             "required": data.get("required_columns"),
             "target": settings.get("target"),
-            "group_keys": settings.get("cv", {}).get("group_by"),
+            "group_keys": cv.get("group_by"),
             "numeric": settings.get("candidate_numeric"),
             "categorical": settings.get("candidate_categorical"),
             "flag_prefixes": settings.get("onehot_prefixes"),
@@ -83,5 +91,35 @@ class FeatureConfig:
             "min_lap": filters.get("min_lap_time_sec"),
             "max_lap": filters.get("max_lap_time_sec"),
             "drop_pit_laps": filters.get("drop_pit_in_laps"),
+            "n_folds": cv.get("n_splits"),
+            "model": settings.get("model"),
+            "fractions": tuple(bands) if bands else None,
         }
         return cls(**{k: v for k, v in given.items() if v is not None})
+
+
+# The names of all settings. A group without names takes any.
+SETTINGS: dict[str, set[str] | None] = {
+    "data": {"required_columns", "csv_path"},
+    "target": None,
+    "candidate_numeric": None,
+    "candidate_categorical": None,
+    "onehot_prefixes": None,
+    "exclude_exact": None,
+    "exclude_prefixes": None,
+    "lags": None,
+    "filters": {"drop_pit_in_laps", "min_lap_time_sec", "max_lap_time_sec"},
+    "cv": {"n_splits", "group_by"},
+    "model": {"type", "params"},
+    "intervals": {"alphas"},
+}
+
+
+def check_settings(settings: dict) -> None:
+    for group, value in settings.items():
+        if group not in SETTINGS:
+            raise ValueError(f"unknown setting {group!r}")
+        known = SETTINGS[group]
+        for name in value if known else ():
+            if name not in known:
+                raise ValueError(f"unknown setting {group}.{name}")

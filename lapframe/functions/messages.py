@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _BAD = "_malformed"
+# Whole microseconds; Spark writes milliseconds unless told otherwise.
+TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
 
 
 def decode_with_defaults(
@@ -17,7 +22,7 @@ def decode_with_defaults(
     set aside. No malformed text turns into a row of defaults.
     """
     record = F.from_json(
-        text, T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]), {"columnNameOfCorruptRecord": _BAD}
+        text, T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]), {"columnNameOfCorruptRecord": _BAD, **TIMES}
     )
     bad = F.when(record.isNull() | record[_BAD].isNotNull(), F.coalesce(text, F.lit("")))
     out = []
@@ -37,5 +42,5 @@ def decode_with_defaults(
 
 
 def encode_rows(df: DataFrame, name: str = "value") -> DataFrame:
-    """Each row as one JSON text. Null fields are left out."""
-    return df.select(F.to_json(F.struct("*")).alias(name))
+    """Each row as one JSON text. Null fields are left out, and times keep their microseconds."""
+    return df.select(F.to_json(F.struct("*"), TIMES).alias(name))

@@ -84,43 +84,50 @@ def with_team(df: DataFrame) -> DataFrame:
 
 
 def category_levels(
-    df: DataFrame, columns: Sequence[str], max_levels: int = 200
-) -> dict[str, list[str]]:
-    """Sorted distinct values of each column, found by one pre-aggregated job.
+    df: DataFrame, columns: Sequence[str], wide_levels: int = 200
+) -> tuple[dict[str, list[str]], list[str]]:
+    """Sorted distinct values of each column, and the columns that have more than ``wide_levels``.
 
-    Wide one-hot columns only make sense for few levels, so more is an error; the
-    training pipeline uses sparse vectors, which have no such limit.
+    One pre-aggregated job. At most ``wide_levels`` values of a column come to the driver; a column
+    with more is left to the sparse encoder of the training pipeline, which has no limit.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
-        return {}
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v"))
-                    for c in present
-                ]
-            )
-        ).alias("p")
-    ).select("p.c", "p.v")
-    distinct = pairs.where(F.col("v").isNotNull()).distinct()
-    limit = max_levels * len(present) + 1
-    found: dict[str, list[str]] = {c: [] for c in present}
-    for row in distinct.limit(limit).collect():
-        found[row["c"]].append(row["v"])
-    for c, values in found.items():
-        if len(values) > max_levels:
-            raise ValueError(f"{c!r} has more than {max_levels} levels; use the sparse encoder")
-    return {c: sorted(v) for c, v in found.items()}
+        return {}, []
+    distinct = one_hot_long(df, [], present).distinct()
+    values = F.array_sort(F.collect_list("level"))
+    counts = distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    small = counts.where(F.col("n") <= wide_levels).select("feature")
+    listed = distinct.join(small, "feature", "left_semi").groupBy("feature").agg(values.alias("levels"))
+    found = {r["feature"]: r["levels"] for r in listed.collect()}
+    many = {r["feature"] for r in counts.where(F.col("n") > wide_levels).select("feature").collect()}
+    return {c: found.get(c, []) for c in present if c not in many}, [c for c in present if c in many]
+
+
+def one_hot_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The ones of a one-hot table as rows ``keys, feature, level``, however many levels there are.
+
+    A null has no row. Columns that do not exist are skipped.
+    """
+    pairs = [
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("level"))
+        for c in columns
+        if c in df.columns
+    ]
+    rows = df.select(*keys, F.explode(F.array(*pairs)).alias("_p")).select(*keys, "_p.feature", "_p.level")
+    return rows.where(F.col("level").isNotNull())
 
 
 def one_hot(
     df: DataFrame, columns: Sequence[str], levels: dict[str, list[str]] | None = None,
-    max_levels: int = 200,
+    wide_levels: int = 200,
 ) -> tuple[dict[str, Column], dict[str, list[str]]]:
-    """Expressions ``{column}_{level}`` of 1.0 or 0.0. All levels are kept; null gives zeros."""
-    levels = category_levels(df, columns, max_levels) if levels is None else levels
+    """Expressions ``{column}_{level}`` of 1.0 or 0.0. All levels are kept; null gives zeros.
+
+    Without given levels, columns with more than ``wide_levels`` are left out.
+    """
+    if levels is None:
+        levels, _ = category_levels(df, columns, wide_levels)
     made = {
         f"{c}_{v}": F.when(F.col(f"`{c}`").cast("string") == v, 1.0).otherwise(0.0)
         for c, values in levels.items()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lapframe.functions.text import slug
 from lapframe.operators.ordered import last_known
@@ -60,6 +60,45 @@ def as_of(
     return found.select(*rows.columns, *[F.col("_past")[c].alias(c) for c in columns])
 
 
+def as_of_in_buckets(
+    rows: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    history_time: str,
+    columns: Sequence[str],
+    bucket_seconds: int,
+) -> DataFrame:
+    """As ``as_of``, for few keys with long histories: keys are cut into buckets of time.
+
+    Every bucket is joined on its own. The last history row of each bucket is carried into all later
+    buckets up to the next one that has any, by a window over one row per key and bucket; so a match
+    from any earlier time is found. One shuffle of the rows, by key and bucket.
+    """
+    keys = list(keys)
+
+    def bucket(column: str) -> Column:
+        return F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / bucket_seconds).alias("_bucket")
+
+    kept = list(dict.fromkeys([*keys, history_time, *columns]))
+    past = history.select(*kept, bucket(history_time)).dropna(subset=[*keys, history_time])
+    asked = rows.withColumn("_bucket", bucket(time))
+    rest = [c for c in kept if c not in keys]
+    fact = F.struct(*[F.col(c) for c in rest])
+    order = F.struct(history_time, *[c for c in columns if c != history_time])
+    final = past.groupBy(*keys, "_bucket").agg(F.max_by(fact, order).alias("_last"))
+    places = asked.select(*keys, "_bucket").dropna().distinct().withColumn("_last", F.lit(None).cast(dict(final.dtypes)["_last"]))
+    small = final.unionByName(places).groupBy(*keys, "_bucket").agg(F.max("_last").alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = small.withColumn("_before", F.last("_last", ignorenulls=True).over(before)).where(
+        F.col("_before").isNotNull()
+    )
+    carried = carried.select(*keys, "_bucket", *[F.col("_before")[c].alias(c) for c in rest])
+    both = past.select(*keys, "_bucket", *rest).unionByName(carried)
+    found = last_known(asked, both, [*keys, "_bucket"], time, history_time, "_past")
+    return found.select(*rows.columns, *[F.col("_past")[c].alias(c) for c in columns])
+
+
 def first_match(dimension: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """One row per key: the first in order. A mergeable aggregate, so a hot key costs nothing."""
     rest = [c for c in dimension.columns if c != key]

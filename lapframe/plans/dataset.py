@@ -13,17 +13,23 @@ from lapframe.operators import clean, features
 from lapframe.session import max_group_rows
 
 
+#: Added to the names of text columns that go to the sparse encoder.
+SPARSE = "_text"
+
+
 @dataclass
 class FeatureSet:
     """One frame with keys, target, group and features side by side, never split and realigned.
 
-    ``names`` and ``levels`` are the choices made on the training data. Passing them back to
-    ``build`` gives a scoring frame with exactly the same columns.
+    ``names``, ``levels`` and ``sparse`` are the choices made on the training data. Passing them back
+    to ``build`` gives a scoring frame with exactly the same columns. ``sparse`` are text columns with
+    very many values, which the frame holds as they are for the sparse encoder.
     """
 
     frame: DataFrame
     names: list[str]
     levels: dict[str, list[str]]
+    sparse: list[str]
 
 
 def prepare(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
@@ -75,9 +81,13 @@ def build(
     names: list[str] | None = None,
     levels: dict[str, list[str]] | None = None,
     fill: float | None = 0.0,
+    sparse: Sequence[str] | None = None,
 ) -> FeatureSet:
     """The feature frame: numeric candidates, lags, one-hot levels and flag columns.
 
+    Laps that share the lap order are put in order by all their values, so that lags are the same
+    in every run.
+
     A name occurs once: a flag column wins over a one-hot column of the same name.
     Exclusions apply to every base column but not to lags. Columns without any value are
     left out before nulls are filled. ``fill=None`` leaves nulls in place.
@@ -101,8 +111,15 @@ def build(
         lagged = [c for c in cfg.lags if c in rows.columns]
         seen = profile(rows, cfg.driver_keys, dict.fromkeys([*base, *flags, *lagged]))
     fits = seen is not None and seen.largest_group <= max_group_rows(df.sparkSession)
-    hot, levels = features.one_hot(rows, cfg.categorical, levels, cfg.max_levels)
-    rows = features.lag_features(rows, cfg.driver_keys, cfg.lap_order, cfg.lags, fits=fits)
+    if levels is None:
+        levels, many = features.category_levels(rows, cfg.categorical, cfg.wide_levels)
+        sparse = many if sparse is None else sparse
+    sparse = list(sparse or [])
+    hot, levels = features.one_hot(rows, cfg.categorical, levels)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    rows = features.lag_features(
+        rows.withColumn("_tie", tie), cfg.driver_keys, [*cfg.lap_order, "_tie"], cfg.lags, fits=fits
+    ).drop("_tie")
     lags = {
         f"{c}_lag{n}": (c, n)
         for c, steps in cfg.lags.items()
@@ -117,6 +134,8 @@ def build(
     keys = list(dict.fromkeys([*cfg.driver_keys, *carry, cfg.target]))
     kept = {k: F.col(k) for k in keys if k not in made}
     kept["season_race"] = group_key(*[F.col(k) for k in cfg.group_keys])
+    for c in sparse:
+        kept[f"{c}{SPARSE}"] = F.col(f"`{c}`").cast("string") if c in rows.columns else F.lit(None).cast("string")
     if names is None:
         names = _with_values(rows, made, lags, seen)
     chosen = []
@@ -124,7 +143,7 @@ def build(
         value = made.get(n, F.lit(None).cast("double"))
         chosen.append((value if fill is None else F.coalesce(value, F.lit(fill))).alias(n))
     frame = rows.select(*[e.alias(k) for k, e in kept.items()], *chosen)
-    return FeatureSet(frame, names, levels)
+    return FeatureSet(frame, names, levels, sparse)
 
 
 def _with_values(

@@ -10,17 +10,19 @@ from lapframe.plans import training
 from lapframe.sources import writers
 
 
+# What the tables need beside the predictions themselves.
+NEEDED = ("pred_low", "pred_high", *config.RACE_KEYS, "compound", "TyreLife")
+
+
 def slices(predictions: DataFrame, origin: str) -> dict[str, DataFrame]:
     """Overall and sliced metrics, residual histogram and summary, each tagged with its origin:
-    in_sample, oof or holdout. Slices by columns the predictions lack are left out."""
-    rows = predictions
-    if "TyreLife" in rows.columns:
-        rows = rows.withColumn("stint_bucket", evaluate.stint_bucket(F.col("TyreLife")))
-    band = ("pred_low", "pred_high")
+    in_sample, oof or holdout. A column that a table needs and the predictions lack is an error."""
+    missing = [c for c in NEEDED if c not in predictions.columns]
+    if missing:
+        raise ValueError(f"the report needs the columns {missing}")
+    rows = predictions.withColumn("stint_bucket", evaluate.stint_bucket(F.col("TyreLife")))
     tables = {
-        "overall": evaluate.error_metrics(
-            rows, band=band if all(c in rows.columns for c in band) else None
-        ),
+        "overall": evaluate.error_metrics(rows, band=("pred_low", "pred_high")),
         "residual_histogram": evaluate.histogram(rows, "error", -20, 20, 80),
         "residual_summary": evaluate.residual_summary(rows),
     }
@@ -29,8 +31,7 @@ def slices(predictions: DataFrame, origin: str) -> dict[str, DataFrame]:
         "slice_by_compound": ["compound"],
         "slice_by_stint": ["stint_bucket"],
     }.items():
-        if all(k in rows.columns for k in keys):
-            tables[name] = evaluate.error_metrics(rows, keys)
+        tables[name] = evaluate.error_metrics(rows, keys)
     return {name: t.withColumn("origin", F.lit(origin)) for name, t in tables.items()}
 
 
@@ -55,5 +56,8 @@ def write(
             len(bundle.names),
             f"{path}/metrics",
         )
-    if frame is not None:
-        writers.csv(training.feature_importance(bundle.model, frame), f"{path}/feature_importance")
+    table = bundle.importance
+    if table is None and frame is not None:
+        table = training.feature_importance(bundle.model, frame)
+    if table is not None:
+        writers.csv(table, f"{path}/feature_importance")

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lapframe import config
 from lapframe.operators.evaluate import error_metrics
 from lapframe.operators.folds import with_folds
-from lapframe.session import shared_dir
+from lapframe.operators.ordered import row_numbers
+from lapframe.session import materialize, new_path, shared_dir
+from lapframe.sources.writers import partitioned_parquet
 
 SEED = 42
 PREDICTION = "pred_lap_time"
@@ -24,15 +28,49 @@ PREDICTION = "pred_lap_time"
 # The default settings of the two model kinds. Depth must be bounded here.
 GBT_DEFAULTS = {"maxIter": 400, "stepSize": 0.08, "minInstancesPerNode": 20, "maxDepth": 8}
 FOREST_DEFAULTS = {"numTrees": 400, "minInstancesPerNode": 2, "maxDepth": 12}
+# What settings are called elsewhere, per model kind.
+RENAMED = {
+    "gbt": {
+        "max_iter": "maxIter", "learning_rate": "stepSize", "min_samples_leaf": "minInstancesPerNode",
+        "max_depth": "maxDepth", "feature_fraction": "featureSubsetStrategy",
+        "bagging_fraction": "subsamplingRate", "max_bin": "maxBins",
+    },
+    "rf": {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode"},
+}
+KINDS = {"hgb": "gbt", "gbt": "gbt", "rf": "rf"}
 PERMUTATION_ROWS = 1000
 PERMUTATION_REPEATS = 5
 
 
 @dataclass
 class ModelSpec:
+    """A model's kind and settings, its text columns, and a bound on the labelled rows it is fitted on.
+
+    With ``max_rows`` the rows with the least hash are taken, the same on any partitioning. Without it
+    all rows are used. Scoring always covers all rows.
+    """
+
     kind: str = "gbt"
     params: dict[str, object] = field(default_factory=dict)
     categorical: list[str] = field(default_factory=list)
+    max_rows: int | None = None
+
+    @classmethod
+    def from_settings(cls, model: dict[str, object], max_rows: int | None = None) -> ModelSpec:
+        """From a settings file's ``type`` and ``params``. Settings without a counterpart are an error,
+        unless they switch nothing on (null or zero)."""
+        kind = KINDS.get(model.get("type", "gbt"))
+        if kind is None:
+            raise ValueError(f"unknown model kind {model.get('type')!r}")
+        params: dict[str, object] = {}
+        for name, value in (model.get("params") or {}).items():
+            if name in RENAMED[kind]:
+                if value is not None:
+                    own = RENAMED[kind][name]
+                    params[own] = str(value) if own == "featureSubsetStrategy" else value
+            elif value:
+                raise ValueError(f"model setting {name!r} has no counterpart")
+        return cls(kind, params, [], max_rows)
 
 
 def regressor(spec: ModelSpec, target: str):
@@ -69,14 +107,25 @@ def pipeline(spec: ModelSpec, names: Sequence[str], target: str = config.TARGET)
 def fit(
     frame: DataFrame, names: Sequence[str], spec: ModelSpec, target: str = config.TARGET
 ) -> PipelineModel:
-    """Fit on all rows. Pass a materialized frame: a tree model reads it once per level.
+    """Fit on all rows, or on ``spec.max_rows`` of them. Pass a materialized frame: a tree model reads
+    it once per level.
 
     Boosting checkpoints its running residuals every few trees once a folder is set for it.
     """
     shared_dir(frame.sparkSession)
+    if spec.max_rows is not None:
+        frame = bounded(frame, [*names, *spec.categorical, target], spec.max_rows)
     return pipeline(spec, names, target).fit(frame)
 
 
+def bounded(frame: DataFrame, columns: Sequence[str], max_rows: int) -> DataFrame:
+    """At most ``max_rows`` rows, those with the least hash, in a few partitions."""
+    used = frame.select(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)])
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in used.columns])
+    rows = used.withColumn("_h", hashed).orderBy("_h").limit(max_rows).drop("_h")
+    return materialize(rows.coalesce(max(1, max_rows // 20_000)), "training")
+
+
 def score(model: Transformer, frame: DataFrame, target: str | None = config.TARGET) -> DataFrame:
     """The frame's rows and keys with the prediction, and actual and error when known."""
     scored = model.transform(frame)
@@ -97,15 +146,33 @@ def out_of_fold(
     keys: Sequence[str] = tuple(config.RACE_KEYS),
     target: str = config.TARGET,
 ) -> DataFrame:
-    """Every row predicted by the model of the folds it is not in. One fit per fold."""
-    rows = with_folds(frame, folds, keys)
+    """Every row predicted by the model of the folds it is not in. One fit per fold.
+
+    The rows are joined with their folds once and written by fold, so that each fit and each
+    scoring reads its folds only. Fits share the cluster.
+    """
+    rows = by_fold(frame, folds, keys)
     numbers = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]
-    scored = [
-        score(fit(rows.where(F.col("fold") != k), names, spec, target),
-              rows.where(F.col("fold") == k), target)
-        for k in numbers
-    ]
-    return reduce(DataFrame.unionByName, scored)
+
+    def held_out(k: int) -> DataFrame:
+        model = fit(rows.where(F.col("fold") != k), names, spec, target)
+        return score(model, rows.where(F.col("fold") == k), target)
+
+    return reduce(DataFrame.unionByName, at_once(held_out, numbers))
+
+
+def by_fold(frame: DataFrame, folds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with their fold, in one folder per fold."""
+    rows = with_folds(frame, folds, keys)
+    path = new_path(frame.sparkSession, "folds")
+    partitioned_parquet(rows, path, ["fold"])
+    return frame.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def at_once(work, items: Sequence) -> list:
+    """Run a few fits side by side: boosting is a chain of small jobs that leave executors idle."""
+    with ThreadPoolExecutor(min(4, max(1, len(items)))) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))
 
 
 def holdout(
@@ -121,16 +188,17 @@ def compare(
     target: str = config.TARGET,
 ) -> DataFrame:
     """One row per named run on the same hold-out."""
-    tables = [
-        holdout(train, test, names, spec, target).select(
+
+    def one(item: tuple[str, ModelSpec]) -> DataFrame:
+        run, spec = item
+        return holdout(train, test, names, spec, target).select(
             F.lit(run).alias("run"),
             F.lit(json.dumps({"kind": spec.kind, **spec.params}, sort_keys=True)).alias("params"),
             "n",
             "rmse",
         )
-        for run, spec in runs.items()
-    ]
-    return reduce(DataFrame.unionByName, tables)
+
+    return reduce(DataFrame.unionByName, at_once(one, list(runs.items())))
 
 
 def feature_importance(model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -154,15 +222,18 @@ def permutation_importance(
     names: Sequence[str],
     row_key: Sequence[str],
     target: str = config.TARGET,
-    sample: int = PERMUTATION_ROWS,
+    sample: int | None = PERMUTATION_ROWS,
     repeats: int = PERMUTATION_REPEATS,
 ) -> DataFrame:
     """Loss of R2 when one feature is shuffled, averaged over repeats, greatest first.
 
-    The sample is the rows with the least key hash: the same rows on any partitioning. All
-    shuffled copies (sample x features x repeats) are scored in one pass.
+    The sample is the rows with the least key hash: the same rows on any partitioning; ``None`` takes
+    the whole frame. All shuffled copies (rows x features x repeats) are scored in one pass.
     """
     width = len(names)
+    takes = model.stages[-1].numFeatures
+    if takes != width:
+        raise ValueError(f"the model takes {takes} inputs, {width} are named; it has encoded text columns")
     hashed = F.xxhash64(*[F.col(k) for k in row_key], F.lit(SEED))
     rows = (
         frame.select(
@@ -170,21 +241,16 @@ def permutation_importance(
             F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x"),
             hashed.alias("_h"),
         )
-        .orderBy("_h", "_y")
-        .limit(sample)
     )
-    # At most ``sample`` rows from here on, so one ordering over all of them is small.
+    if sample is not None:
+        rows = rows.orderBy("_h", "_y").limit(sample)
+    rows = materialize(rows, "permuted")
+    # Two orders of the same rows, numbered in pieces however many rows there are.
     repeat = F.explode(F.sequence(F.lit(1), F.lit(repeats)))
-    copies = rows.withColumn("_r", repeat)
-    here = copies.withColumn(
-        "_at", F.row_number().over(Window.partitionBy("_r").orderBy("_h", "_y"))
-    )
-    there = copies.select(
-        F.col("_r").alias("_r2"),
-        F.col("_x").alias("_x2"),
-        F.row_number()
-        .over(Window.partitionBy("_r").orderBy(F.xxhash64("_h", "_r"), "_y"))
-        .alias("_at2"),
+    copies = rows.withColumn("_r", repeat).withColumn("_h2", F.xxhash64("_h", "_r"))
+    here = row_numbers(copies, ["_r"], ["_h", "_y"], "_at")
+    there = row_numbers(copies, ["_r"], ["_h2", "_y"], "_at2").select(
+        F.col("_r").alias("_r2"), F.col("_x").alias("_x2"), "_at2"
     )
     paired = here.join(there, (F.col("_r") == F.col("_r2")) & (F.col("_at") == F.col("_at2")))
     # Feature -1 stands for the unchanged row.
@@ -216,6 +282,19 @@ def permutation_importance(
     )
 
 
+def importance(
+    model: PipelineModel,
+    frame: DataFrame,
+    names: Sequence[str],
+    row_key: Sequence[str],
+    target: str = config.TARGET,
+) -> DataFrame:
+    """The model's own importance, or by permutation for a model without one."""
+    if hasattr(model.stages[-1], "featureImportances"):
+        return feature_importance(model, frame)
+    return permutation_importance(model, frame, names, row_key, target)
+
+
 @dataclass
 class Bundle:
     """All that scoring needs: the model, its columns, and the baseline and band tables."""
@@ -225,12 +304,16 @@ class Bundle:
     levels: dict[str, list[str]]
     baseline: DataFrame | None = None
     quantiles: DataFrame | None = None
+    sparse: list[str] = field(default_factory=list)
+    importance: DataFrame | None = None
 
     def save(self, path: str) -> None:
         spark = SparkSession.active()
-        tables = {"baseline": self.baseline, "quantiles": self.quantiles}
+        tables = {"baseline": self.baseline, "quantiles": self.quantiles, "importance": self.importance}
         kept = [name for name, table in tables.items() if table is not None]
-        meta = json.dumps({"names": self.names, "levels": self.levels, "tables": kept})
+        meta = json.dumps(
+            {"names": self.names, "levels": self.levels, "tables": kept, "sparse": self.sparse}
+        )
         self.model.write().overwrite().save(f"{path}/model")
         spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(
             f"{path}/columns"
@@ -243,4 +326,4 @@ class Bundle:
         meta = json.loads(spark.read.text(f"{path}/columns").first()["value"])
         tables = {name: spark.read.parquet(f"{path}/{name}") for name in meta["tables"]}
         model = PipelineModel.load(f"{path}/model")
-        return cls(model, meta["names"], meta["levels"], **tables)
+        return cls(model, meta["names"], meta["levels"], sparse=meta.get("sparse", []), **tables)

@@ -82,10 +82,19 @@ def assemble(
     lap_time: str,
     weather_time: str,
     track_keys: Sequence[str],
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
-    """Left joins only: every lap is kept once. The as-of step runs first, on the narrow laps."""
+    """Left joins only: every lap is kept once. The as-of step runs first, on the narrow laps.
+
+    With ``bucket_seconds`` the as-of step also splits by time, which few weather keys need.
+    """
     facts = [c for c in weather.columns if c not in [*weather_keys, weather_time]]
-    rows = joins.as_of(laps, weather, weather_keys, lap_time, weather_time, facts)
+    if bucket_seconds is None:
+        rows = joins.as_of(laps, weather, weather_keys, lap_time, weather_time, facts)
+    else:
+        rows = joins.as_of_in_buckets(
+            laps, weather, weather_keys, lap_time, weather_time, facts, bucket_seconds
+        )
     rows = joins.attach(
         rows, results, result_keys, [c for c in results.columns if c not in result_keys]
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,22 +42,34 @@ def max_group_rows(spark: SparkSession, override: int | None = None) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
-    back to a temporary folder, because there every task sees the same disk.
+    A cluster names it in ``spark.checkpoint.dir``, and it must be on storage that all nodes share.
+    Only a local session may fall back to a temporary folder, which goes when Python ends; there
+    every task sees the same disk.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not context.master.startswith("local") and _is_local_path(spark, configured):
+            raise RuntimeError(f"spark.checkpoint.dir is {configured!r}, a folder of one machine")
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir() is None:
         if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lapframe-"))
+        folder = tempfile.mkdtemp(prefix="lapframe-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def _is_local_path(spark: SparkSession, path: str) -> bool:
+    """Whether a path names a machine's own disk: by its scheme, or by the default file system's."""
+    if "://" not in path and not path.startswith("file:"):
+        path = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+    return path.startswith("file:")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

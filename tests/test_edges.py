@@ -180,8 +180,10 @@ def test_one_hot_null_is_all_zero(spark):
     assert levels == {"c": ["x", "y"]} and list(made) == ["c_x", "c_y"]
     rows = [tuple(r) for r in df.select(*[e.alias(n) for n, e in made.items()]).collect()]
     assert rows == [(1.0, 0.0), (0.0, 1.0), (0.0, 0.0)]
-    with pytest.raises(ValueError, match="sparse"):
-        features.category_levels(df, ["c"], max_levels=1)
+    # More levels than fit wide columns go to the sparse encoder, and to rows.
+    assert features.category_levels(df, ["c"], wide_levels=1) == ({}, ["c"])
+    long = features.one_hot_long(df.withColumn("k", F.lit(1)), ["k"], ["c", "absent"])
+    assert sorted(tuple(r) for r in long.collect()) == [(1, "c", "x"), (1, "c", "y")]
 
 
 def test_bands_without_stored_quantiles(spark):

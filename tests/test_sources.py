@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 from lapframe.functions import messages
 from lapframe.operators import clean, evaluate
 from lapframe.plans import wide_laps
+from lapframe.plans import landing
 from lapframe.sources import readers, writers
 from lapframe.session import new_path, shared_dir
 
@@ -142,3 +143,39 @@ def test_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_Session(None, "yarn"))
     assert shared_dir(_Session(None, "local[2]"))
+
+
+def test_three_sources_land_as_one_table(spark):
+    raw = spark.sql(
+        """select '7' DriverNumber, 3.0D LapNumber, interval '1' minute + interval '20.5' second LapTime,
+           interval '20' second Sector1Time, 2.0D Position, timestamp'2024-01-01 10:00:00' PitInTime, timestamp'2024-01-01 10:00:25' PitOutTime"""
+    )
+    events = landing.event_laps(raw, 2024, "monza")
+    assert events.columns == ["season", "grand_prix", "driver_id", "lap_number", "lap_time", "sector1_time", "position"]
+    assert tuple(events.first()) == (2024, "monza", 7, 3.0, 80.5, 20.0, 2.0)
+    results = spark.createDataFrame([("7", 4.0, 1.0, "SOFT")], "DriverNumber string, GridPosition double, Position double, Compound string")
+    weather = spark.createDataFrame([(1, 20.0, 50.0), (2, 25.0, 40.0)], "Time int, Temperature double, Humidity double")
+    old = landing.historical_laps(raw.drop("Position"), results, weather, 2023, 5, "Emilia Romagna G.P.").first()
+    assert (old.driver_id, old.grid_position, old.finish_position, old.compound) == (7, 4.0, 1.0, "SOFT")
+    assert (old.temperature, old.humidity, old.tracktemperature, old.grand_prix, old.race_round) == (25.0, 40.0, None, "emilia_romagna_gp", 5)
+    tv = landing.tv_laps(raw.withColumn("GridPosition", F.lit(9.0)), 2022, "spa").first()
+    assert (tv.pit_stop_lap, tv.pit_stop_duration, tv.grid_position) == (3.0, 25.0, 9.0)
+    samples = spark.sql("select '7' DriverNumber, timestamp'2024-01-01 10:00:00' Time, 300.0D Speed, 8 nGear, 12 DRS")
+    assert landing.telemetry(samples, 2024, "spa").columns == ["season", "grand_prix", "timestamp", "speed", "gear", "drs_active", "driver_id"]
+    assert landing.all_laps(events, landing.event_laps(raw, 2025, "spa")).count() == 2
+    with pytest.raises(Exception, match="driver_id is no whole number"):
+        landing.event_laps(raw.withColumn("DriverNumber", F.lit("VER")), 2024, "spa").collect()
+
+
+def test_nan_in_parquet_is_null(spark, tmp_path):
+    df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "k int, v double")
+    df.write.parquet(str(tmp_path / "a" / "b"))
+    for read in (readers.parquet(spark, [str(tmp_path / "a" / "b")]), readers.lap_files(spark, str(tmp_path)), readers.parquet(spark, [str(tmp_path / "a" / "b")], df.schema)):
+        assert {r.k: r.v for r in read.collect()} == {1: None, 2: 3.0}
+
+
+def test_a_folder_of_one_machine_is_no_shared_folder(spark):
+    from lapframe import session
+
+    assert session._is_local_path(spark, "file:///tmp/x") and session._is_local_path(spark, "/tmp/x")
+    assert not session._is_local_path(spark, "hdfs://nn/x") and not session._is_local_path(spark, "s3a://b/x")

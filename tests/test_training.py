@@ -159,3 +159,64 @@ def test_wide_table_as_documented(spark):
     first = made.frame.orderBy("lap_number").first()
     assert (first.Driver_NOR, first.Compound_SOFT, first.lap_time_lag1, first.driver_id) == (1.0, 1.0, 0.0, 4)
     assert first.season_race == "2024_1" and first["current_temperature(°C)"] == 25.5
+
+
+def test_settings_reach_model_folds_and_bands():
+    cfg = config.FeatureConfig.from_dict(
+        {"cv": {"n_splits": 3}, "model": {"type": "hgb", "params": {"max_depth": None, "max_iter": 7, "l2_regularization": 0.0}}, "intervals": {"alphas": [0.05, 0.95]}}
+    )
+    spec = training.ModelSpec.from_settings(cfg.model)
+    assert (cfg.n_folds, cfg.fractions, spec.kind, spec.params) == (3, (0.05, 0.95), "gbt", {"maxIter": 7})
+    for bad in ({"modle": {}}, {"cv": {"splits": 3}}):
+        with pytest.raises(ValueError, match="unknown setting"):
+            config.FeatureConfig.from_dict(bad)
+    with pytest.raises(ValueError, match="no counterpart"):
+        training.ModelSpec.from_settings({"type": "gbt", "params": {"l2_regularization": 1.0}})
+    with pytest.raises(ValueError, match="unknown model"):
+        training.ModelSpec.from_settings({"type": "svm"})
+
+
+def test_settings_alone_give_a_model_and_every_report(spark, laps, tmp_path):
+    cfg = config.FeatureConfig.from_dict({"cv": {"n_splits": 2}, "model": {"type": "hgb", "params": {"max_iter": 2, "min_samples_leaf": 1}}})
+    cfg.wide_levels = 2  # three drivers: the sparse encoder's case
+    bundle, oof = lap_model.train(laps, cfg)
+    assert bundle.sparse == ["driver_id"] and bundle.importance.count() > 3
+    report.write(oof, bundle, str(tmp_path / "report"), "oof")
+    overall = spark.read.option("header", "true").csv(str(tmp_path / "report" / "overall")).first()
+    assert 0 <= float(overall.coverage) <= 1
+    for name in ("slice_by_race", "slice_by_compound", "slice_by_stint", "feature_importance", "residual_histogram"):
+        assert spark.read.option("header", "true").csv(str(tmp_path / "report" / name)).count() > 1
+    bundle.save(str(tmp_path / "bundle"))
+    again = training.Bundle.load(spark, str(tmp_path / "bundle"))
+    assert again.sparse == ["driver_id"] and lap_model.predict(laps, cfg, again).count() == laps.count()
+    with pytest.raises(ValueError, match="compound"):
+        report.slices(oof.drop("compound"), "oof")
+
+
+def test_bounded_fit_takes_the_same_rows(laps):
+    made = dataset.build(laps, CFG)
+    one = training.bounded(made.frame, [*made.names, "lap_time"], 50)
+    two = training.bounded(made.frame.repartition(7), [*made.names, "lap_time"], 50)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) and one.count() == 50
+
+
+def test_whole_frame_permutation(laps, small_groups):
+    made = dataset.build(laps, CFG, carry=["lap_number"])
+    frame = made.frame.cache()
+    model = training.fit(frame, made.names, training.ModelSpec("gbt", SPEC.params))
+    key = ["season", "race_round", "driver_id", "lap_number"]
+    plain = {r.feature: r.importance for r in training.permutation_importance(model, frame, made.names, key, sample=None, repeats=2).collect()}
+    small_groups(40)
+    cut = {r.feature: r.importance for r in training.permutation_importance(model, frame, made.names, key, sample=None, repeats=2).collect()}
+    assert plain.keys() == cut.keys() and all(plain[k] == pytest.approx(cut[k]) for k in plain)
+    encoded = training.fit(dataset.build(laps, CFG, carry=["compound"]).frame, made.names, SPEC)
+    with pytest.raises(ValueError, match="inputs"):
+        training.permutation_importance(encoded, frame, made.names, key)
+
+
+def test_lags_do_not_depend_on_the_order_of_equal_laps(spark):
+    rows = [(2024, 1, 1, 1 + i // 3, 90.0 + i, float(i)) for i in range(12)]
+    schema = "season int, race_round int, driver_id int, lap_number int, lap_time double, TyreLife double"
+    frames = [spark.createDataFrame(r, schema).repartition(n) for r, n in ((rows, 1), (rows[::-1], 5))]
+    got = [sorted(map(tuple, dataset.build(f, config.FeatureConfig(categorical=[]), names=["lap_time_lag1"], levels={}).frame.collect())) for f in frames]
+    assert got[0] == got[1]
