@@ -7,8 +7,9 @@ not depend on the size of the corpus.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,28 @@ def pack(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def release() -> None:
+    """Give memory that the last block or batch has left back to the system.
+
+    A Python worker lives on from task to task, and would else keep the most it ever needed.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def released(batches: Iterator, work: Callable) -> Iterator:
+    """The results of ``work`` on each batch, with memory given back after each."""
+    for batch in batches:
+        yield work(batch)
+        release()
+
+
 def unpack(blob: bytes | pa.Buffer) -> pa.Table:
-    pa.default_memory_pool().release_unused()  # what the block before has left
+    release()
     return pa.ipc.open_stream(pa.py_buffer(blob)).read_all()
 
 

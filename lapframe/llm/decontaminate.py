@@ -192,10 +192,11 @@ def corpus_counts(index: DataFrame, terms: np.ndarray) -> np.ndarray:
     return out
 
 
-def search(index: DataFrame, queries: Queries, within: int | None = None) -> DataFrame:
+def search(index: DataFrame, queries: Queries, within: int | None = None, finish=None, schema: str = "") -> DataFrame:
     """Exact phrase matches, or with ``within`` proximity matches, of every document.
 
-    Returns a row per document: ``marks`` has a bit per word, ``items`` the matching items.
+    Returns a row per document: ``marks`` has a bit per word, ``items`` the matching items. ``finish``
+    turns the batches into others of ``schema`` in the same worker.
     """
     rarity = corpus_counts(index, queries.terms)
     sent = index.sparkSession.sparkContext.broadcast((queries, rarity))
@@ -236,11 +237,13 @@ def search(index: DataFrame, queries: Queries, within: int | None = None) -> Dat
                     }
                 )
 
-    return index.mapInArrow(run, HITS)
+    if finish is None:
+        return index.mapInArrow(run, HITS)
+    return index.mapInArrow(lambda batches: finish(run(batches)), schema)
 
 
-def passes(items: DataFrame, id_col: str, text_col: str, pass_words: int) -> Iterator[list[tuple[str, str | None]]]:
-    """The test items in parts of bounded size. Each part is read on its own."""
+def passes(items: DataFrame, id_col: str, text_col: str, pass_words: int) -> Iterator[tuple[list[tuple[str, str | None]], int]]:
+    """The test items in parts of bounded size, each read on its own, and how many parts there are."""
     named = items.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("name"), F.col(text_col).cast("string").alias("text")
     )
@@ -248,7 +251,7 @@ def passes(items: DataFrame, id_col: str, text_col: str, pass_words: int) -> Ite
     n = max(1, -(-int(total) // (6 * pass_words)))
     for k in range(n):
         part = named if n == 1 else named.filter(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == k)
-        yield [(r.name, r.text) for r in part.collect()]
+        yield [(r.name, r.text) for r in part.collect()], n
 
 
 def find_contamination(
@@ -265,12 +268,13 @@ def find_contamination(
 ) -> DataFrame:
     """Per document: ``doc_id, th, n_words, n_hit, items, items_sha256, marks``; ``th`` is a hash of its text."""
     index = build_index(docs, id_col, text_col, block_bytes)
-    found = [search(index, encode(part, window), within) for part in passes(items, item_col, item_text_col, pass_words)]
-    if len(found) == 1:
-        return found[0].mapInArrow(_counted, COUNTED)
-    union = found[0]
-    for more in found[1:]:
-        union = union.unionAll(more)
+    parts = passes(items, item_col, item_text_col, pass_words)
+    part, n_parts = next(parts)
+    if n_parts == 1:
+        return search(index, encode(part, window), within, _counted, COUNTED)
+    union = search(index, encode(part, window), within)
+    for part, _ in parts:
+        union = union.unionAll(search(index, encode(part, window), within))
     merged = union.groupBy("block", "row").agg(
         F.first("doc_id").alias("doc_id"),
         F.first("th").alias("th"),

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapframe.llm.blocks import released
 from lapframe.session import materialize
 
 SEED_WORDS = 4
@@ -156,30 +157,33 @@ def common_lines(keyed: DataFrame, seed_words: int = SEED_WORDS, block_words: in
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, n_lines = [], []
-        for text, gone in zip(batch["text"].to_pylist(), batch["gone"].to_pylist()):
-            if text is None:
-                texts.append(None)
-                n_lines.append(0)
-                continue
-            own, drop, number, kept = text.split("\n"), set(gone or ()), -1, []
-            for line in own:
-                full = bool(line.strip(_BLANK))
-                number += full
-                if not (full and number in drop):
-                    kept.append(line)
-            texts.append("\n".join(kept) if drop else text)
-            n_lines.append(number + 1)
-        rest = {c: batch[c] for c in batch.schema.names if c not in ("text", "gone")}
-        yield pa.RecordBatch.from_pydict(
-            rest
-            | {
-                "text": pa.array(texts, pa.string()),
-                "n_lines": pa.array(n_lines, pa.int64()),
-                "n_removed": pa.array([len(g or ()) for g in batch["gone"].to_pylist()], pa.int64()),
-            }
-        )
+    return released(batches, _cut_batch)
+
+
+def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
+    texts, n_lines = [], []
+    for text, gone in zip(batch["text"].to_pylist(), batch["gone"].to_pylist()):
+        if text is None:
+            texts.append(None)
+            n_lines.append(0)
+            continue
+        own, drop, number, kept = text.split("\n"), set(gone or ()), -1, []
+        for line in own:
+            full = bool(line.strip(_BLANK))
+            number += full
+            if not (full and number in drop):
+                kept.append(line)
+        texts.append("\n".join(kept) if drop else text)
+        n_lines.append(number + 1)
+    rest = {c: batch[c] for c in batch.schema.names if c not in ("text", "gone")}
+    return pa.RecordBatch.from_pydict(
+        rest
+        | {
+            "text": pa.array(texts, pa.string()),
+            "n_lines": pa.array(n_lines, pa.int64()),
+            "n_removed": pa.array([len(g or ()) for g in batch["gone"].to_pylist()], pa.int64()),
+        }
+    )
 
 
 _BLANK = " \t\n\r\x0b\x0c"

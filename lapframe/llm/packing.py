@@ -29,13 +29,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapframe.llm.blocks import slices
+from lapframe.llm.blocks import release, slices
 from lapframe.session import materialize
 
 TOKENS = 4096
 SHARE_PIECES = 20_000
-CACHE_WORDS = 500_000
-SLICE_BYTES = 4 << 20
+CACHE_WORDS = 250_000
+SLICE_BYTES = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ticket int"
 
@@ -129,18 +129,6 @@ class WordTokenizer:
         return flat[place], total[2 * edges]
 
 
-_made: dict[int, WordTokenizer] = {}
-
-
-def _tokenizer(definition: str) -> WordTokenizer:
-    """One tokenizer a worker, with its cache."""
-    key = zlib.crc32(definition.encode())
-    if key not in _made:
-        _made.clear()
-        _made[key] = WordTokenizer(definition)
-    return _made[key]
-
-
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -161,7 +149,7 @@ def token_pieces(
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(definition.value)
+        tokenizer = WordTokenizer(definition.value)  # its cache ends with the task
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 ids, first = tokenizer.encode(part["text"])
@@ -180,6 +168,10 @@ def token_pieces(
                 schema = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]
                 schema += [("ids_crc32", pa.int64()), ("ticket", pa.int32())] + [("ids", pa.list_(pa.int32()))] * keep_ids
                 yield pa.RecordBatch.from_pydict({c: rows[c] for c, _ in schema}, pa.schema(schema))
+                del ids, first, rows
+                release()
+        del tokenizer
+        release()
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return chosen.mapInArrow(run, PIECES + ", ids array<int>" * keep_ids)

@@ -12,13 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
 
+# Rows of an Arrow batch. Spark counts rows, not bytes, and a row here is a whole document.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SPARKS_OWN, LONG_ROWS = "10000", "1000"
+
 
 def ship(spark: SparkSession) -> None:
     """Give the package's modules to the Python workers of this application, once.
 
     A session started with ``--py-files`` has them already; this makes the registered queries work
-    in any session. Spark itself copies the file from the driver to the executors.
+    in any session. Spark itself copies the file from the driver to the executors. A session that
+    has not set the size of Arrow batches gets one that suits long rows.
     """
+    if spark.conf.get(BATCH_ROWS) == SPARKS_OWN:
+        spark.conf.set(BATCH_ROWS, LONG_ROWS)
     application = spark.sparkContext.applicationId
     if application in _sent:
         return

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapframe.llm.blocks import joined, partitions, routed
+from lapframe.llm.blocks import joined, partitions, released, routed
 from lapframe.llm.graph import components, local_components, merge
 from lapframe.llm.words import mix
 from lapframe.session import materialize
@@ -87,13 +87,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, th, fp``: a hash of the text and the fingerprint, as signed longs. One pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = batch["text"].cast(pa.large_binary())
             fp = [majority(shingle_hashes(t.as_py() or b"", shingle)) for t in texts]
-            yield pa.RecordBatch.from_pydict(
+            return pa.RecordBatch.from_pydict(
                 {"doc_id": batch["doc_id"], "th": batch["th"], "fp": pa.array(np.array(fp, np.uint64).view(np.int64))}
             )
 
+        return released(batches, one)
+
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text_col}`").alias("th"), F.col(f"`{text_col}`").cast("string").alias("text")
     )

@@ -31,12 +31,14 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapframe.llm.blocks import released
+
 TRAIN_ROWS = 20_000
 FOLDS = 5
 MAX_TERMS = 2_000
 CONTEXT_WORDS = 5
 BEGINNINGS = (4, 5, 6, 7, 8)
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 #: Marks and verbs of quotation, words of address.
 QUOTES = "\"“”„«»‘’`"
@@ -68,8 +70,8 @@ def _counted(wanted):
         found: Counter[str] = Counter()
         keep = wanted.value if wanted else None
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                terms = terms_of(text)
+            for text in batch["text"]:
+                terms = terms_of(text.as_py())
                 found.update(terms & keep if keep is not None else terms)
         yield pa.RecordBatch.from_pydict({"term": pa.array(found.keys(), pa.string()), "n": pa.array(found.values(), pa.int64())})
 
@@ -238,7 +240,7 @@ def _featured(lexicon: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, cache = Automaton(lexicon), {}
         for batch in batches:
-            rows = [features(t, automaton, cache) for t in batch["text"].to_pylist()]
+            rows = [features(t.as_py(), automaton, cache) for t in batch["text"]]
             yield pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "x": pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))})
 
     return run
@@ -303,10 +305,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, cache = Automaton(model.lexicon), {}
-        for batch in batches:
-            x = np.array([features(t, automaton, cache) for t in batch["text"].to_pylist()]).reshape(-1, FEATURES)
+
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            x = np.array([features(t.as_py(), automaton, cache) for t in batch["text"]]).reshape(-1, FEATURES)
             p = 1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -30, 30)))
-            yield pa.RecordBatch.from_pydict({"row": batch["row"], "score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32))})
+            return pa.RecordBatch.from_pydict({"row": batch["row"], "score": pa.array(p), "predicted": pa.array((p >= 0.5).astype(np.int32))})
+
+        yield from released(batches, one)
 
     both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return both.mapInArrow(run, f"row {dict(both.dtypes)['row']}, score double, predicted int")
