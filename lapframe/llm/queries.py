@@ -20,5 +20,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_substring_dedup": substring_dedup.ORACLE,
+    "op4_secrets": secrets.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }

@@ -189,3 +189,31 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _oracle() -> str:
+    """SQL for the query: places from the lengths of what stands between the matches."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, {k} AS k, {quoted(r.name)} AS name, {r.least} AS least, regexp_extract_all(text, {quoted(r.pattern)}) AS ms, "
+        f"regexp_extract_all(text, {quoted(r.pattern)}, {r.group}) AS gs, string_split_regex(text, {quoted(r.pattern)}) AS ps "
+        f"FROM t WHERE regexp_matches(text, {quoted(r.pattern)})"
+        for k, r in enumerate(RULES)
+    )
+    listed_all = "string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, k)"
+    counts = ", ".join(f"CAST(coalesce(n_{r.name}, 0) AS BIGINT) AS n_{r.name}" for r in BASE)
+    sums = ", ".join(f"count(*) FILTER (k = {k}) AS n_{r.name}" for k, r in enumerate(BASE))
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), found AS ({found}),
+one AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM found),
+placed AS (SELECT doc_id, k, name, length(ms[i]) AS n, length(gs[i]) >= least AS kept,
+  list_sum(list_transform(ps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s FROM one),
+spans AS (SELECT doc_id, k, name, CAST(s AS BIGINT) AS s, CAST(s + n AS BIGINT) AS e FROM placed WHERE kept),
+per AS (SELECT doc_id, {sums}, {listed_all} AS spans,
+  string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < {len(BASE)}) AS base FROM spans GROUP BY doc_id)
+SELECT t.doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN per USING (doc_id)
+"""
+
+
+ORACLE = _oracle()
