@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lapframe.functions.text import slug
 from lapframe.operators.ordered import last_known
 from lapframe.operators.quantiles import SINGLE_GROUP_ROWS, percentiles
+from lapframe.session import materialize, max_group_rows
 
 
 def attach(
@@ -73,7 +74,8 @@ def as_of_in_buckets(
 
     Every bucket is joined on its own. The last history row of each bucket is carried into all later
     buckets up to the next one that has any, by a window over one row per key and bucket; so a match
-    from any earlier time is found. One shuffle of the rows, by key and bucket.
+    from any earlier time is found. The rows are read once to count them by key and bucket, which
+    also tells whether any bucket is too large for one task, and once to be joined.
     """
     keys = list(keys)
 
@@ -86,16 +88,21 @@ def as_of_in_buckets(
     rest = [c for c in kept if c not in keys]
     fact = F.struct(*[F.col(c) for c in rest])
     order = F.struct(history_time, *[c for c in columns if c != history_time])
-    final = past.groupBy(*keys, "_bucket").agg(F.max_by(fact, order).alias("_last"))
-    places = asked.select(*keys, "_bucket").dropna().distinct().withColumn("_last", F.lit(None).cast(dict(final.dtypes)["_last"]))
-    small = final.unionByName(places).groupBy(*keys, "_bucket").agg(F.max("_last").alias("_last"))
+    final = past.groupBy(*keys, "_bucket").agg(F.max_by(fact, order).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    places = asked.select(*keys, "_bucket").dropna().groupBy(*keys, "_bucket").agg(
+        F.lit(None).cast(dict(final.dtypes)["_last"]).alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    both_sides = final.unionByName(places).groupBy(*keys, "_bucket")
+    small = materialize(both_sides.agg(F.max("_last").alias("_last"), F.sum("_n").alias("_n")), "buckets")
+    largest = small.agg(F.max("_n")).first()[0] or 0
+    fits = largest < max_group_rows(rows.sparkSession)
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = small.withColumn("_before", F.last("_last", ignorenulls=True).over(before)).where(
         F.col("_before").isNotNull()
     )
     carried = carried.select(*keys, "_bucket", *[F.col("_before")[c].alias(c) for c in rest])
     both = past.select(*keys, "_bucket", *rest).unionByName(carried)
-    found = last_known(asked, both, [*keys, "_bucket"], time, history_time, "_past")
+    found = last_known(asked, both, [*keys, "_bucket"], time, history_time, "_past", fits=fits)
     return found.select(*rows.columns, *[F.col("_past")[c].alias(c) for c in columns])
 
 

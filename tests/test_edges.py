@@ -284,3 +284,16 @@ def test_pit_lane_and_wide_corners(spark):
     df = spark.createDataFrame([("t", i, float(i)) for i in (1, 2)], "track string, corner_no int, radius_m double")
     row = geometry.corners_wide(df, {"radius": "radius_m"}, 3).first()
     assert (row.corner_1_radius, row.corner_2_radius, row.corner_3_radius) == (1.0, 2.0, None)
+
+
+@pytest.mark.parametrize("limit", [5, 10_000])
+def test_as_of_in_buckets_equals_as_of(spark, small_groups, limit):
+    start = dt.datetime(2024, 1, 1)
+    left = [(i % 2, start + dt.timedelta(hours=i * 7 % 400)) for i in range(80)] + [(None, start), (3, start), (1, None)]
+    right = [(i % 2, start + dt.timedelta(hours=i * 53 % 300 - 20), i) for i in range(9)] + [(None, start, 99), (0, None, 98), (1, start, None)]
+    rows = spark.createDataFrame(left, "k int, t timestamp")
+    history = spark.createDataFrame(right, "k int, ht timestamp, v int")
+    small_groups(limit)
+    want = joins.as_of(rows, history, ["k"], "t", "ht", ["v"])
+    got = joins.as_of_in_buckets(rows, history, ["k"], "t", "ht", ["v"], 24 * 3600)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
