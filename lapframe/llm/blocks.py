@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ BLOCK_BYTES = 2 << 20
 
 def pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
     with pa.ipc.new_stream(sink, table.schema, options=options) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
@@ -60,9 +60,29 @@ def array(value: pa.Scalar, dtype: type) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), dtype) if value.is_valid else np.zeros(0, dtype)
 
 
-def joined(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers that mostly grow by little, in few bytes: steps, byte by byte of all, compressed."""
+    if not len(values):
+        return b""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    planes = steps.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return len(values).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unsqueezed(blob: bytes, dtype: type) -> np.ndarray:
+    if not len(blob):
+        return np.zeros(0, dtype)
+    n, width = int.from_bytes(blob[:4], "little"), np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(blob[4:], n * width, "zstd"), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(width, n).T).view(dtype).ravel(), dtype=dtype)
+
+
+def joined(column: pa.ChunkedArray, dtype: type, squeeze: bool = False) -> np.ndarray:
     """The arrays of all rows, one after another."""
-    parts = [array(v, dtype) for v in column]
+    if squeeze:
+        parts = [unsqueezed(v.as_py(), dtype) for v in column if v.is_valid]
+    else:
+        parts = [array(v, dtype) for v in column]
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
 
 
@@ -108,8 +128,10 @@ def document_blocks(docs: DataFrame, id_col: Column, text_col: Column, block_byt
     return materialize(rows.mapInArrow(run, "block long, docs binary"), "blocks")
 
 
-def routed(share: np.ndarray, n_shares: int, columns: dict[str, np.ndarray], fixed: dict) -> pa.RecordBatch:
-    """One row per share that has entries: ``share``, the fixed values, and each array as binary."""
+def routed(
+    share: np.ndarray, n_shares: int, columns: dict[str, np.ndarray], fixed: dict, squeeze: Collection[str] = ()
+) -> pa.RecordBatch:
+    """One row per share that has entries: ``share``, the fixed values, and each array as binary, squeezed where named."""
     order = np.argsort(share, kind="stable")
     ends = np.searchsorted(share[order], np.arange(n_shares + 1))
     full = np.flatnonzero(np.diff(ends))
@@ -118,6 +140,7 @@ def routed(share: np.ndarray, n_shares: int, columns: dict[str, np.ndarray], fix
         out[name] = pa.array(np.full(len(full), value, np.int64))
     for name, values in columns.items():
         values = np.ascontiguousarray(values[order])
-        out[name] = pa.array([values[ends[s] : ends[s + 1]].tobytes() for s in full], pa.binary())
+        put = squeezed if name in squeeze else np.ndarray.tobytes
+        out[name] = pa.array([put(values[ends[s] : ends[s + 1]]) for s in full], pa.binary())
     return pa.RecordBatch.from_pydict(out)
 

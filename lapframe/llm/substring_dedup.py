@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapframe.llm.blocks import BLOCK_BYTES, array, document_blocks, joined, partitions, routed, unpack
+from lapframe.llm.blocks import BLOCK_BYTES, array, document_blocks, joined, partitions, routed, squeezed, unpack
 from lapframe.llm.words import Words, grams, mix, sliding_argmin, utf8, whole
 
 MIN_WORDS = 20
@@ -84,7 +84,7 @@ def _anchors(min_words: int, n_shares: int):
                 number = np.concatenate([number, np.flatnonzero(twice).astype(np.uint32)])
                 share = np.concatenate([share, ((more >> U64(32)) % U64(n_shares)).astype(np.int64)])
                 low = np.concatenate([own, more]).astype(np.uint32)
-                yield routed(share, n_shares, {"hash": low, "number": number}, {"block": block.as_py()})
+                yield routed(share, n_shares, {"hash": low, "number": number}, {"block": block.as_py()}, ["number"])
 
     return run
 
@@ -92,7 +92,7 @@ def _anchors(min_words: int, n_shares: int):
 def _common(table: pa.Table) -> pa.Table:
     """Of one share: the anchors that two blocks have, by block."""
     h = joined(table["hash"], np.uint32)
-    number = joined(table["number"], np.uint32)
+    number = joined(table["number"], np.uint32, True)
     sizes = [len(v.as_buffer()) // 4 for v in table["hash"]]
     source = np.repeat(np.arange(table.num_rows), sizes)
     order = np.argsort(h, kind="stable")
@@ -105,7 +105,7 @@ def _common(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "block": table["block"].combine_chunks(),
-            "number": pa.array([number[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+            "number": pa.array([squeezed(number[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
         }
     )
 
@@ -116,7 +116,7 @@ def _windows(min_words: int, n_shares: int):
         for block, blob in zip(blocks["block"], blocks["docs"]):
             b = Block(blob.as_buffer(), min_words)
             _, keep, own = b.repeated_anchors()
-            keep[joined(wanted["number"], np.uint32)] = True
+            keep[joined(wanted["number"], np.uint32, True)] = True
             at = b.begins[keep[own]]
             h = grams(b.h, min_words)[at]
             text = np.repeat(np.arange(len(b.ids)), b.words.counts)[at]
@@ -128,11 +128,8 @@ def _windows(min_words: int, n_shares: int):
             order = np.argsort(at)
             at, h, doc, start = (x[order] for x in (at, h, doc, start))
             share = (mix(h) % U64(n_shares)).astype(np.int64)
-            parts.append(
-                routed(
-                    share, n_shares, {"hash": h, "doc": doc, "start": start.astype(np.uint32), "at": at.astype(np.uint32)}, {"block": block.as_py()}
-                )
-            )
+            columns = {"hash": h, "doc": doc, "start": start.astype(np.uint32), "at": at.astype(np.uint32)}
+            parts.append(routed(share, n_shares, columns, {"block": block.as_py()}, ["doc", "start", "at"]))
         return pa.Table.from_batches(parts, _schema(WINDOWS))
 
     return run
@@ -145,8 +142,8 @@ def _schema(ddl: str) -> pa.Schema:
 
 def _earliest(table: pa.Table) -> pa.Table:
     """Of one share: windows that stand at an earlier place too, by block, with that place."""
-    h, doc = joined(table["hash"], np.uint64), joined(table["doc"], np.int64)
-    start, at = joined(table["start"], np.uint32), joined(table["at"], np.uint32)
+    h, doc = joined(table["hash"], np.uint64), joined(table["doc"], np.int64, True)
+    start, at = joined(table["start"], np.uint32, True), joined(table["at"], np.uint32, True)
     source = np.repeat(np.arange(table.num_rows), [len(v.as_buffer()) // 8 for v in table["hash"]])
     order = np.lexsort((start, doc, h))
     new = np.ones(len(order), bool)
@@ -154,16 +151,16 @@ def _earliest(table: pa.Table) -> pa.Table:
     head = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
     # A window of the head's own block is there once; other rows with its id and start are equals.
     mine, theirs = order[~new], head[~new]
-    by = np.argsort(source[mine], kind="stable")
+    by = np.lexsort((at[mine], source[mine]))
     mine, theirs = mine[by], theirs[by]
     ends = np.searchsorted(source[mine], np.arange(table.num_rows + 1))
     rows = [slice(a, b) for a, b in zip(ends, ends[1:])]
     return pa.table(
         {
             "block": table["block"].combine_chunks(),
-            "at": pa.array([at[mine[r]].tobytes() for r in rows], pa.binary()),
-            "doc": pa.array([doc[theirs[r]].tobytes() for r in rows], pa.binary()),
-            "start": pa.array([start[theirs[r]].tobytes() for r in rows], pa.binary()),
+            "at": pa.array([squeezed(at[mine[r]]) for r in rows], pa.binary()),
+            "doc": pa.array([squeezed(doc[theirs[r]]) for r in rows], pa.binary()),
+            "start": pa.array([squeezed(start[theirs[r]]) for r in rows], pa.binary()),
         }
     )
 
@@ -197,7 +194,7 @@ def _parsed(b: Block, min_words: int, wanted: pa.Table, repeats: pa.Table) -> pa
     start_of = np.arange(n) - b.words.first[text_of] if n else np.zeros(0, np.int64)
     # The earliest place of each repeated window: in this block, unless another block has an earlier one.
     _, keep, own = b.repeated_anchors()
-    keep[joined(wanted["number"], np.uint32)] = True
+    keep[joined(wanted["number"], np.uint32, True)] = True
     at = b.begins[keep[own]]
     h = grams(b.h, min_words)[at]
     doc, start = b.ids[text_of[at]], start_of[at]
@@ -207,10 +204,10 @@ def _parsed(b: Block, min_words: int, wanted: pa.Table, repeats: pa.Table) -> pa
     group = np.cumsum(new) - 1
     head = order[new]
     source_doc, source_start = doc[head], start[head]
-    other = np.searchsorted(at, joined(repeats["at"], np.uint32).astype(np.int64))
+    other = np.searchsorted(at, joined(repeats["at"], np.uint32, True).astype(np.int64))
     rank = np.empty(len(order), np.int64)
     rank[order] = group
-    theirs_doc, theirs_start = joined(repeats["doc"], np.int64), joined(repeats["start"], np.uint32).astype(np.int64)
+    theirs_doc, theirs_start = joined(repeats["doc"], np.int64, True), joined(repeats["start"], np.uint32, True).astype(np.int64)
     source_doc[rank[other]], source_start[rank[other]] = theirs_doc, theirs_start
     source_doc, source_start = source_doc[rank], source_start[rank]
     earlier = (source_doc < doc) | ((source_doc == doc) & (source_start < start))
@@ -267,7 +264,7 @@ def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Per document its kept words (joined by one space) and its factors with their sources."""
-    n = 2 * partitions(docs)
+    n = partitions(docs)
     blocks = document_blocks(docs, F.col(id_col), F.col(text_col), block_bytes)
     wanted = blocks.mapInArrow(_anchors(min_words, n), ANCHORS).groupBy("share").applyInArrow(_common, WANTED)
     wanted = wanted.filter(F.length("number") > 0)

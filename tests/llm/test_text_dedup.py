@@ -239,3 +239,14 @@ def test_first_copy_of_every_long_line_stays(sent):
         home = min((d for d, t in docs if line in t.split("\n")), default=None)
         if home is not None:
             assert line in after[home]
+
+
+@pytest.mark.parametrize("dtype", [np.uint32, np.int64, np.uint64])
+def test_squeezed_numbers_come_back(dtype):
+    from lapframe.llm.blocks import squeezed, unsqueezed
+
+    r = np.random.default_rng(2)
+    info = np.iinfo(dtype)
+    for values in ([], [0], [info.max, info.min, 5], np.sort(r.integers(0, 1 << 30, 1000)), r.integers(info.min, info.max, 50, dtype=dtype)):
+        values = np.array(values, dtype)
+        assert np.array_equal(unsqueezed(squeezed(values), dtype), values)
