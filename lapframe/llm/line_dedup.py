@@ -1,28 +1,28 @@
-"""Line dedup by pairwise alignment of documents that share rare lines.
-
-1. Every line that is not blank gets a hash. A line of at least ``seed_words`` words is a seed; short
-   ones recur by chance. For each seed hash that several documents have, each later document is
-   paired with the first, so a line that a third of all documents share makes one pair a
-   document, never all pairs.
-2. A pair is aligned by patience diff: lines that are unique in both documents and whose order agrees
-   (the longest increasing subsequence) are anchors, the same is done between anchors, and
-   matches grow from both ends of every gap. Only lines that both have are brought together, found
-   by a join on (document, hash).
-3. Aligned runs of consecutive lines with at least ``block_words`` words are common blocks; they are
-   deleted from the later document. The first document of a line always keeps it.
+"""Line dedup by the runs of lines that documents share.
+
+1. A common block is a run of consecutive lines with at least ``block_words`` words that an earlier document
+   has too, as consecutive lines. Blank lines do not count.
+2. Each line that is not blank begins one shortest run of that many words and ends another. Every line of
+   a common block lies in a shortest run inside the block: in the one that the block's first line begins, or in the one that
+   the line itself ends. So looking these runs up finds all blocks, wherever they stand, in any order and however often.
+3. A run gets a hash of its lines, and the first document that has it is its home. In every later document its lines
+   are deleted. Two rows for each line are grouped and joined by hash; documents are never paired.
 
 "Earlier" is the smaller id; rows that share an id are told apart by a hash of their text, and equal
 rows count as one document (each gets that document's result). A null id comes after all others.
 A null text stays null and has no lines. Lines are compared without white space around them. Blank
-lines match nothing, do not break a block, and stay. Other columns are kept as they are.
+lines match nothing, do not break a block, and stay. Other columns are kept as they are. The first document of a
+line always keeps it.
 """
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from lapframe.llm.blocks import released
 from lapframe.session import materialize
 
-SEED_WORDS = 4
 BLOCK_WORDS = 8
 LAST = 9223372036854775807
 
@@ -54,7 +53,10 @@ def increasing(values: list[int]) -> list[int]:
 
 
 def patience(a: Lines, b: Lines) -> list[tuple[int, int]]:
-    """Aligned places of two documents, given the lines that both have by place."""
+    """Aligned places of two documents, given the lines that both have by place: a readable diff, not a whole one.
+
+    Lines without a unique neighbour stay unmatched, so the dedup does not use it.
+    """
     places_a, places_b = sorted(a), sorted(b)
     out: list[tuple[int, int]] = []
     work = [(0, 1 << 60, 0, 1 << 60)]
@@ -86,74 +88,53 @@ def patience(a: Lines, b: Lines) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_blocks(pairs: list[tuple[int, int]], words: dict[int, int], least: int) -> list[int]:
-    """Places in the first document of aligned runs with enough words."""
-    out: list[int] = []
-    run: list[int] = []
-    for k, (i, j) in enumerate(pairs):
-        run.append(i)
-        if k + 1 == len(pairs) or pairs[k + 1] != (i + 1, j + 1):
-            if sum(words[x] for x in run) >= least:
-                out += run
-            run = []
-    return out
+def shortest_runs(words: list[int], least: int) -> list[tuple[int, int]]:
+    """Begin and end of the shortest run of lines with at least ``least`` words that each line begins, and that each line ends."""
+    out, begin, held = set(), 0, 0
+    for end, n in enumerate(words):
+        held += n
+        while held >= least and begin <= end:
+            out.add((begin, end + 1))  # the shortest that ``begin`` begins
+            held -= words[begin]
+            begin += 1
+        if begin:
+            out.add((begin - 1, end + 1))  # the shortest that ``end`` ends
+    return sorted(out)
 
 
-def _sheets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of each document that are not blank: hash, words."""
-    import xxhash
+def _runs(block_words: int):
+    """The shortest runs of each document: hash, first line, number of lines."""
 
-    kind = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int32())]))
-    for batch in batches:
-        out = []
-        for text in batch["text"].cast(pa.large_binary()):
-            raw = text.as_py() or b""
-            own = [x for x in (line.strip() for line in raw.split(b"\n")) if x]
-            out.append([{"line": xxhash.xxh3_64_intdigest(x) - (1 << 63), "words": len(x.split())} for x in own])
-        yield pa.RecordBatch.from_pydict({"id": batch["id"], "th": batch["th"], "lines": pa.array(out, kind)})
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        import xxhash
 
+        hashes, begins, sizes, offsets = array("q"), array("i"), array("i"), array("i", [0])
+        for text in batch["text"].cast(pa.large_binary()):
+            own = [x for x in (line.strip() for line in (text.as_py() or b"").split(b"\n")) if x]
+            digests = [xxhash.xxh3_64_digest(x) for x in own]
+            for begin, end in shortest_runs([len(x.split()) for x in own], block_words):
+                hashes.append(xxhash.xxh3_64_intdigest(b"".join(digests[begin:end])) - (1 << 63))
+                begins.append(begin)
+                sizes.append(end - begin)
+            offsets.append(len(hashes))
+        parts = [pa.array(np.frombuffer(v, d)) for v, d in ((hashes, np.int64), (begins, np.int32), (sizes, np.int32))]
+        runs = pa.ListArray.from_arrays(pa.array(np.frombuffer(offsets, np.int32)), pa.StructArray.from_arrays(parts, ["run", "at", "n"]))
+        return pa.RecordBatch.from_pydict({"id": batch["id"], "th": batch["th"], "runs": runs})
 
-def _aligned(block_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for shared in batch["shared"].to_pylist():
-                own = {s["at"]: s["places"][0] for s in shared}  # a line is named by its first place in the other
-                other = {p: s["places"][0] for s in shared for p in s["places"]}
-                out.append(common_blocks(patience(own, other), {s["at"]: s["words"] for s in shared}, block_words))
-            yield pa.RecordBatch.from_pydict({"id": batch["id"], "th": batch["th"], "gone": pa.array(out, pa.list_(pa.int32()))})
-
-    return run
+    return lambda batches: released(batches, work)
 
 
-def common_lines(keyed: DataFrame, seed_words: int = SEED_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``id, th, gone``: numbers (blank lines not counted) of the lines that lie in common blocks with an earlier document.
+def common_lines(keyed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``id, th, gone``: runs of lines (first number, how many; blank lines not counted) that an earlier document has too.
 
     ``keyed`` has ``id, th, text``.
     """
-    distinct = keyed.filter("text is not null")
-    sheets = distinct.mapInArrow(_sheets, "id long, th long, lines array<struct<line:bigint,words:int>>")
-    lines = sheets.select("id", "th", F.posexplode("lines").alias("at", "l")).select("id", "th", "at", "l.line", "l.words")
-    # One row for each document and distinct line, with its places (equal rows of a table fold here).
-    places = materialize(
-        lines.groupBy("id", "th", "line").agg(F.array_sort(F.collect_set("at")).alias("places"), F.first("words").alias("words")),
-        "places",
-    )
-    first = places.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("id", "th")).alias("home")).filter("n > 1")
-    first = materialize(first.select("line", F.col("home.id").alias("home"), F.col("home.th").alias("home_th")), "homes")
-    seeds = places.filter(F.col("words") >= seed_words).join(first, "line").filter("id <> home or th <> home_th")
-    pairs = seeds.groupBy("id", "th", "home", "home_th").agg(F.sum(F.size("places") * F.col("words")).alias("seen"))
-    # Lines of the later document that others have too, for each of its pairs; then those that its partner has.
-    known = places.join(first.select("line"), "line")
-    mine = pairs.select("id", "th", "home", "home_th").join(known, ["id", "th"])
-    theirs = known.select(F.col("id").alias("home"), F.col("th").alias("home_th"), "line", F.col("places").alias("their_places"))
-    shared = mine.join(theirs, ["home", "home_th", "line"])
-    shared = shared.select("id", "th", "home", "home_th", "words", "their_places", F.explode("places").alias("at"))
-    per_pair = shared.groupBy("id", "th", "home", "home_th").agg(
-        F.collect_list(F.struct("at", "words", F.col("their_places").alias("places"))).alias("shared")
-    )
-    blocks = per_pair.select("id", "th", "shared").mapInArrow(_aligned(block_words), "id long, th long, gone array<int>")
-    return blocks.filter(F.size("gone") > 0).groupBy("id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
+    sheets = keyed.filter("text is not null").mapInArrow(_runs(block_words), "id long, th long, runs array<struct<run:bigint,at:int,n:int>>")
+    runs = materialize(sheets, "runs").select("id", "th", F.explode("runs").alias("r")).select("id", "th", "r.run", "r.at", "r.n")
+    document = F.struct("id", "th")
+    homes = runs.groupBy("run").agg(F.min(document).alias("home"), F.max(document).alias("last")).filter("home <> last").select("run", "home")
+    later = runs.join(materialize(homes, "homes"), "run").filter("id <> home.id or th <> home.th")
+    return later.groupBy("id", "th").agg(F.collect_set(F.struct("at", "n")).alias("gone"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +142,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts, n_lines = [], []
+    texts, n_lines, n_removed = [], [], []
     for text, gone in zip(batch["text"].to_pylist(), batch["gone"].to_pylist()):
         if text is None:
             texts.append(None)
             n_lines.append(0)
+            n_removed.append(0)
             continue
-        own, drop, number, kept = text.split("\n"), set(gone or ()), -1, []
+        own, drop, number, kept = text.split("\n"), {i for g in gone or () for i in range(g["at"], g["at"] + g["n"])}, -1, []
         for line in own:
             full = bool(line.strip(_BLANK))
             number += full
@@ -175,13 +157,14 @@ def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
                 kept.append(line)
         texts.append("\n".join(kept) if drop else text)
         n_lines.append(number + 1)
+        n_removed.append(len(drop))
     rest = {c: batch[c] for c in batch.schema.names if c not in ("text", "gone")}
     return pa.RecordBatch.from_pydict(
         rest
         | {
             "text": pa.array(texts, pa.string()),
             "n_lines": pa.array(n_lines, pa.int64()),
-            "n_removed": pa.array([len(g or ()) for g in batch["gone"].to_pylist()], pa.int64()),
+            "n_removed": pa.array(n_removed, pa.int64()),
         }
     )
 
@@ -189,9 +172,7 @@ def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
 _BLANK = " \t\n\r\x0b\x0c"
 
 
-def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed_words: int = SEED_WORDS, block_words: int = BLOCK_WORDS
-) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents with common blocks deleted: one struct column ``row`` of all given columns (the text
     cut), and ``n_lines``, ``n_removed``, which count lines that are not blank."""
     keyed = docs.select(
@@ -200,7 +181,7 @@ def dedup_lines(
         F.xxhash64(F.col(f"`{text_col}`")).alias("th"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
-    gone = common_lines(keyed.select("id", "th", "text"), seed_words, block_words)
+    gone = common_lines(keyed.select("id", "th", "text"), block_words)
     joined = keyed.join(gone, ["id", "th"], "left").select("rest", "text", "gone")
     schema = f"rest {dict(joined.dtypes)['rest']}, text string, n_lines long, n_removed long"
     cut = joined.mapInArrow(_cut, schema)

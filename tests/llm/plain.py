@@ -102,3 +102,17 @@ BASE = (
 def base_secrets(text):
     found = [(m.start(), k, m.end(), name) for k, (name, p, ok) in enumerate(BASE) for m in p.finditer(text or "") if ok(m)]
     return [f"{name}:{s}:{e}" for s, _, e, name in sorted(found)]
+
+
+def common_lines(docs, least=8, size=lambda line: len(line.split())):
+    """docs: (doc_id, text), ids distinct. Numbers of the lines in runs of at least so many words that an earlier document has."""
+    own = {d: [x.strip() for x in t.split("\n") if x.strip()] for d, t in docs}
+    runs = {d: {tuple(w[i:j]) for i in range(len(w)) for j in range(i + 1, len(w) + 1)} for d, w in own.items()}
+    out = {}
+    for d, w in own.items():
+        older = set().union(*(runs[e] for e in own if e < d))
+        out[d] = {
+            k for i in range(len(w)) for j in range(i + 1, len(w) + 1)
+            if tuple(w[i:j]) in older and sum(map(size, w[i:j])) >= least for k in range(i, j)
+        }
+    return out

@@ -250,3 +250,34 @@ def test_squeezed_numbers_come_back(dtype):
     for values in ([], [0], [info.max, info.min, 5], np.sort(r.integers(0, 1 << 30, 1000)), r.integers(info.min, info.max, 50, dtype=dtype)):
         values = np.array(values, dtype)
         assert np.array_equal(unsqueezed(squeezed(values), dtype), values)
+
+
+def removed_lines(sent, docs, **settings):
+    got = line_dedup.dedup_lines(sent.createDataFrame(docs, DOCS), **settings).collect()
+    return {r["row"]["doc_id"]: ([x for x in r["row"]["text"].split("\n") if x.strip()], r["n_removed"]) for r in got}
+
+
+def kept_by_plain(docs, **settings):
+    gone = plain.common_lines(docs, **settings)
+    lines = {d: [x for x in t.split("\n") if x.strip()] for d, t in docs}
+    return {d: ([x for i, x in enumerate(own) if i not in gone[d]], len(gone[d])) for d, own in lines.items()}
+
+
+def test_repeated_and_reordered_passages_go(sent):
+    one, two = [[LINE.format(i, name) for i in range(2)] for name in "ab"]
+    docs = [
+        (1, "\n".join(one + two + one)),  # the first holder has it twice
+        (2, "\n".join(["x", *two, "y", *one, "z"])),  # in another order
+        (3, "\n".join(["u", *one, "v", *one, "w", *one])),  # a later copy has it three times
+    ]
+    got = removed_lines(sent, docs)
+    assert got == kept_by_plain(docs)
+    assert got[2] == (["x", "y", "z"], 4) and got[3] == (["u", "v", "w"], 6)
+
+
+def test_common_lines_as_brute_force_finds_them(sent):
+    r = random.Random(5)
+    lines = ["a", "b c", "d e f", "g h i j k", "l m n o p q r s", "t u v w x y z 1 2"]
+    docs = [(i, "\n".join(r.choice([*lines, ""]) for _ in range(r.randrange(14)))) for i in range(60)]
+    docs += [(100 + i, "\n".join(r.choice(lines[:3]) + str(r.randrange(3)) for _ in range(r.randrange(20)))) for i in range(30)]
+    assert removed_lines(sent, docs) == kept_by_plain(docs)
