@@ -10,13 +10,14 @@
 
 "Earlier" is the smaller id; rows that share an id are told apart by a hash of their text, and equal
 rows count as one document (each gets that document's result). A null id comes after all others.
-A null text stays null and has no lines. Lines are compared without white space around them. Blank
-lines match nothing, do not break a block, and stay. Other columns are kept as they are. The first document of a
-line always keeps it.
+A null text stays null and has no lines. Lines are compared without white space around them. In scripts that
+write no spaces, words are counted by characters. Blank lines match nothing, do not break a block, and stay.
+Other columns are kept as they are. The first document of a line always keeps it.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
 from bisect import bisect_left
 from collections import Counter
@@ -31,6 +32,12 @@ from lapframe.llm.blocks import released
 from lapframe.session import materialize
 
 BLOCK_WORDS = 8
+#: Characters of scripts that write no spaces between words, and how many make about a word: Chinese and Japanese; Thai, Lao,
+#: Tibetan, Burmese, Khmer.
+SPACELESS = (
+    (re.compile("[\u2e80-\u312f\u3190-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]"), 2),
+    (re.compile("[\u0e00-\u109f\u1780-\u17ff\u19e0-\u19ff\ua9e0-\ua9ff\uaa60-\uaa7f]"), 4),
+)
 LAST = 9223372036854775807
 
 Lines = dict[int, int]
@@ -88,6 +95,17 @@ def patience(a: Lines, b: Lines) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def n_words(line: bytes) -> int:
+    """Words between white space; characters of scripts without spaces count by their number."""
+    if line.isascii():
+        return len(line.split())
+    text, more = line.decode("utf-8", "replace"), 0
+    for script, per_word in SPACELESS:
+        text, n = script.subn(" ", text)
+        more += -(-n // per_word)
+    return len(text.encode().split()) + more
+
+
 def shortest_runs(words: list[int], least: int) -> list[tuple[int, int]]:
     """Begin and end of the shortest run of lines with at least ``least`` words that each line begins, and that each line ends."""
     out, begin, held = set(), 0, 0
@@ -112,7 +130,7 @@ def _runs(block_words: int):
         for text in batch["text"].cast(pa.large_binary()):
             own = [x for x in (line.strip() for line in (text.as_py() or b"").split(b"\n")) if x]
             digests = [xxhash.xxh3_64_digest(x) for x in own]
-            for begin, end in shortest_runs([len(x.split()) for x in own], block_words):
+            for begin, end in shortest_runs([n_words(x) for x in own], block_words):
                 hashes.append(xxhash.xxh3_64_intdigest(b"".join(digests[begin:end])) - (1 << 63))
                 begins.append(begin)
                 sizes.append(end - begin)

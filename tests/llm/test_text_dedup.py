@@ -281,3 +281,22 @@ def test_common_lines_as_brute_force_finds_them(sent):
     docs = [(i, "\n".join(r.choice([*lines, ""]) for _ in range(r.randrange(14)))) for i in range(60)]
     docs += [(100 + i, "\n".join(r.choice(lines[:3]) + str(r.randrange(3)) for _ in range(r.randrange(20)))) for i in range(30)]
     assert removed_lines(sent, docs) == kept_by_plain(docs)
+
+
+def test_blocks_of_short_lines_first_seen_elsewhere_go(sent):
+    verse = ["so long", "and thanks", "for all", "the fish", "we said"]
+    docs = [(i, f"{line}\nown {i}") for i, line in enumerate(verse)]  # each line has another home
+    docs += [(10, "\n".join(["begin", *verse, "end"])), (11, "\n".join(["top", *verse, "bottom"]))]
+    docs += [(20, "f(x)\n{\n  a;\n  b;\n  c;\n  d;\n}\nreturn;"), (21, "g(x)\n{\n  a;\n  b;\n  c;\n  d;\n}\nreturn;\nf(x)\n{")]
+    got = removed_lines(sent, docs)
+    assert got == kept_by_plain(docs)
+    assert got[10][1] == 0 and got[11] == (["top", "bottom"], 5)
+
+
+def test_scripts_without_spaces_are_measured_in_characters(sent):
+    long = ["昨夜河水上涨到早晨低处的道路已经封闭", "夜のうちに川が増水して朝には道が閉ざされていた", "แม่น้ำเอ่อล้นในตอนกลางคืนและถนนสายล่างก็ปิดแล้ว"]
+    short = "河水上涨"
+    docs = [(1, "\n".join([*long, "甲", short])), (2, "乙\n" + long[0]), (3, f"{long[1]}\n丙"), (4, f"丁\n{long[2]}\n戊"), (5, f"{short}\n己")]
+    got = removed_lines(sent, docs)
+    assert got == {1: ([*long, "甲", short], 0), 2: (["乙"], 1), 3: (["丙"], 1), 4: (["丁", "戊"], 1), 5: ([short, "己"], 0)}
+    assert [line_dedup.n_words(x.encode()) for x in ("two words", "zwei Wörter", "河水 rose", "한국어 문장")] == [2, 2, 2, 2]
