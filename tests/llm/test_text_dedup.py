@@ -300,3 +300,13 @@ def test_scripts_without_spaces_are_measured_in_characters(sent):
     got = removed_lines(sent, docs)
     assert got == {1: ([*long, "甲", short], 0), 2: (["乙"], 1), 3: (["丙"], 1), 4: (["丁", "戊"], 1), 5: ([short, "己"], 0)}
     assert [line_dedup.n_words(x.encode()) for x in ("two words", "zwei Wörter", "河水 rose", "한국어 문장")] == [2, 2, 2, 2]
+
+
+def test_lines_repeated_very_often_in_two_documents(sent):
+    n = 20_000
+    log = "\n".join(["it went on so"] * n)
+    sources = [(100 + i, "\n".join(LINE.format(j, f"s{i}") for j in range(3))) for i in range(300)]
+    docs = [(1, "first log\n" + log), (2, log + "\nlast log"), *sources, (900, "\n".join(t for _, t in sources) + "\nthe end")]
+    got = removed_lines(sent, docs)
+    assert got[1][1] == 0 and got[2] == (["last log"], n)
+    assert got[900] == (["the end"], 900)
