@@ -4,7 +4,9 @@ A page is read as a row of words and tags. A word scores one; a tag scores a neg
 learned from labelled pages: how much more often, for a word, the tag stands outside articles
 than inside. A linear scan finds the contiguous region with the best sum. The labelled
 pages also tell which elements (by name, class, id or role) never hold article text: words in
-them score nothing and are left out of the text. The region is then fitted to the smallest
+them score nothing and are left out of the text, unless such an element wraps the article (``has-sidebar``, a
+form around the page): if the best region within one, without the furniture inside it, beats that of the rest of the
+page, it and what it stands in are shown. The region is then fitted to the smallest
 article or main element that holds most of its words, so that short first and last blocks stay.
 
 Text is decoded, white space in a block becomes one space, and blocks are joined by line breaks.
@@ -49,6 +51,9 @@ _TOKEN = re.compile(
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z]+")
 
+#: An element all of whose names are those of furniture wraps the article if its region is so many times the rest's.
+PLAIN_FURNITURE = 9
+
 #: Weight of a tag that no labelled page has, and the bounds of learned ones.
 UNKNOWN, LEAST, MOST = -0.5, -0.05, -4.0
 
@@ -81,8 +86,10 @@ class Page:
         self.elements: list[tuple[int, int, list[str]]] = []
         self.labels: list[tuple[int, bool]] = []
         self._weights, self._block = weights, 0
-        self._stack: list[tuple[str, int, bool, list[str]]] = []
-        self._hidden = 0
+        self._stack: list[tuple[str, int, int, list[str]]] = []
+        # Elements that look like furniture: the one each stands in, how much its region must beat the rest's, and the
+        # innermost of each place; 0 is the page.
+        self._within, self._factor, self._places, self._owner = [0], [0.0], [], 0
         at = 0
         for m in _TOKEN.finditer(source):
             if m.start() > at:
@@ -98,6 +105,24 @@ class Page:
             self._text(source[at:])
         while self._stack:
             self._pop()
+        shown = self._shown()
+        for place in self.texts:
+            if self._places[place] not in shown:
+                self.dropped.add(place)
+                self.scores[place] = 0.0
+
+    def _shown(self) -> set[int]:
+        """The page, and the element that wraps the article with all that it stands in."""
+        best, total = [0.0] * len(self._within), [0.0] * len(self._within)
+        for owner, score in zip(self._places, self.scores):
+            total[owner] = max(total[owner], 0.0) + score
+            best[owner] = max(best[owner], total[owner])
+        found = [(best[k], -k) for k in range(1, len(best)) if best[k] > self._factor[k] * best[0]]
+        shown, k = {0}, -max(found)[1] if found else 0
+        while k:
+            shown.add(k)
+            k = self._within[k]
+        return shown
 
     def _place(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -105,16 +130,16 @@ class Page:
         self.tags.append((len(self.scores), tag))
         self.scores.append(self._weights.tags.get(tag, UNKNOWN) if self._weights else 0.0)
         self.blocks.append(self._block)
+        self._places.append(self._owner)
 
     def _text(self, raw: str) -> None:
         if "&" in raw:
             raw = html.unescape(raw)
         place = len(self.scores)
         self.texts[place] = raw
-        if self._hidden:
-            self.dropped.add(place)
-        self.scores.append(0.0 if self._hidden else float(len(raw.split())))
+        self.scores.append(float(len(raw.split())))
         self.blocks.append(self._block)
+        self._places.append(self._owner)
 
     def _open(self, tag: str, rest: str) -> None:
         if tag in ENDS_P:
@@ -127,15 +152,28 @@ class Page:
         if tag in VOID or rest.rstrip().endswith("/") and tag not in BLOCKS:
             return
         own = marks(tag, rest)
-        hidden = bool(self._weights) and self._is_outside(tag, own)
-        self._hidden += hidden
-        self._stack.append((tag, len(self.scores) - 1, hidden, own))
-
-    def _is_outside(self, tag: str, own: list[str]) -> bool:
+        self._stack.append((tag, len(self.scores) - 1, self._owner, own))
+        if tag in WHOLE:  # what holds an article may be a wrapper, whatever it is called
+            k = self._owner
+            while k and self._factor[k] > 1:
+                self._factor[k] = 1.0
+                k = self._within[k]
+        elif self._weights and self._is_outside(tag, own, len(self._stack) - 1):
+            self._within.append(self._owner)
+            self._factor.append(self._wrapper_factor(tag, own))
+            self._owner = len(self._within) - 1
+
+    def _wrapper_factor(self, tag: str, own: list[str]) -> float:
+        """How many times the rest's region an element's must be, so that the element is no furniture: never for ``nav`` and the like."""
+        if tag != "form" and tag in self._weights.outside or tag == "header":
+            return math.inf
+        return PLAIN_FURNITURE if own[1:] and self._weights.outside.issuperset(own[1:]) else 1.0
+
+    def _is_outside(self, tag: str, own: list[str], depth: int) -> bool:
         """A page's or an article's own element is never furniture, whatever it is called; a header near the top is."""
         if tag in ("html", "body", *WHOLE):
             return False
-        if tag == "header" and len(self._stack) <= 3 and not any(e[0] in WHOLE for e in self._stack):
+        if tag == "header" and depth <= 3 and not any(e[0] in WHOLE for e in self._stack):
             return True
         return not self._weights.outside.isdisjoint(own)
 
@@ -160,8 +198,7 @@ class Page:
                 return
 
     def _pop(self) -> None:
-        tag, place, hidden, own = self._stack.pop()
-        self._hidden -= hidden
+        tag, place, self._owner, own = self._stack.pop()
         self.elements.append((place, len(self.scores), own))
 
     def _close(self, tag: str, _rest: str) -> None:

@@ -59,6 +59,27 @@ def test_odd_pages():
     assert text("<div" + "<p>" * 50) is not None
 
 
+WRAPPERS = ("<div class='has-sidebar'>", "<div class='content no-nav'>", "<div id='page' class='search-open'>", "<form method='post' id='aspnetForm'>", "<form>", "<div class='widget'>")
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main class='wide'>{}</main>", "<div class='post'>{}</div>", "{}", "<div class='with-banner'>{}</div>"])
+def test_wrappers_named_like_furniture_keep_the_article(wrapper, inner):
+    words = ["The river rose in the night and the lower road was closed.", "Two boats were brought from the mill to fetch the families."]
+    around = "<nav><a href='/'>Home</a> <a href='/n'>News</a></nav>{}<div class='sidebar'><p>Most read this week</p></div><div class='comments'><div class='comment'><p>Great story, thank you all!</p></div></div>"
+    body = around.format(inner.format("".join(f"<p>{w}</p>" for w in words) + "<div class='ad'>Buy boots</div>"))
+    page = f"<html><head><title>Flood</title></head><body>{wrapper}{body}</{re.match('<([a-z]+)', wrapper)[1]}></body></html>"
+    assert html_text.main_text(page, WEIGHTS) == "\n".join(words)
+
+
+def test_furniture_larger_than_a_short_article_stays_hidden():
+    comments = "<div class='comments'>" + "<p>I think that this is a very good story and I would like more.</p>" * 6 + "</div>"
+    story = "<p>The river rose in the night and the lower road was closed to all carts.</p><p>It opened again on Friday.</p>"
+    for page in (f"<body><div class='post'>{story}</div>{comments}</body>", f"<body><article>{story}</article>{comments}</body>"):
+        assert html_text.main_text(page, WEIGHTS) == "The river rose in the night and the lower road was closed to all carts.\nIt opened again on Friday."
+    assert html_text.main_text("<head><title>Flood</title></head><body><nav>x y z</nav></body>", WEIGHTS) == ""
+
+
 def test_viterbi_is_the_best_of_all_paths():
     r = np.random.default_rng(1)
     model = chat_format.from_counts(r.integers(0, 9, (7, 6)).astype(float), r.integers(0, 9, (6, chat_format.SYMBOLS)).astype(float))
