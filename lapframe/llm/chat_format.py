@@ -5,8 +5,8 @@ of speaker marker it starts with, whether a blank line stands before it, and how
 Transitions and emissions are counted on labelled transcripts. Viterbi gives the most probable
 states, and turns are rendered in one canonical form.
 
-A transcript of any length is decoded exactly in blocks of ``block_turns`` order values, spread over all
-tasks: a block is first summed up as a table of the best score from every state before it to every
+A transcript of any length is decoded exactly in blocks of ``block_turns`` rows, whatever their order values, spread over
+all tasks: a block is first summed up as a table of the best score from every state before it to every
 state at its end, the tables of a transcript are chained to find the states at block borders,
 and each block is then decoded between its borders. Only the tables of one transcript meet in one task.
 
@@ -29,13 +29,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapframe.llm.blocks import partitions
-from lapframe.session import materialize
+from lapframe.operators.ordered import row_numbers
+from lapframe.session import materialize, max_group_rows
 
 ROLES = ("system", "user", "assistant")
 BEGINS = (0, 2, 4)  # states by number: role * 2, plus one for a line that goes on
 STATES = 6
 START = STATES
 BLOCK_TURNS = 500
+#: Blocks of a transcript that one task may number; a longer transcript is numbered in parts.
+TASK_BLOCKS = 200
 LAST = 9223372036854775807
 
 #: Names of speakers.
@@ -168,10 +171,16 @@ def learn(transcripts: DataFrame) -> Model:
 
 
 def prepared(rows: DataFrame, conv_col: str, order_col: str, text_col: str, block_turns: int, *more: str) -> DataFrame:
-    """``conv, place, block, share, text`` (and more columns): a share holds many whole blocks."""
+    """``conv, place, block, share, text`` (and more columns): a share holds many whole blocks.
+
+    ``place`` is a row's number in its transcript, from 0.
+    """
     place = F.coalesce(F.col(order_col).cast("long"), F.lit(LAST))
     out = rows.select(F.col(conv_col).cast("long").alias("conv"), place.alias("place"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more)
-    out = out.withColumn("block", F.floor(F.col("place") / block_turns).cast("long"))
+    most = min(max_group_rows(rows.sparkSession), TASK_BLOCKS * block_turns)
+    out = row_numbers(out, ["conv"], ["place", "text", *more], "number", most)
+    out = out.withColumn("place", F.col("number") - 1).drop("number")
+    out = out.withColumn("block", F.expr(f"place div {block_turns}"))
     return out.withColumn("share", F.pmod(F.xxhash64("conv", "block"), F.lit(4 * partitions(rows))).cast("int"))
 
 

@@ -125,6 +125,22 @@ def test_blocks_do_not_change_the_turns(sent, chats):
     assert len(turns(3)) > 50
 
 
+def test_equal_and_null_turns_are_cut_into_blocks(sent, chats):
+    _, model = chats
+    # Fewer spaces before a marker sort later, so speakers take turns in the order of texts too.
+    lines = [f"{' ' * (900 - i)}{'AI' if i % 2 else 'Human'}: line {i:04}\nand more of it\n" for i in range(900)]
+    for conv, turn in ((None, lambda i: None), (7, lambda i: 3), (None, lambda i: i // 300)):
+        rows = sent.createDataFrame([(conv, turn(i), x) for i, x in enumerate(lines)], "conv_id long, turn long, text string")
+        for n in (4, 50):  # the first also numbers the transcript in parts
+            ready = chat_format.prepared(rows, "conv_id", "turn", "text", n).collect()
+            order = [r["text"] for r in sorted(ready, key=lambda r: r["place"])]
+            assert order == lines
+            sizes = [len(list(g)) for _, g in itertools.groupby(sorted(r["block"] for r in ready))]
+            assert sizes == [n] * (900 // n)
+        got = [sorted((r["turn"], r["role"], r["text"]) for r in chat_format.format_chats(rows, model, block_turns=n).collect()) for n in (50, 1 << 40)]
+        assert got[0] == got[1] and len(got[0]) == 900
+
+
 def test_canonical_form(sent, chats):
     _, model = chats
     rows = [(1, 0, "System: be kind\n"), (1, 1, "Q: why?\nreally why?\n"), (1, 2, "### Assistant\nbecause\n"), (2, None, None), (3, 0, ""), (4, 1, "A: yes"), (4, 0, "User: is it?\n")]
