@@ -2,13 +2,14 @@
 
 Training, on at most ``train_rows`` labelled rows (a documented bound; the rows with the least hash
 of their id): words, and beginnings of words, that toxic documents have and clean ones lack
-become the lexicon, and a logistic regression weighs what was matched.
+become the lexicon, if chance would hardly bring that about (a binomial test, so rare words
+stay however many labels there are), and a logistic regression weighs what was matched.
 
 Matching: the lexicon is a trie. A Levenshtein automaton walks it together with the word: a state
 is the set of trie nodes still within reach and their least edits, and states are made on demand
 and kept, so a word costs one look-up a letter and most words die after a few. Terms allow no
 edits below five letters, one from five and two from nine on; terms that are beginnings of words
-match any ending.
+match any ending, with the edits of their own length. Words that a beginning covers are terms too.
 
 Context: a match within a few words of quotation marks or a verb of saying counts as quoted, one
 near a word of address counts as aimed at somebody; both have their own weights.
@@ -35,7 +36,8 @@ from lapframe.llm.blocks import released
 
 TRAIN_ROWS = 20_000
 FOLDS = 5
-MAX_TERMS = 2_000
+#: A term has at least so many toxic documents, and by chance so rarely as many.
+LEAST, CHANCE = 4, 1e-3
 CONTEXT_WORDS = 5
 BEGINNINGS = (4, 5, 6, 7, 8)
 CACHE_WORDS = 100_000
@@ -61,7 +63,7 @@ def core(chunk: str) -> str:
 def terms_of(text: str | None) -> set[str]:
     """Words, and beginnings of longer words marked with a star."""
     words = {core(c) for c in set(_CHUNK.findall(text or ""))}
-    out = {w for w in words if 4 <= len(w) <= 24}
+    out = {w for w in words if 2 <= len(w) <= 24}
     return out | {w[:n] + "*" for w in out for n in BEGINNINGS if len(w) > n}
 
 
@@ -78,13 +80,26 @@ def _counted(wanted):
     return run
 
 
+def by_chance(toxic: int, clean: int, share: float) -> float:
+    """How probable at least ``toxic`` of all a term's documents are if each is toxic with probability ``share``."""
+    n = toxic + clean
+    each = math.lgamma(n + 1) - math.lgamma(toxic + 1) - math.lgamma(clean + 1) + toxic * math.log(share) + clean * math.log1p(-share)
+    part, total = math.exp(each), 0.0
+    for k in range(toxic, n + 1):
+        total += part
+        part *= (n - k) / (k + 1) * share / (1 - share)
+    return min(total, 1.0)
+
+
 def choose_lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, strength: float = 3.0) -> list[str]:
-    """Terms whose odds of toxicity are high; a beginning stands for the longer terms it covers."""
+    """Terms whose odds of toxicity are high, and not by chance; a beginning stands for the longer beginnings it covers."""
 
     def odds(t: str) -> float:
         return math.log((toxic[t] + 0.5) / (n_toxic + 1)) - math.log((clean.get(t, 0) + 0.5) / (n_clean + 1))
 
-    strong = sorted((t for t in toxic if odds(t) >= strength), key=lambda t: (len(t.rstrip("*")), "*" not in t, t))
+    share = n_toxic / (n_toxic + n_clean)
+    strong = (t for t in toxic if odds(t) >= strength and by_chance(toxic[t], clean.get(t, 0), share) <= CHANCE)
+    strong = sorted(strong, key=lambda t: (len(t.rstrip("*")), "*" not in t, t))
     chosen: dict[str, int] = {}
     for t in strong:
         stem = t.rstrip("*")
@@ -97,7 +112,9 @@ def choose_lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n
         if same:
             del chosen[t]
             chosen[max(same, key=lambda w: (toxic[w], w))] = toxic[t]
-    return sorted(chosen, key=lambda t: (-chosen[t], t))[:MAX_TERMS]
+    # Misspellings are near to words, so the words that a beginning covers stay.
+    chosen |= {t: toxic[t] for t in strong if not t.endswith("*")}
+    return sorted(chosen, key=lambda t: (-chosen[t], t))
 
 
 @dataclass
@@ -106,10 +123,11 @@ class Automaton:
 
     A state maps trie nodes to the least edits that reach them. ``step`` takes a letter: it may stand
     for a trie letter (no edit, or one if it differs), be inserted (one edit), and trie letters
-    may be skipped (one edit each).
+    may be skipped (one edit each). With ``near_beginnings``, beginnings too may be some edits away.
     """
 
     terms: list[str]
+    near_beginnings: bool = False
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     limit: list[int] = field(default_factory=lambda: [0])
     ends: dict[int, tuple[int, bool]] = field(default_factory=dict)
@@ -117,7 +135,7 @@ class Automaton:
     def __post_init__(self):
         for number, term in enumerate(self.terms):
             stem, open_end = term.rstrip("*"), term.endswith("*")
-            edits = 0 if len(stem) < 5 or open_end else 1 if len(stem) < 9 else 2
+            edits = self._edits(term)
             node = 0
             self.limit[0] = max(self.limit[0], edits)
             for letter in stem:
@@ -128,7 +146,7 @@ class Automaton:
                 node = self.children[node][letter]
                 self.limit[node] = max(self.limit[node], edits)
             self.ends[node] = (number, open_end)
-        self.edits = [0 if len(t.rstrip("*")) < 5 or t.endswith("*") else 1 if len(t) < 9 else 2 for t in self.terms]
+        self.edits = [self._edits(t) for t in self.terms]
         self.states: list[dict[int, int]] = []
         self.names: dict[tuple, int] = {}
         self.moves: list[dict[str, int]] = []
@@ -136,6 +154,10 @@ class Automaton:
         self.final: list[tuple[int, int] | None] = []  # what any word that gets here matches
         self.start = self._name(self._closed({0: 0}))
 
+    def _edits(self, term: str) -> int:
+        size = len(term.rstrip("*"))
+        return 0 if size < 5 or term.endswith("*") and not self.near_beginnings else 1 if size < 9 else 2
+
     def _closed(self, state: dict[int, int]) -> dict[int, int]:
         """Add nodes reached by skipping trie letters."""
         work = list(state)
@@ -238,7 +260,7 @@ class Model:
 
 def _featured(lexicon: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, cache = Automaton(lexicon), {}
+        automaton, cache = Automaton(lexicon, near_beginnings=True), {}
         for batch in batches:
             rows = [features(t.as_py(), automaton, cache) for t in batch["text"]]
             yield pa.RecordBatch.from_pydict({"toxic": batch["toxic"], "x": pa.array([r.tolist() for r in rows], pa.list_(pa.float64()))})
@@ -284,10 +306,9 @@ def train(
             share = n_toxic / max(1, n_toxic + n_clean)
             return Model([], np.array([0.0] * FEATURES + [math.log((share + 1e-9) / (1 - share + 1e-9))]))
         schema = "term string, n long"
-        least = max(4, n_toxic // 50)
         own = rows.filter("toxic = 1").select("text").mapInArrow(_counted(None), schema).groupBy("term").agg(F.sum("n").alias("n"))
-        frequent = own.filter(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(20 * MAX_TERMS)
-        toxic = {r["term"]: r["n"] for r in frequent.collect()}
+        # As many as at most train_rows documents have several times.
+        toxic = {r["term"]: r["n"] for r in own.filter(F.col("n") >= LEAST).collect()}
         sent = docs.sparkSession.sparkContext.broadcast(frozenset(toxic))
         other = rows.filter("toxic = 0").select("text").mapInArrow(_counted(sent), schema).groupBy("term").agg(F.sum("n").alias("n"))
         clean = {r["term"]: r["n"] for r in other.collect()}
@@ -304,7 +325,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns in a struct ``row``, with ``score`` and ``predicted``. One pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, cache = Automaton(model.lexicon), {}
+        automaton, cache = Automaton(model.lexicon, near_beginnings=True), {}
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             x = np.array([features(t.as_py(), automaton, cache) for t in batch["text"]]).reshape(-1, FEATURES)

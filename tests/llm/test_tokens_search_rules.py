@@ -244,3 +244,38 @@ def test_toxicity_with_nulls_and_without_labels(sent):
     assert len(got) == 4 and all(0 <= r["score"] < 0.5 and r["predicted"] == 0 and r["row"]["score"] == 1 for r in got)
     labelled = sent.createDataFrame([(1, 1), (2, None), (None, 1), (5, 1)], "doc_id long, toxic int")
     assert toxicity.score(docs, toxicity.train(docs, labelled)).count() == 4
+
+
+def test_beginnings_match_near_words():
+    r = random.Random(4)
+    terms = ["idiot*", "scum*", "disgusting*", "trash", "lowei*"]
+    automaton = toxicity.Automaton(terms, near_beginnings=True)
+    for _ in range(2000):
+        word = list(r.choice(terms).rstrip("*") + r.choice(["", "s", "ic", "xyz"]))
+        for _ in range(r.randrange(4)):
+            at = r.randrange(len(word) + 1)
+            word[at : at + r.randrange(2)] = r.choice(["", "a", "i", "t", "1"])
+        word = "".join(word)
+        costs = []
+        for t, most in zip(terms, (1, 0, 2, 1, 1)):
+            stem = t.rstrip("*")
+            cost = min(plain.edits(word[:n], stem) for n in range(len(word) + 1)) if t.endswith("*") else plain.edits(word, t)
+            costs += [cost] if cost <= most else []
+        got = automaton.match(word)
+        assert (got and got[1]) == min(costs, default=None)
+
+
+def test_rare_short_and_inflected_insults_are_learned(sent):
+    import zlib
+
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
+    r = random.Random(8)
+    neutral = ["garden", "river", "stone", "market", "window", "letter", "summer", "bridge", "the", "and", "of", "old"]
+    insults = ["idiot"] * 200 + ["idiots"] * 150 + ["oaf"] * 100 + ["blockhead"] * 7 + ["clown"] * 143
+    rows = [(i, " ".join(r.choice(neutral) for _ in range(12)) + (f" {insults[k]}" if k < 600 else ""), int(k < 600)) for k, i in enumerate(ids)]
+    docs = sent.createDataFrame([x[:2] for x in rows], DOCS)
+    model = toxicity.train(docs, sent.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int"))
+    words = ["iidiot", "1diot", "idiiots", "oaf", "blockhead", "blokhead", "idiot", "garden", "letters"]
+    asked = sent.createDataFrame([(i, f"the old {w} of the market") for i, w in enumerate(words)], DOCS)
+    got = {words[x["row"]["doc_id"]]: x["score"] for x in toxicity.score(asked, model).collect()}
+    assert all(got[w] > 2 * got["garden"] for w in words[:7]) and got["letters"] == got["garden"]
