@@ -7,8 +7,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from lapframe.session import MAX_GROUP_ROWS_CONF, build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
