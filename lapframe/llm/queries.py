@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from lapframe.llm import chat_format, decontaminate, html_text, line_dedup, neighbours, packing, secrets, simhash, substring_dedup, toxicity
+from lapframe.llm import (
+    chat_format,
+    decontaminate,
+    html_text,
+    line_dedup,
+    neighbours,
+    packing,
+    prefix_free,
+    secrets,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from lapframe.llm.ship import shipped
 
 QUERIES = {
@@ -16,10 +28,12 @@ QUERIES = {
     "op8_toxicity": shipped(toxicity.query),
     "op9_chat_format": shipped(chat_format.query),
     "op10_decontaminate": shipped(decontaminate.query),
+    "op12_prefix_free": shipped(prefix_free.query),
 }
 
 ORACLES = {
     "op1_substring_dedup": substring_dedup.ORACLE,
     "op4_secrets": secrets.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op12_prefix_free": prefix_free.ORACLE,
 }
