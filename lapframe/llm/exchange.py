@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapframe.llm.blocks import BLOCK_BYTES, partitions, release
+from lapframe.llm.blocks import BLOCK_BYTES, pack, partitions, release, slices
+from lapframe.session import materialize
 
 #: Text behind one share of a shuffle, so that a share stays small however large the corpus is.
 SHARE_BYTES = 16 << 20
@@ -50,3 +52,19 @@ def together(parts: list[tuple[DataFrame, str]], key: str, work: Callable[..., p
         return out
 
     return rows.groupBy(key).applyInArrow(run, result)
+
+
+def text_blocks(rows: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Write rows as blocks ``block long, docs binary`` of about ``block_bytes`` of text, with all their columns.
+
+    The table is written to the shared folder, so that a block keeps its number when it is read again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text, block_bytes):
+                yield pa.RecordBatch.from_pydict(
+                    {"block": [uuid.uuid4().int >> 65], "docs": [pack(part)]}, arrow_schema("block long, docs binary")
+                )
+
+    return materialize(rows.mapInArrow(run, "block long, docs binary"), "blocks")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lapframe.llm import (
     chat_format,
+    collocations,
     decontaminate,
     html_text,
     line_dedup,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_chat_format": shipped(chat_format.query),
     "op10_decontaminate": shipped(decontaminate.query),
     "op12_prefix_free": shipped(prefix_free.query),
+    "op13_collocations": shipped(collocations.query),
 }
 
 ORACLES = {
@@ -36,4 +38,5 @@ ORACLES = {
     "op4_secrets": secrets.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
     "op12_prefix_free": prefix_free.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }

@@ -117,3 +117,15 @@ def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
         at = least(at[:-have], at[have:])
         have *= 2
     return least(at[: len(at) - (width - have)], at[width - have :]) if width > have else at
+
+
+#: A-Z as a-z, every other byte as it is.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+
+
+def strings(words: Words) -> pa.LargeStringArray:
+    """The words themselves, A-Z lower-cased."""
+    letters = LOWER[words.data[words.inside[words.data]]]
+    ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(ends.tobytes()), pa.py_buffer(letters.tobytes()))
