@@ -11,6 +11,7 @@ from lapframe.llm import (
     neighbours,
     packing,
     prefix_free,
+    ranked_search,
     secrets,
     simhash,
     substring_dedup,
@@ -29,6 +30,7 @@ QUERIES = {
     "op8_toxicity": shipped(toxicity.query),
     "op9_chat_format": shipped(chat_format.query),
     "op10_decontaminate": shipped(decontaminate.query),
+    "op11_ranked_search": shipped(ranked_search.query),
     "op12_prefix_free": shipped(prefix_free.query),
     "op13_collocations": shipped(collocations.query),
 }
@@ -37,6 +39,7 @@ ORACLES = {
     "op1_substring_dedup": substring_dedup.ORACLE,
     "op4_secrets": secrets.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
     "op12_prefix_free": prefix_free.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
