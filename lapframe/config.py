@@ -66,7 +66,7 @@ class FeatureConfig:
     drop_pit_laps: bool = False
     wide_levels: int = 200
     n_folds: int = FOLDS
-    model: dict[str, object] = field(default_factory=lambda: {"type": "gbt", "params": {}})
+    model: dict[str, object] = field(default_factory=lambda: {"type": "hgb", "params": {}})
     fractions: tuple[float, float] = BAND_FRACTIONS
 
     @classmethod

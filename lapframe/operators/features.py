@@ -10,6 +10,7 @@ from lapframe.functions.arrays import decode_flags, strip_prefix
 from lapframe.functions.times import day_angle, seconds_between
 from lapframe.operators.clean import names_with, numeric_names
 from lapframe.operators.ordered import neighbours, over_groups
+from lapframe.session import materialize
 
 
 def lag_features(
@@ -88,20 +89,19 @@ def category_levels(
 ) -> tuple[dict[str, list[str]], list[str]]:
     """Sorted distinct values of each column, and the columns that have more than ``wide_levels``.
 
-    One pre-aggregated job. At most ``wide_levels`` values of a column come to the driver; a column
-    with more is left to the sparse encoder of the training pipeline, which has no limit.
+    One pass over the rows; their distinct levels are written. At most ``wide_levels`` values of a column come to
+    the driver; a column with more is left to the level dictionary, which has no limit.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return {}, []
-    distinct = one_hot_long(df, [], present).distinct()
-    values = F.array_sort(F.collect_list("level"))
-    counts = distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    small = counts.where(F.col("n") <= wide_levels).select("feature")
-    listed = distinct.join(small, "feature", "left_semi").groupBy("feature").agg(values.alias("levels"))
-    found = {r["feature"]: r["levels"] for r in listed.collect()}
-    many = {r["feature"] for r in counts.where(F.col("n") > wide_levels).select("feature").collect()}
-    return {c: found.get(c, []) for c in present if c not in many}, [c for c in present if c in many]
+    distinct = materialize(one_hot_long(df, [], present).distinct(), "levels")
+    counts = {r["feature"]: r["n"] for r in distinct.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    many = [c for c in present if counts.get(c, 0) > wide_levels]
+    found: dict[str, list[str]] = {c: [] for c in present if c not in many}
+    for r in distinct.where(F.col("feature").isin(list(found))).collect():
+        found[r["feature"]].append(r["level"])
+    return {c: sorted(v, key=lambda level: level.encode()) for c, v in found.items()}, many
 
 
 def one_hot_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -124,10 +124,12 @@ def one_hot(
 ) -> tuple[dict[str, Column], dict[str, list[str]]]:
     """Expressions ``{column}_{level}`` of 1.0 or 0.0. All levels are kept; null gives zeros.
 
-    Without given levels, columns with more than ``wide_levels`` are left out.
+    Without given levels, a column with more than ``wide_levels`` is an error: ``levels.sparse_rows`` takes any number.
     """
     if levels is None:
-        levels, _ = category_levels(df, columns, wide_levels)
+        levels, many = category_levels(df, columns, wide_levels)
+        if many:
+            raise ValueError(f"{', '.join(many)}: more than {wide_levels} levels; use a level dictionary and sparse rows")
     made = {
         f"{c}_{v}": F.when(F.col(f"`{c}`").cast("string") == v, 1.0).otherwise(0.0)
         for c, values in levels.items()

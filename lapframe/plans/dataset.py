@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lapframe.config import FeatureConfig
 from lapframe.functions.text import group_key
-from lapframe.operators import clean, features
+from lapframe.operators import clean, features, levels as dictionaries
 from lapframe.session import max_group_rows
 
 
@@ -85,8 +85,8 @@ def build(
 ) -> FeatureSet:
     """The feature frame: numeric candidates, lags, one-hot levels and flag columns.
 
-    Laps that share the lap order are put in order by all their values, so that lags are the same
-    in every run.
+    Laps that share the lap order are put in order by all their values that are used, so that lags are the
+    same in every run.
 
     A name occurs once: a flag column wins over a one-hot column of the same name.
     Exclusions apply to every base column but not to lags. Columns without any value are
@@ -116,7 +116,8 @@ def build(
         sparse = many if sparse is None else sparse
     sparse = list(sparse or [])
     hot, levels = features.one_hot(rows, cfg.categorical, levels)
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    used = {*cfg.driver_keys, *cfg.group_keys, *cfg.lap_order, *base, *flags, *cfg.lags, *cfg.categorical, *carry, cfg.target}
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c in used])
     rows = features.lag_features(
         rows.withColumn("_tie", tie), cfg.driver_keys, [*cfg.lap_order, "_tie"], cfg.lags, fits=fits
     ).drop("_tie")
@@ -146,6 +147,17 @@ def build(
     return FeatureSet(frame, names, levels, sparse)
 
 
+def sparse_features(made: FeatureSet, dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The frame with its wide text columns as ``indices`` and ``values``, and the dictionary of their levels.
+
+    A dictionary from training gives a scoring frame the same slots. Any number of levels will do.
+    """
+    columns = [f"{c}{SPARSE}" for c in made.sparse]
+    if dictionary is None:
+        dictionary = dictionaries.level_dictionary(made.frame, columns)
+    return dictionaries.sparse_rows(made.frame, columns, dictionary).drop(*columns), dictionary
+
+
 def _with_values(
     rows: DataFrame, made: dict, lags: dict[str, tuple[str, int]], seen: Profile | None
 ) -> list[str]:

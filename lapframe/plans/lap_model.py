@@ -55,7 +55,7 @@ def train(
     model = training.fit(learned, made.names, spec, target)
     oof = materialize(oof, "oof")
     quantiles = materialize(evaluate.residual_quantiles(oof, fractions))
-    importance = materialize(training.importance(model, learned, made.names, cfg.driver_keys, target))
+    importance = materialize(training.importance(model, learned, made.names, cfg.driver_keys, target, spec.categorical))
     bundle = training.Bundle(model, made.names, made.levels, baseline, quantiles, made.sparse, importance)
     return bundle, evaluate.with_band(oof, quantiles)
 

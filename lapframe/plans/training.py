@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,17 +18,22 @@ from lapframe import config
 from lapframe.operators.evaluate import error_metrics
 from lapframe.operators.folds import with_folds
 from lapframe.operators.ordered import row_numbers
+from lapframe.operators.sample import seeded_sample
+from lapframe.plans import boosting
+from lapframe.plans.encoding import LevelEncoder
 from lapframe.session import materialize, new_path, shared_dir
 from lapframe.sources.writers import partitioned_parquet
 
 SEED = 42
 PREDICTION = "pred_lap_time"
 
-# The default settings of the two model kinds. Depth must be bounded here.
+# The default settings of Spark's own model kinds. Depth must be bounded here.
 GBT_DEFAULTS = {"maxIter": 400, "stepSize": 0.08, "minInstancesPerNode": 20, "maxDepth": 8}
 FOREST_DEFAULTS = {"numTrees": 400, "minInstancesPerNode": 2, "maxDepth": 12}
 # What settings are called elsewhere, per model kind.
 RENAMED = {
+    "hgb": {name: name for name in boosting.Settings.__dataclass_fields__ if name != "forest"},
+    "forest": {"n_estimators": "max_iter", "max_depth": "max_depth", "min_samples_leaf": "min_samples_leaf", "max_features": "feature_fraction"},
     "gbt": {
         "max_iter": "maxIter", "learning_rate": "stepSize", "min_samples_leaf": "minInstancesPerNode",
         "max_depth": "maxDepth", "feature_fraction": "featureSubsetStrategy",
@@ -37,20 +41,26 @@ RENAMED = {
     },
     "rf": {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode"},
 }
-KINDS = {"hgb": "gbt", "gbt": "gbt", "rf": "rf"}
+# What the types of a settings file are here.
+KINDS = {"hgb": "hgb", "gbt": "gbt", "rf": "forest"}
+# The default settings of a forest. Its trees have as many leaves as rows allow.
+HISTOGRAM_FOREST = {"max_iter": 400, "min_samples_leaf": 2, "max_leaf_nodes": None, "forest": True}
 PERMUTATION_ROWS = 1000
 PERMUTATION_REPEATS = 5
+# Rows that change places among themselves.
+PERMUTED_ROWS = 100_000
 
 
 @dataclass
 class ModelSpec:
     """A model's kind and settings, its text columns, and a bound on the labelled rows it is fitted on.
 
-    With ``max_rows`` the rows with the least hash are taken, the same on any partitioning. Without it
+    Kinds are ``hgb`` (histogram boosting, best-first, of any depth), ``forest`` (such trees on bootstraps), and
+    ``gbt`` and ``rf`` (Spark's trees). With ``max_rows`` the rows with the least hash are taken, the same on any partitioning. Without it
     all rows are used. Scoring always covers all rows.
     """
 
-    kind: str = "gbt"
+    kind: str = "hgb"
     params: dict[str, object] = field(default_factory=dict)
     categorical: list[str] = field(default_factory=list)
     max_rows: int | None = None
@@ -59,7 +69,7 @@ class ModelSpec:
     def from_settings(cls, model: dict[str, object], max_rows: int | None = None) -> ModelSpec:
         """From a settings file's ``type`` and ``params``. Settings without a counterpart are an error,
         unless they switch nothing on (null or zero)."""
-        kind = KINDS.get(model.get("type", "gbt"))
+        kind = KINDS.get(model.get("type", "hgb"))
         if kind is None:
             raise ValueError(f"unknown model kind {model.get('type')!r}")
         params: dict[str, object] = {}
@@ -73,7 +83,11 @@ class ModelSpec:
         return cls(kind, params, [], max_rows)
 
 
-def regressor(spec: ModelSpec, target: str):
+def regressor(spec: ModelSpec, target: str, names: Sequence[str] = ()):
+    if spec.kind in ("hgb", "forest"):
+        codes = [f"{c}_code" for c in spec.categorical]
+        given = {**(HISTOGRAM_FOREST if spec.kind == "forest" else {}), **spec.params}
+        return boosting.HistogramBoosting(names, codes, target, PREDICTION, boosting.Settings(**given))
     common = {"featuresCol": "features", "labelCol": target, "predictionCol": PREDICTION, "seed": SEED}
     if spec.kind == "gbt":
         return GBTRegressor(**{**common, **GBT_DEFAULTS, **spec.params})
@@ -83,8 +97,12 @@ def regressor(spec: ModelSpec, target: str):
 
 
 def pipeline(spec: ModelSpec, names: Sequence[str], target: str = config.TARGET) -> Pipeline:
-    """Sparse one-hot of the categoricals, one feature vector, and the regressor."""
+    """The stages of a kind: level codes and boosting, or sparse one-hot, one feature vector and Spark's trees."""
     stages: list = []
+    if spec.kind in ("hgb", "forest"):
+        if spec.categorical:
+            stages.append(LevelEncoder(spec.categorical))
+        return Pipeline(stages=[*stages, regressor(spec, target, names)])
     inputs = list(names)
     if spec.categorical:
         index = [f"_{c}_index" for c in spec.categorical]
@@ -216,6 +234,12 @@ def feature_importance(model: PipelineModel, frame: DataFrame) -> DataFrame:
     )
 
 
+def gain_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """What the splits of each column gained, as a share of all, greatest first. Levels count for their column."""
+    rows = [(n, v) for n, v in model.stages[-1].gains().items()]
+    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+
+
 def permutation_importance(
     model: PipelineModel,
     frame: DataFrame,
@@ -224,46 +248,40 @@ def permutation_importance(
     target: str = config.TARGET,
     sample: int | None = PERMUTATION_ROWS,
     repeats: int = PERMUTATION_REPEATS,
+    texts: Sequence[str] = (),
+    block_rows: int = PERMUTED_ROWS,
 ) -> DataFrame:
-    """Loss of R2 when one feature is shuffled, averaged over repeats, greatest first.
+    """Loss of R2 when one column is shuffled, averaged over repeats, greatest first.
 
+    Columns are shuffled as they come, before any encoding: a text column moves with all its one-hot slots.
     The sample is the rows with the least key hash: the same rows on any partitioning; ``None`` takes
-    the whole frame. All shuffled copies (rows x features x repeats) are scored in one pass.
+    the whole frame. Rows change places within blocks that a hash deals them to, so nothing is sorted as a
+    whole. All shuffled copies (rows x columns x repeats) are scored in one pass.
     """
-    width = len(names)
-    takes = model.stages[-1].numFeatures
-    if takes != width:
-        raise ValueError(f"the model takes {takes} inputs, {width} are named; it has encoded text columns")
-    hashed = F.xxhash64(*[F.col(k) for k in row_key], F.lit(SEED))
-    rows = (
-        frame.select(
-            F.col(target).alias("_y"),
-            F.array(*[F.col(f"`{n}`").cast("double") for n in names]).alias("_x"),
-            hashed.alias("_h"),
-        )
-    )
+    raw = [*names, *texts]
     if sample is not None:
-        rows = rows.orderBy("_h", "_y").limit(sample)
-    rows = materialize(rows, "permuted")
-    # Two orders of the same rows, numbered in pieces however many rows there are.
-    repeat = F.explode(F.sequence(F.lit(1), F.lit(repeats)))
-    copies = rows.withColumn("_r", repeat).withColumn("_h2", F.xxhash64("_h", "_r"))
-    here = row_numbers(copies, ["_r"], ["_h", "_y"], "_at")
-    there = row_numbers(copies, ["_r"], ["_h2", "_y"], "_at2").select(
-        F.col("_r").alias("_r2"), F.col("_x").alias("_x2"), "_at2"
-    )
-    paired = here.join(there, (F.col("_r") == F.col("_r2")) & (F.col("_at") == F.col("_at2")))
-    # Feature -1 stands for the unchanged row.
-    changed = paired.withColumn(
-        "_f", F.explode(F.sequence(F.lit(-1), F.lit(width - 1)))
-    ).withColumn(
-        "_x",
-        F.transform(
-            "_x", lambda v, i: F.when(i == F.col("_f"), F.get("_x2", i)).otherwise(v)
+        frame = seeded_sample(frame, row_key, sample, SEED)
+    everything = F.xxhash64(*[F.col(f"`{c}`") for c in dict.fromkeys([*row_key, *raw, target])], F.lit(SEED))
+    rows = materialize(
+        frame.select(
+            F.col(f"`{target}`").alias("_y"),
+            F.struct(*[F.col(f"`{n}`").alias(f"x{i}") for i, n in enumerate(raw)]).alias("_x"),
+            everything.alias("_h"),
         ),
+        "permuted",
     )
-    ready = changed.withColumn("features", array_to_vector("_x"))
-    scored = model.stages[-1].transform(ready)
+    blocks = max(1, -(-rows.count() // block_rows))
+    copies = rows.withColumn("_r", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    copies = copies.withColumns({"_b": F.pmod(F.xxhash64("_r", "_h"), F.lit(blocks)), "_h2": F.xxhash64("_h", "_r")})
+    here = row_numbers(copies, ["_r", "_b"], ["_h", "_y"], "_at")
+    there = row_numbers(copies, ["_r", "_b"], ["_h2", "_y"], "_at").select("_r", "_b", "_at", F.col("_x").alias("_x2"))
+    paired = here.join(there, ["_r", "_b", "_at"])
+    # Column -1 stands for the unchanged row.
+    changed = paired.withColumn("_f", F.explode(F.sequence(F.lit(-1), F.lit(len(raw) - 1))))
+    values = [
+        F.when(F.col("_f") == i, F.col(f"_x2.x{i}")).otherwise(F.col(f"_x.x{i}")).alias(n) for i, n in enumerate(raw)
+    ]
+    scored = model.transform(changed.select("_r", "_f", "_y", *values))
     fitness = scored.groupBy("_r", "_f").agg(
         (
             F.lit(1.0)
@@ -271,11 +289,11 @@ def permutation_importance(
             / F.nullif(F.var_pop("_y") * F.count(F.lit(1)), F.lit(0.0))
         ).alias("_r2")
     )
-    base = fitness.where("_f = -1").select(F.col("_r").alias("_rb"), F.col("_r2").alias("_base"))
-    labels = F.array(*[F.lit(n) for n in names])
+    base = fitness.where("_f = -1").select("_r", F.col("_r2").alias("_base"))
+    labels = F.array(*[F.lit(n) for n in raw])
     return (
         fitness.where("_f >= 0")
-        .join(base, F.col("_r") == F.col("_rb"))
+        .join(base, "_r")
         .groupBy(F.get(labels, F.col("_f")).alias("feature"))
         .agg(F.avg(F.col("_base") - F.col("_r2")).alias("importance"))
         .orderBy(F.desc("importance"), "feature")
@@ -288,11 +306,15 @@ def importance(
     names: Sequence[str],
     row_key: Sequence[str],
     target: str = config.TARGET,
+    texts: Sequence[str] = (),
 ) -> DataFrame:
     """The model's own importance, or by permutation for a model without one."""
-    if hasattr(model.stages[-1], "featureImportances"):
+    last = model.stages[-1]
+    if hasattr(last, "featureImportances"):
         return feature_importance(model, frame)
-    return permutation_importance(model, frame, names, row_key, target)
+    if isinstance(last, boosting.HistogramBoostingModel) and last.is_forest():
+        return gain_importance(model, frame.sparkSession)
+    return permutation_importance(model, frame, names, row_key, target, texts=texts)
 
 
 @dataclass

@@ -84,3 +84,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the written table that ``materialize`` read back, once nothing reads it any more."""
+    spark = df.sparkSession
+    folder = shared_dir(spark)
+    for file in df.inputFiles()[:1]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        inside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).makeQualified(system.getUri(), system.getWorkingDirectory())
+        if path.getParent().equals(inside):
+            system.delete(path, True)

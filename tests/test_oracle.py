@@ -18,26 +18,24 @@ def con():
 
 @pytest.fixture(autouse=True, scope="module")
 def few_trees():
-    """The model queries with a few trees each; ``check.py`` runs them with all."""
-    full = {n: getattr(models, n) for n in ("BOOSTED", "PLAIN", "FOREST", "HOLDOUT", "RUNS")}
+    """The model queries with fewer trees; ``check.py`` runs them with all."""
+    full = {n: getattr(models, n) for n in ("BOOSTED", "SPARK_TREES", "FOREST", "HOLDOUT", "RUNS")}
 
     def light(spec):
-        trees = {"maxIter": 3, "stepSize": 0.3} if spec.kind == "gbt" else {"numTrees": 5}
-        return replace(spec, params={**spec.params, **trees, "maxDepth": 3}, max_rows=1000)
+        trees = {"maxIter": 3} if spec.kind == "gbt" else {"max_iter": 60}
+        return replace(spec, params={**spec.params, **trees}, max_rows=1000)
 
     for name, spec in full.items():
         setattr(models, name, {r: light(s) for r, s in spec.items()} if name == "RUNS" else light(spec))
-    models._model.cache_clear()
     yield
     for name, spec in full.items():
         setattr(models, name, spec)
-    models._model.cache_clear()
 
 
 def test_model_queries_have_all_trees():
     """Outside the fixture the settings are the full ones: fixed values."""
     source = Path(models.__file__).read_text()
-    assert source.count('"maxIter": 400') == 1 and source.count('"maxIter": 500') == 3 and '"numTrees": 400' in source
+    assert source.count('"max_iter": 400') == 2 and source.count('"max_iter": 500') == 2
 
 
 @pytest.mark.parametrize("name", sorted(n for n, e in ENTRIES.items() if e.sql))

@@ -166,7 +166,7 @@ def test_settings_reach_model_folds_and_bands():
         {"cv": {"n_splits": 3}, "model": {"type": "hgb", "params": {"max_depth": None, "max_iter": 7, "l2_regularization": 0.0}}, "intervals": {"alphas": [0.05, 0.95]}}
     )
     spec = training.ModelSpec.from_settings(cfg.model)
-    assert (cfg.n_folds, cfg.fractions, spec.kind, spec.params) == (3, (0.05, 0.95), "gbt", {"maxIter": 7})
+    assert (cfg.n_folds, cfg.fractions, spec.kind, spec.params) == (3, (0.05, 0.95), "hgb", {"max_iter": 7, "l2_regularization": 0.0})
     for bad in ({"modle": {}}, {"cv": {"splits": 3}}):
         with pytest.raises(ValueError, match="unknown setting"):
             config.FeatureConfig.from_dict(bad)
@@ -209,9 +209,10 @@ def test_whole_frame_permutation(laps, small_groups):
     small_groups(40)
     cut = {r.feature: r.importance for r in training.permutation_importance(model, frame, made.names, key, sample=None, repeats=2).collect()}
     assert plain.keys() == cut.keys() and all(plain[k] == pytest.approx(cut[k]) for k in plain)
-    encoded = training.fit(dataset.build(laps, CFG, carry=["compound"]).frame, made.names, SPEC)
-    with pytest.raises(ValueError, match="inputs"):
-        training.permutation_importance(encoded, frame, made.names, key)
+    both = dataset.build(laps, CFG, carry=["compound", "lap_number"]).frame.cache()
+    encoded = training.fit(both, made.names, SPEC)
+    got = {r.feature: r.importance for r in training.permutation_importance(encoded, both, made.names, key, texts=["compound"]).collect()}
+    assert set(got) == {*made.names, "compound"} and got["compound"] > 0
 
 
 def test_lags_do_not_depend_on_the_order_of_equal_laps(spark):
