@@ -3,39 +3,28 @@
 from __future__ import annotations
 
 import functools
-import tempfile
-import zipfile
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_sent: set[str] = set()
+from lapframe.workers import send_package
 
-# Rows of an Arrow batch. Spark counts rows, not bytes, and a row here is a whole document.
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-SPARKS_OWN, LONG_ROWS = "10000", "1000"
+# Rows and bytes of an Arrow batch. A row here is a whole document or a block of some megabytes, and a batch is held
+# once by the JVM and once by Python. Spark's own limits are 10,000 rows and hundreds of megabytes.
+BATCH_ROWS, BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_OWN, LONG_ROWS, LARGE_ROWS = "10000", "1000", "4m"
 
 
 def ship(spark: SparkSession) -> None:
     """Give the package's modules to the Python workers of this application, once.
 
-    A session started with ``--py-files`` has them already; this makes the registered queries work
-    in any session. Spark itself copies the file from the driver to the executors. A session that
-    has not set the size of Arrow batches gets one that suits long rows.
+    A session that has not set the size of Arrow batches gets one that suits long rows.
     """
     if spark.conf.get(BATCH_ROWS) == SPARKS_OWN:
         spark.conf.set(BATCH_ROWS, LONG_ROWS)
-    application = spark.sparkContext.applicationId
-    if application in _sent:
-        return
-    root = Path(__file__).resolve().parent.parent
-    name = Path(tempfile.mkdtemp(prefix="lapframe-")) / "lapframe.zip"
-    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as out:
-        for path in sorted(root.rglob("*.py")):
-            out.write(path, path.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(name))
-    _sent.add(application)
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, LARGE_ROWS)
+    send_package(spark)
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
