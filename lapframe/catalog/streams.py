@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lapframe import bindings as b
 from lapframe.catalog.registry import query, settled, settled_sql
 from lapframe.catalog.tables import MESSAGE, MESSAGE_DEFAULTS
 from lapframe.session import new_path
-from lapframe.streaming import live
+from lapframe.streaming import live, windowed
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,23 +48,65 @@ def stream_latest_features(spark: SparkSession, sf: str) -> DataFrame:
     return table.read(stream.schema)
 
 
-@query(
-    f"""SELECT user_id, date_trunc('day', ts) AS window_start, {settled_sql("avg(value)")} AS value_avg,
+_STATS_SQL = f"""SELECT user_id, date_trunc('day', ts) AS window_start, {settled_sql("avg(value)")} AS value_avg,
        {settled_sql("stddev_samp(value)")} AS value_std, CAST(count(*) AS BIGINT) AS n
        FROM events GROUP BY ALL"""
-)
+
+
+@query(_STATS_SQL)
 def stream_sensor_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Events land in files by hour of day, the latest hours first, and each file is a batch, so
-    nearly every window gets rows a day or more late."""
+    """What each batch adds to a window is written, and parts are merged every few batches."""
     path = new_path(spark, "stats")
+    stream = _late_events(spark, sf, path)
+    live.finish(live.keep_stats(stream, "ts", ["user_id"], "value", f"{path}/parts", f"{path}/checkpoint", compact_every=3))
+    return _shown(live.read_stats(spark, f"{path}/parts", ["user_id"]))
+
+
+@query(_STATS_SQL)
+def stream_window_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyed state holds the totals of open windows; rows of closed ones go to the corrections."""
+    path = new_path(spark, "totals")
+    stream = _late_events(spark, sf, path)
+    live.finish(
+        windowed.keep_totals(stream, "ts", ["user_id"], "value", f"{path}/tables", f"{path}/checkpoint", delay=dt.timedelta(days=2), compact_every=3)
+    )
+    tables = windowed.StatsTables(spark, f"{path}/tables", {"user_id": stream.schema["user_id"].dataType})
+    return _shown(tables.read())
+
+
+def _late_events(spark: SparkSession, sf: str, path: str) -> DataFrame:
+    """Events land by hour of day, the latest hours first, in several files each, so nearly every window gets rows a day
+    or more late."""
     events = b.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     part = (F.lit(3) - F.floor(F.hour("ts") / 6)).cast("int").alias("part")
     shown = events.select("*", part)
     for k in range(4):
-        shown.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = live.file_messages(spark, f"{path}/in", events.schema, files_per_batch=1)
-    live.finish(live.keep_stats(stream, "ts", ["user_id"], "value", f"{path}/parts", f"{path}/checkpoint"))
-    return live.read_stats(spark, f"{path}/parts", ["user_id"]).select(
+        shown.where(F.col("part") == k).drop("part").repartition(2, "event_id").write.mode("append").parquet(f"{path}/in")
+    return live.file_messages(spark, f"{path}/in", events.schema, files_per_batch=2)
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(0.0 AS DOUBLE) AS z, true AS stopped FROM events")
+def stream_stop_and_resume(spark: SparkSession, sf: str) -> DataFrame:
+    """A running stream is stopped after some of its batches and goes on later; no event is lost or repeated."""
+    path = new_path(spark, "stopped")
+    events = b.table(spark, sf, "events").select("event_id", "props")
+    events.repartition(6, "event_id").write.parquet(f"{path}/in")
+
+    def start(trigger: dict | None = None):
+        source = live.file_messages(spark, f"{path}/in", events.schema, files_per_batch=1)
+        parsed = live.parse(source, "props", MESSAGE, MESSAGE_DEFAULTS, ["event_id"], event_time=None)
+        return parsed.schema, live.append_rows(parsed, f"{path}/out", f"{path}/checkpoint", trigger)
+
+    columns, running = start({"processingTime": "2 seconds"})
+    live.stop(running, after_batches=2)
+    before = spark.read.schema(columns).parquet(f"{path}/out").count()
+    live.finish(start()[1])
+    rows = spark.read.schema(columns).parquet(f"{path}/out")
+    return rows.withColumn("stopped", F.lit(0 < before < events.count()))
+
+
+def _shown(stats: DataFrame) -> DataFrame:
+    return stats.select(
         "user_id",
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         settled("value_avg").alias("value_avg"),

@@ -393,14 +393,13 @@ def json_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT '{"event_id":' || event_id || ',"user_id":' || user_id ||
+    """SELECT '{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' || user_id ||
        CASE WHEN event_type = 'view' THEN '' ELSE ',"event_type":"' || event_type || '"' END ||
-       '}' AS value FROM events"""
+       ',"value":' || value || ',"props":"' || replace(props, '"', '\\"') || '"}' AS value FROM events"""
 )
 def rows_to_json(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.table(spark, sf, "events").select(
-        "event_id", "user_id", F.nullif("event_type", F.lit("view")).alias("event_type")
-    )
+    """Whole rows; a null leaves its field out."""
+    rows = b.table(spark, sf, "events").withColumn("event_type", F.nullif("event_type", F.lit("view")))
     return messages.encode_rows(rows)
 
 

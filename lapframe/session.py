@@ -66,7 +66,7 @@ def shared_dir(spark: SparkSession) -> str:
 def _is_local_path(spark: SparkSession, path: str) -> bool:
     """Whether a path names a machine's own disk: by its scheme, or by the default file system's."""
     if "://" not in path and not path.startswith("file:"):
-        path = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+        path = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
     return path.startswith("file:")
 
 

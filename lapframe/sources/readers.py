@@ -90,6 +90,16 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     )
 
 
+def newest_landing(df: DataFrame) -> DataFrame:
+    """Only the rows of the folder that was written to last, from all of its files.
+
+    A landing of several files has several times of writing; they count as one by their folder.
+    """
+    folder, written = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1), F.col("_metadata.file_modification_time")
+    newest = df.select(F.max_by(folder, F.struct(written, folder))).scalar()
+    return df.withColumn("_folder", folder).where(F.col("_folder") == newest).drop("_folder")
+
+
 def newest_files(df: DataFrame) -> DataFrame:
     """Only the rows that come from the file written last."""
     stamped = df.withColumn("_written", F.col("_metadata.file_modification_time"))

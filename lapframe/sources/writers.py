@@ -20,6 +20,16 @@ def partitioned_parquet(
     ).parquet(path)
 
 
+def land_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write events into their folders, replacing the folders that occur in ``df`` and no others.
+
+    The new files are written aside first, so rows may come from the folders that they replace.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).option(
+        "compression", "snappy"
+    ).parquet(path)
+
+
 def csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").csv(path)
 

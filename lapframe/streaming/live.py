@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import copy
 import json
+import time as clock
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -147,7 +149,11 @@ class LatestTable:
         if not parts:
             return self.spark.createDataFrame([], columns)
         rows = reduce(DataFrame.unionAll, [p.select(*columns.names) for p in parts])
-        return latest(rows, self.keys, self.order).select(*columns.names)
+        return self._fold(rows).select(*columns.names)
+
+    def _fold(self, rows: DataFrame) -> DataFrame:
+        """Rows of one key as one row."""
+        return latest(rows, self.keys, self.order)
 
     def compact(self, columns: T.StructType, target: str | None = None) -> LatestTable:
         """The current rows as a new snapshot, here or as the start of a table in another folder."""
@@ -166,7 +172,11 @@ class LatestTable:
         self.spark.createDataFrame(marks, "stream_id string, upto long").write.mode("overwrite").parquet(
             f"{folder}/pointer/version={version}"
         )
-        return self if here else LatestTable(self.spark, folder, self.keys, self.order)
+        if here:
+            return self
+        other = copy.copy(self)
+        other.path = folder
+        return other
 
 
 def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -186,8 +196,9 @@ def keep_latest(
     malformed: str | None = None,
     rejects: str | None = None,
     compact_every: int = 200,
+    trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Upsert a stream into the table; stops when the input is used up.
+    """Upsert a stream into the table; stops when the input is used up, unless another trigger is named.
 
     Rows whose ``malformed`` column holds a text go to the folder ``rejects`` instead. Every so
     many batches the deltas are folded into a snapshot.
@@ -210,18 +221,22 @@ def keep_latest(
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ONCE))
         .start()
     )
 
 
-def append_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+#: What runs a stream until its input is used up. ``{"processingTime": "10 seconds"}`` keeps it up.
+ONCE = {"availableNow": True}
+
+
+def append_rows(stream: DataFrame, path: str, checkpoint: str, trigger: dict[str, object] | None = None) -> StreamingQuery:
     return (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ONCE))
         .start()
     )
 
@@ -234,54 +249,113 @@ def keep_stats(
     path: str,
     checkpoint: str,
     window: str = "1 day",
+    compact_every: int = 200,
+    trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Count, mean and squared deviation per key and event-time window, batch by batch.
 
     Each micro-batch writes what its own rows add to each window. There is no state and no
     watermark, so a row counts however late it comes, and a batch that runs twice replaces itself.
-    ``read_stats`` merges the parts.
+    Every so many batches the parts are merged into one, so that ``read_stats`` opens few. ``windowed``
+    keeps running totals in keyed state instead.
     """
+    spark, table = stream.sparkSession, PartsTable(stream.sparkSession, path, ["window_start", *keys])
+    kinds = {f.name: f.dataType for f in stream.schema}
+    columns = parts_schema({"window_start": T.TimestampType(), **{k: kinds[k] for k in keys}})
     place = F.window(time, window)["start"].alias("window_start")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        own = stream_id(batch.sparkSession, checkpoint)
+        own = stream_id(spark, checkpoint)
         parts = batch.groupBy(place, *keys).agg(
             F.count(F.lit(1)).alias("n"),
             F.count(value).alias("n_values"),
             F.avg(value).alias("mean"),
             (F.var_pop(value) * F.count(value)).alias("squares"),
         )
-        parts.write.mode("overwrite").parquet(f"{path}/stream_id={own}/stream_batch={batch_id}")
+        table.write_unique(parts.select(*columns.names), batch_id, own)
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(columns)
 
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or ONCE))
         .start()
     )
 
 
-def read_stats(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Mean, sample deviation and count per window and key, merged from all parts.
+def parts_schema(keys: dict[str, T.DataType]) -> T.StructType:
+    """The columns of partial statistics."""
+    fields = [T.StructField(k, t) for k, t in keys.items()]
+    return T.StructType([*fields, *T.StructType.fromDDL("n long, n_values long, mean double, squares double").fields])
+
+
+def merged_parts(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Parts of one window and key as one part.
 
     Parts are merged around their common mean, so nothing cancels out.
     """
-    by = ["window_start", *keys]
-    parts = spark.read.parquet(path)
     whole = Window.partitionBy(*by)
-    weight = F.sum(F.col("mean") * F.col("n_values")).over(whole) / F.nullif(
-        F.sum("n_values").over(whole), F.lit(0)
-    )
-    moved = parts.withColumn("value_avg", weight)
-    spread = F.sum(F.col("squares") + F.col("n_values") * F.pow(F.col("mean") - F.col("value_avg"), F.lit(2.0)))
-    free = F.nullif(F.sum("n_values") - 1, F.lit(0))
+    weight = F.sum(F.col("mean") * F.col("n_values")).over(whole) / F.nullif(F.sum("n_values").over(whole), F.lit(0))
+    moved = parts.withColumn("_mean", weight)
+    spread = F.sum(F.col("squares") + F.col("n_values") * F.pow(F.col("mean") - F.col("_mean"), F.lit(2.0)))
     return moved.groupBy(*by).agg(
-        F.first("value_avg").alias("value_avg"),
-        F.when(free > 0, F.sqrt(spread / free)).alias("value_std"),
-        F.sum("n").alias("n"),
+        F.sum("n").alias("n"), F.sum("n_values").alias("n_values"), F.first("_mean").alias("mean"), spread.alias("squares")
+    )
+
+
+class PartsTable(LatestTable):
+    """Partial statistics per key in a folder, laid out as the latest-value table: deltas, snapshots, pointers.
+
+    Rows of one key are merged instead of replaced, so a snapshot is the sum of all that it covers.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+        super().__init__(spark, path, keys, [])
+
+    def _fold(self, rows: DataFrame) -> DataFrame:
+        return merged_parts(rows, self.keys)
+
+
+def as_stats(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Mean, sample deviation and count of each part."""
+    free = F.nullif(F.col("n_values") - 1, F.lit(0))
+    return parts.select(
+        *by, F.col("mean").alias("value_avg"), F.when(free > 0, F.sqrt(F.col("squares") / free)).alias("value_std"), "n"
     )
 
 
+def read_stats(spark: SparkSession, path: str, keys: Sequence[str] | dict[str, T.DataType]) -> DataFrame:
+    """Mean, sample deviation and count per window and key, merged from all parts.
+
+    ``keys`` are names of bigint columns, or names with their types.
+    """
+    kinds = keys if isinstance(keys, dict) else {k: T.LongType() for k in keys}
+    by = ["window_start", *kinds]
+    table = PartsTable(spark, path, by)
+    return as_stats(table.read(parts_schema({"window_start": T.TimestampType(), **kinds})), by)
+
+
+def stop(query: StreamingQuery, after_batches: int = 0, timeout: float = 600.0) -> None:
+    """End a running stream once the batch in flight is done, and so many batches in all.
+
+    A batch that starts at that moment is cut off and runs again, as the same batch, when the stream is started again on its
+    checkpoint. So nothing is lost, and sinks that write by batch id repeat nothing.
+    """
+    ends = clock.monotonic() + timeout
+    while query.isActive:
+        progress = query.lastProgress
+        done = 0 if progress is None else progress["batchId"] + (progress["numInputRows"] > 0)
+        if done >= after_batches and not query.status["isTriggerActive"]:
+            break
+        if clock.monotonic() > ends:
+            raise TimeoutError(f"the stream did not come to rest within {timeout} s")
+        clock.sleep(0.02)
+    query.stop()
+    if query.exception():
+        raise query.exception()
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for the end of an available-now query and surface its error."""
     query.awaitTermination()

@@ -179,3 +179,30 @@ def test_a_folder_of_one_machine_is_no_shared_folder(spark):
 
     assert session._is_local_path(spark, "file:///tmp/x") and session._is_local_path(spark, "/tmp/x")
     assert not session._is_local_path(spark, "hdfs://nn/x") and not session._is_local_path(spark, "s3a://b/x")
+
+
+def test_a_landing_of_several_files_counts_as_one(spark, tmp_path):
+    import os
+
+    for k in range(2):
+        spark.range(k * 100, k * 100 + 40).repartition(4).write.parquet(str(tmp_path / "in" / f"landing={k}"))
+    for n, file in enumerate(sorted((tmp_path / "in" / "landing=1").glob("*.parquet"))):
+        os.utime(file, (2_000_000_000 + n, 2_000_000_000 + n))
+    rows = spark.read.parquet(str(tmp_path / "in")).select("id")
+    assert sorted(r.id for r in readers.newest_landing(rows).collect()) == list(range(100, 140))
+
+
+def test_landing_an_event_again_replaces_only_its_folder(spark, tmp_path):
+    path = str(tmp_path / "laps")
+    rows = spark.createDataFrame([(s, r, float(s + r + i)) for s in (2023, 2024) for r in (1, 2, 3) for i in range(4)], "season int, race_round int, lap_time double")
+    writers.land_partitions(rows, path, ["season", "race_round"])
+    other = {f for f in (tmp_path / "laps").rglob("*.parquet") if "season=2024/race_round=2" not in str(f)}
+    for _ in range(2):
+        writers.land_partitions(rows.where("season = 2024 and race_round = 2").limit(3).withColumn("lap_time", F.lit(1.0)), path, ["season", "race_round"])
+    back = spark.read.schema(rows.schema).parquet(path)
+    assert back.count() == 23 and back.where("lap_time = 1.0").count() == 3
+    assert other <= set((tmp_path / "laps").rglob("*.parquet"))
+    one = back.where("season = 2024 and race_round = 2")
+    assert "PartitionFilters: [isnotnull(season" in one._jdf.queryExecution().toString()
+    writers.land_partitions(rows.limit(0), path, ["season", "race_round"])
+    assert spark.read.schema(rows.schema).parquet(path).count() == 23
