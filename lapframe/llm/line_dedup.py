@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapframe.llm.blocks import released
 from lapframe.session import materialize
@@ -201,8 +202,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     gone = common_lines(keyed.select("id", "th", "text"), block_words)
     joined = keyed.join(gone, ["id", "th"], "left").select("rest", "text", "gone")
-    schema = f"rest {dict(joined.dtypes)['rest']}, text string, n_lines long, n_removed long"
-    cut = joined.mapInArrow(_cut, schema)
+    # A schema of types, not of text: names of extra columns may hold anything.
+    counted = T.StructType.fromDDL("text string, n_lines long, n_removed long")
+    cut = joined.mapInArrow(_cut, T.StructType([joined.schema["rest"], *counted]))
     row = F.struct(*[(F.col("text") if c == text_col else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
     return cut.select(row.alias("row"), "n_lines", "n_removed")
 

@@ -31,6 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapframe.llm.blocks import released
 
@@ -335,11 +336,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         yield from released(batches, one)
 
     both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return both.mapInArrow(run, f"row {dict(both.dtypes)['row']}, score double, predicted int")
+    scored = T.StructType.fromDDL("score double, predicted int")
+    return both.mapInArrow(run, T.StructType([both.schema["row"], *scored]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    keyed = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    # A row without an id was never learned from, and has no remainder that is 0.
+    keyed = docs.select("doc_id", "text", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"))
     return score(keyed, model).select("row.doc_id", "row.held_out", "score", "predicted")

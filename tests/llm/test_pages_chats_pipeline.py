@@ -251,7 +251,7 @@ def test_a_very_long_text(sent):
 
 
 def test_every_query_gives_its_columns(sent):
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
     columns = {
         "op1": "doc_id n_words n_removed kept_sha256",
@@ -262,6 +262,9 @@ def test_every_query_gives_its_columns(sent):
         "op6": "doc_id piece start length ids_crc32 sequence_id offset",
         "op8": "doc_id held_out score predicted",
         "op10": "doc_id n_words n_hit n_items items_sha256 contaminated",
+        "op11": "item_id rank doc_id score",
+        "op12": "doc_id n_bytes n_removed n_spans kept_sha256",
+        "op13": "lang rank phrase a l r n score",
     }
     for name, query in QUERIES.items():
         want = columns.get(name.split("_")[0])
