@@ -202,7 +202,7 @@ def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sparse_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """Every one of the sparse one-hot columns of two text columns with very many levels, with its name."""
-    cfg = config.FeatureConfig(categorical=["driver_id", "car_part"], lap_order=b.LAP_ORDER, wide_levels=20)
+    cfg = config.FeatureConfig(categorical=["driver_id", "car_part"], lap_order=b.LAP_ORDER, wide_levels=0)
     made = dataset.build(b.laps(spark, sf), cfg, carry=["lap_number", "car_part"])
     frame, dictionary = dataset.sparse_features(made)
     ones = frame.select(*ROW_KEY, F.explode(F.arrays_zip("indices", "values")).alias("one"))
