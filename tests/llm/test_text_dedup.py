@@ -310,3 +310,45 @@ def test_lines_repeated_very_often_in_two_documents(sent):
     got = removed_lines(sent, docs)
     assert got[1][1] == 0 and got[2] == (["last log"], n)
     assert got[900] == (["the end"], 900)
+
+
+def block_cases():
+    r = random.Random(8)
+    for _ in range(300):
+        home = {(i, 1): r.randrange(7) for i in range(r.randrange(1, 25))}
+        have = sorted(set(home.values()))
+        yield {(i, 1): r.choice(have) for i in r.sample(range(30), r.randrange(1, 25))}, home
+
+
+def test_blocks_hold_every_run_at_its_place_and_at_home():
+    for later, home in block_cases():
+        blocks = line_dedup.common_blocks(later, home)
+        covered = {i for start, n, _ in blocks for i in range(start, start + n)}
+        assert covered == {i for i, _ in later}
+        for start, n, there in blocks:
+            assert all(later[start + k, 1] == home[there + k, 1] for k in range(n))
+
+
+def test_alignment_prefers_order_and_finds_moved_blocks():
+    def side(text):
+        return {(i, 1): x for i, x in enumerate(text)}
+
+    assert line_dedup.common_blocks(side("abcdef"), side("xabcdefy")) == [(0, 6, 1)]
+    assert line_dedup.common_blocks(side("defabc"), side("abcdef")) == [(0, 3, 3), (3, 3, 0)]
+    assert line_dedup.common_blocks(side("abab"), side("ab")) == [(0, 2, 0), (2, 2, 0)]
+    # A repeated run goes with the neighbours that it stands next to, not with its first place.
+    assert line_dedup.common_blocks(side("pzq"), side("zzpzq")) == [(0, 3, 2)]
+
+
+def test_blocks_name_the_source(sent):
+    one = [LINE.format(i, "src") for i in range(4)]
+    docs = [(1, "\n".join(["top", *one])), (2, "\n".join(["", *one[2:], "mid", *one[:2]])), (None, one[0]), (3, one[0])]
+    got = {r["row"]["doc_id"]: [tuple(b) for b in r["blocks"]] for r in line_dedup.dedup_lines(sent.createDataFrame(docs, DOCS)).collect()}
+    assert got == {1: [], 2: [(0, 2, 1, 3), (3, 2, 1, 1)], 3: [(0, 1, 1, 1)], None: [(0, 1, 1, 1)]}
+
+
+def test_patience_is_fast_where_runs_repeat():
+    n = 20_000
+    later, home = {(i, 1): i % 2 for i in range(n)}, {(i, 1): i % 3 % 2 for i in range(n)}
+    assert sum(n for _, n, _ in line_dedup.common_blocks(later, home)) >= n
+    assert line_dedup.common_blocks({(i, 1): 0 for i in range(n)}, {(0, 1): 0})[-1] == (n - 1, 1, 0)
