@@ -11,7 +11,8 @@ article or main element that holds most of its words, so that short first and la
 
 Text is decoded, white space in a block becomes one space, and blocks are joined by line breaks.
 One pass over the pages, no shuffle. A null page counts as empty and has an empty text; equal rows get
-equal texts. Other columns are not read.
+equal texts; an empty table gives an empty one. The time of a page grows with its length, also where tags stay open, end tags are
+stray, or quotes do not close. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -40,14 +41,13 @@ BLOCKS = frozenset(
 #: What ends an open paragraph.
 ENDS_P = BLOCKS - {"caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "legend", "body", "html", "head"}
 WHOLE = frozenset(("article", "main"))
+#: What an item or a cell may stand in, so that an open one outside it stays open.
+HOLDS_ITEMS = ("ul", "ol", "dl", "menu", "table", "div", "article", "section", "select")
 
-_TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
+_RAW = re.compile(rf"<({'|'.join(RAW)})\b", re.I)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_EDGE = re.compile("[>\"']")
 _MARK = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -74,6 +74,72 @@ class Weights:
     outside: frozenset[str]
 
 
+def tokens(source: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Begin, end, kind (``open``, ``close``, ``raw`` or ``other``), name and attributes of every tag and comment.
+
+    A tag ends at the first ``>`` outside quotes, or at the first of all if quotes stay open. Time grows with the page,
+    however broken it is: places from which no tag can end are remembered.
+    """
+    n, at, edge, mark, dead = len(source), 0, -1, -1, set()
+
+    def ends(p: int) -> int:
+        """The first ``>`` outside quotes from ``p`` on, or -1."""
+        nonlocal edge
+        if edge < p:
+            found = _EDGE.search(source, p)
+            edge = found.start() if found else n
+        q, seen = edge, []
+        while q < n and q not in dead:
+            if source[q] == ">":
+                return q
+            seen.append(q)
+            closing = source.find(source[q], q + 1)
+            found = _EDGE.search(source, closing + 1) if closing >= 0 else None
+            q = found.start() if found else n
+        dead.update(seen)
+        return -1
+
+    while (lt := source.find("<", at)) >= 0:
+        at = lt + 1
+        if source.startswith("<!--", lt):
+            end = source.find("-->", lt + 4)
+            at = end + 3 if end >= 0 else n
+            yield lt, at, "other", "", ""
+            continue
+        if mark < lt:
+            mark = source.find(">", lt)
+            if mark < 0:
+                mark = n
+        if mark == n:  # no tag ends from here on; a comment may still begin
+            at = source.find("<!--", lt)
+            if at < 0:
+                return
+            continue
+        raw = _RAW.match(source, lt)
+        if raw and (gt := ends(raw.end())) >= 0:
+            name = raw[1].lower()
+            found = _RAW_END[name].search(source, gt + 1)
+            at = found.end() if found else n
+            yield lt, at, "raw", name, ""
+        elif tag := _TAG.match(source, lt):
+            gt = ends(tag.end())
+            if gt < 0:
+                gt = source.find(">", tag.end())
+            at = gt + 1
+            yield lt, at, "close" if tag[1] else "open", tag[2].lower(), source[tag.end() : gt]
+        elif source[lt + 1 : lt + 2] in ("!", "?"):
+            at = mark + 1
+            yield lt, at, "other", "", ""
+
+
+_ZEROS, _TOO_LARGE = re.compile("&#0+(?=[0-9])"), re.compile("&#[0-9]{8,};?")
+
+
+def decoded(raw: str) -> str:
+    """Text with its character references decoded; numbers beyond all characters give the replacement character."""
+    return html.unescape(_TOO_LARGE.sub("\ufffd", _ZEROS.sub("&#", raw))) if "&" in raw else raw
+
+
 class Page:
     """A page's tokens: ``texts`` by place, ``score`` of each place, ``block`` of each place."""
 
@@ -87,20 +153,25 @@ class Page:
         self.labels: list[tuple[int, bool]] = []
         self._weights, self._block = weights, 0
         self._stack: list[tuple[str, int, int, list[str]]] = []
+        # Where each name is open in the stack, and the innermost block at or below each place of the stack.
+        self._open_at: dict[str, list[int]] = defaultdict(list)
+        self._blocks_at: list[int] = []
         # Elements that look like furniture: the one each stands in, how much its region must beat the rest's, and the
         # innermost of each place; 0 is the page.
         self._within, self._factor, self._places, self._owner = [0], [0.0], [], 0
         at = 0
-        for m in _TOKEN.finditer(source):
-            if m.start() > at:
-                self._text(source[at : m.start()])
-            at = m.end()
-            if m["tag"]:
-                (self._close if m["end"] else self._open)(m["tag"].lower(), m["rest"] or "")
-            elif m["raw"]:
-                self._place(m["raw"].lower())
-            elif m.group() in (OPEN, CLOSE):
-                self.labels.append((len(self.scores), m.group() == OPEN))
+        for begin, end, kind, name, rest in tokens(source):
+            if begin > at:
+                self._text(source[at:begin])
+            at = end
+            if kind == "open":
+                self._open(name, rest)
+            elif kind == "close":
+                self._close(name)
+            elif kind == "raw":
+                self._place(name)
+            elif source[begin:end] in (OPEN, CLOSE):
+                self.labels.append((len(self.scores), source[begin:end] == OPEN))
         if at < len(source):
             self._text(source[at:])
         while self._stack:
@@ -133,9 +204,7 @@ class Page:
         self._places.append(self._owner)
 
     def _text(self, raw: str) -> None:
-        if "&" in raw:
-            raw = html.unescape(raw)
-        place = len(self.scores)
+        raw, place = decoded(raw), len(self.scores)
         self.texts[place] = raw
         self.scores.append(float(len(raw.split())))
         self.blocks.append(self._block)
@@ -152,6 +221,8 @@ class Page:
         if tag in VOID or rest.rstrip().endswith("/") and tag not in BLOCKS:
             return
         own = marks(tag, rest)
+        self._open_at[tag].append(len(self._stack))
+        self._blocks_at.append(len(self._stack) if tag in BLOCKS else self._blocks_at[-1] if self._stack else -1)
         self._stack.append((tag, len(self.scores) - 1, self._owner, own))
         if tag in WHOLE:  # what holds an article may be a wrapper, whatever it is called
             k = self._owner
@@ -178,38 +249,36 @@ class Page:
         return not self._weights.outside.isdisjoint(own)
 
     def _end_paragraph(self) -> None:
-        for i in range(len(self._stack) - 1, -1, -1):
-            if self._stack[i][0] == "p":
-                while len(self._stack) > i:
-                    self._pop()
-                return
-            if self._stack[i][0] in BLOCKS:
-                return
+        i = self._blocks_at[-1] if self._stack else -1
+        if i >= 0 and self._stack[i][0] == "p":
+            self._pop_to(i)
 
     def _end_sibling(self, tag: str) -> None:
         same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
-        for i in range(len(self._stack) - 1, -1, -1):
-            name = self._stack[i][0]
-            if name in same:
-                while len(self._stack) > i:
-                    self._pop()
-                return
-            if name in ("ul", "ol", "dl", "menu", "table", "div", "article", "section", "select") or (tag != "tr" and name == "tr"):
-                return
+        i = self._innermost(same)
+        if i >= 0 and i > self._innermost(HOLDS_ITEMS if tag == "tr" else (*HOLDS_ITEMS, "tr")):
+            self._pop_to(i)
+
+    def _innermost(self, names: Iterable[str]) -> int:
+        return max((self._open_at[x][-1] for x in names if self._open_at.get(x)), default=-1)
+
+    def _pop_to(self, i: int) -> None:
+        while len(self._stack) > i:
+            self._pop()
 
     def _pop(self) -> None:
         tag, place, self._owner, own = self._stack.pop()
+        self._open_at[tag].pop()
+        self._blocks_at.pop()
         self.elements.append((place, len(self.scores), own))
 
-    def _close(self, tag: str, _rest: str) -> None:
-        for i in range(len(self._stack) - 1, -1, -1):
-            if self._stack[i][0] == tag:
-                while len(self._stack) > i + 1:
-                    self._pop()
-                self._place(tag)
-                self._pop()
-                return
-        if tag in BLOCKS:
+    def _close(self, tag: str) -> None:
+        i = self._innermost((tag,))
+        if i >= 0:
+            self._pop_to(i + 1)
+            self._place(tag)
+            self._pop()
+        elif tag in BLOCKS:
             self._place(tag)
 
     def region(self) -> tuple[int, int]:
@@ -234,14 +303,11 @@ class Page:
             _, begin, end = min(held)
         elif need > 0:  # a title right before the region belongs to it
             title = max((a for a, b, own in self.elements if own[0] == "h1" and b <= begin), default=None)
-            if title is not None and all(p in self.dropped or not t.strip() for p, t in self.texts.items() if self._ends[title] <= p < begin):
+            after = max((b for a, b, _ in self.elements if a == title), default=0)
+            if title is not None and all(p in self.dropped or not t.strip() for p, t in self.texts.items() if after <= p < begin):
                 begin = title
         return begin, end
 
-    @property
-    def _ends(self) -> dict[int, int]:
-        return {a: b for a, b, _ in self.elements}
-
     def text(self, begin: int, end: int) -> str:
         parts: list[list[str]] = []
         block, breaks = None, {p for p, t in self.tags if t == "br"}
