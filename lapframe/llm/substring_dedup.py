@@ -1,10 +1,12 @@
 """Substring dedup by relative Lempel-Ziv parsing over distributed reference blocks.
 
-Every block of documents is a reference. A document is parsed greedily into factors: a factor
-begins at a word whose next ``min_words`` words also stand at an earlier place of some block, and
-runs on as long as the match at that place runs on. Where one factor's source ends, the window
-that begins there is looked up again, so a repeat that straddles two factors is found as well.
-What lies in factors of at least ``min_words`` words is removed.
+Every block of documents is a reference. A document is parsed from left to right into factors: a factor
+begins at the first word whose next ``min_words`` words also stand at an earlier place of some block, takes the
+earliest such place as its source, and runs on as long as the earliest place of the next words is the next place of that source.
+The next factor begins after it, so factors never overlap. At a factor's end the windows that lie over the end are
+looked up too, so a repeat that straddles two factors is found as well. Factors and these straddling windows
+are what is removed. (A later source may match longer than the earliest one; then the parse has two factors where one would do, and
+removes the same words.)
 
 The steps, each linear in the text:
 
@@ -17,7 +19,8 @@ The steps, each linear in the text:
 3. Every block takes back its repeated windows with their sources, and forms factors.
 
 "Earlier" compares (doc_id, start); rows that share a doc_id are compared by start. A null id comes
-after all others. Null and empty texts have no words. Equal windows are told by 64 hash bits
+after all others. Null and empty texts have no words; an empty table gives an empty one. A very long text is a block
+of its own. Other columns are not read. Equal windows are told by 64 hash bits
 and the share (a share's size does not grow with the corpus if there are shares enough).
 """
 
@@ -188,6 +191,35 @@ PARSED_SCHEMA = pa.schema(
 )
 
 
+def _factors(
+    at: np.ndarray, source_doc: np.ndarray, source_start: np.ndarray, text_of: np.ndarray, min_words: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Parse from left to right, given the windows (by place) that have an earlier source.
+
+    A factor begins at the first such window that is not before the last factor's end, and takes all that its source goes on
+    with. Returned are the factors' places, lengths and first windows, and the windows that lie over a factor's end.
+    """
+    goes_on = np.zeros(len(at), bool)
+    goes_on[1:] = (np.diff(at) == 1) & (np.diff(source_start) == 1) & (source_doc[1:] == source_doc[:-1])
+    goes_on[1:] &= text_of[at[1:]] == text_of[at[:-1]]
+    heads = np.flatnonzero(~goes_on)
+    if not len(at):
+        return at, at, at, at
+    # Of each window: the last one that its source goes on to.
+    last = np.repeat(np.append(heads[1:], len(at)) - 1, np.diff(np.append(heads, len(at))))
+    chosen, ends, i = [], [], 0
+    while i < len(at):
+        end = int(at[last[i]]) + min_words
+        chosen.append(i)
+        ends.append(end)
+        i = int(np.searchsorted(at, end))
+    first, end = np.array(chosen, np.int64), np.array(ends, np.int64)
+    # What begins inside a factor and is not over with it.
+    own = np.searchsorted(first, np.arange(len(at)), "right") - 1
+    over = at + min_words > end[own]
+    return at[first], end - at[first], first, at[over]
+
+
 def _parsed(b: Block, min_words: int, wanted: pa.Table, repeats: pa.Table) -> pa.Table:
     n = len(b.h)
     text_of = b.words.texts_of()
@@ -213,25 +245,20 @@ def _parsed(b: Block, min_words: int, wanted: pa.Table, repeats: pa.Table) -> pa
     earlier = (source_doc < doc) | ((source_doc == doc) & (source_start < start))
     at, source_doc, source_start = at[earlier], source_doc[earlier], source_start[earlier]
 
-    steps = np.zeros(n + min_words + 1, np.int64)
-    np.add.at(steps, at, 1)
-    np.add.at(steps, at + min_words, -1)
+    begin, length, chosen, straddling = _factors(at, source_doc, source_start, text_of, min_words)
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, np.concatenate([begin, straddling]), 1)
+    np.add.at(steps, np.concatenate([begin + length, straddling + min_words]), -1)
     gone = np.cumsum(steps)[:n] > 0
 
-    # A factor runs on while the next window's source is the next place of the same document.
-    goes_on = np.zeros(len(at), bool)
-    goes_on[1:] = (np.diff(at) == 1) & (np.diff(source_start) == 1) & (source_doc[1:] == source_doc[:-1])
-    goes_on[1:] &= text_of[at[1:]] == text_of[at[:-1]]
-    begin = np.flatnonzero(~goes_on)
-    length = np.diff(np.append(begin, len(at))) + min_words - 1
-    factor_text = text_of[at[begin]]
+    factor_text = text_of[begin]
     ends = np.searchsorted(factor_text, np.arange(len(b.ids) + 1))
     factors = pa.StructArray.from_arrays(
         [
-            pa.array(start_of[at[begin]].astype(np.int32)),
+            pa.array(start_of[begin].astype(np.int32)),
             pa.array(length.astype(np.int32)),
-            pa.array(source_doc[begin], mask=source_doc[begin] == NO_ID),
-            pa.array(source_start[begin].astype(np.int32)),
+            pa.array(source_doc[chosen], mask=source_doc[chosen] == NO_ID),
+            pa.array(source_start[chosen].astype(np.int32)),
         ],
         ["start", "length", "source_doc", "source_start"],
     )

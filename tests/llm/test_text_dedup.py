@@ -352,3 +352,34 @@ def test_patience_is_fast_where_runs_repeat():
     later, home = {(i, 1): i % 2 for i in range(n)}, {(i, 1): i % 3 % 2 for i in range(n)}
     assert sum(n for _, n, _ in line_dedup.common_blocks(later, home)) >= n
     assert line_dedup.common_blocks({(i, 1): 0 for i in range(n)}, {(0, 1): 0})[-1] == (n - 1, 1, 0)
+
+
+@pytest.mark.parametrize("seed, k, block", [(6, 4, 300), (7, 3, 100), (8, 1, 200), (9, 20, 1 << 20)])
+def test_factors_are_a_parse(sent, seed, k, block):
+    docs = [d for d in random_docs(seed) if d[0] is not None and d[0] < 64]
+    first = {}
+    for d, t in sorted(docs, key=lambda x: x[0]):
+        w = plain.WORD.findall(t or "")
+        for s in range(len(w) - k + 1):
+            first.setdefault(tuple(w[s : s + k]), (d, s))
+    got = substring_dedup.remove_repeats(sent.createDataFrame(docs, DOCS), min_words=k, block_bytes=block).collect()
+    texts = {d: plain.WORD.findall(t or "") for d, t in docs}
+    for row in got:
+        w, want, end = texts[row["doc_id"]], [], 0
+        for s in range(len(w) - k + 1):
+            source = first[tuple(w[s : s + k])]
+            if s < end or source == (row["doc_id"], s):
+                continue
+            end = s + k
+            while end < len(w) and first[tuple(w[end - k + 1 : end + 1])] == (source[0], source[1] + end - s - k + 1):
+                end += 1
+            want.append((s, end - s, *source))
+        assert [tuple(f) for f in row["factors"]] == want
+
+
+def test_factors_of_a_longer_later_source_do_not_overlap(sent):
+    w = [f"w{i}" for i in range(60)]
+    docs = [(1, " ".join(w[:25])), (2, " ".join(w)), (3, " ".join(w))]
+    got = {r["doc_id"]: r for r in substring_dedup.remove_repeats(sent.createDataFrame(docs, DOCS)).collect()}
+    assert [tuple(f) for f in got[3]["factors"]] == [(0, 25, 1, 0), (25, 35, 2, 25)] and got[3]["n_removed"] == 60
+    assert [tuple(f) for f in got[2]["factors"]] == [(0, 25, 1, 0)] and got[2]["kept"] == " ".join(w[25:])
