@@ -14,7 +14,9 @@ match any ending, with the edits of their own length. Words that a beginning cov
 Context: a match within a few words of quotation marks or a verb of saying counts as quoted, one
 near a word of address counts as aimed at somebody; both have their own weights.
 
-Null and empty texts have no matches and score as such. Equal rows get equal scores. Labels that
+Words are what stands between white space, of any length; scripts without spaces are read in overlapping pieces of two to
+four characters. Null and empty texts have no matches and score as such; an empty table gives an empty one; a very long text is read as
+a whole, in one row. Equal rows get equal scores. Labels that
 occur twice for an id count twice; null labels and ids are not learned from. With labels of one
 kind only, or none, every score is that kind's share (0 without labels). Extra columns are kept out.
 """
@@ -22,6 +24,7 @@ kind only, or none, every score is that kind's share (0 without labels). Extra c
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapframe.llm.blocks import released
+from lapframe.llm.line_dedup import SPACELESS
 
 TRAIN_ROWS = 20_000
 FOLDS = 5
@@ -48,7 +52,13 @@ QUOTES = "\"“”„«»‘’`"
 SAYING = frozenset("said says say called calls wrote quote quoted quotes word words dijo dice dicho escribió sagte sagt schrieb zitat dit écrit".split())
 ADDRESS = frozenset("you your yours yourself youre u tú tu usted vosotros eres du dich dir ihr euch sie vous toi ton es".split())
 
+#: Runs of scripts that write no spaces are read in overlapping pieces of so many characters.
+PIECES = (2, 3, 4)
+#: Longer chunks are matched anew each time, so that the cache stays small.
+CACHE_LETTERS = 64
+
 _CHUNK = regex.compile(r"\S+")
+_SPACELESS = re.compile("(?:" + "|".join(script.pattern for script, _ in SPACELESS) + ")+")
 _EDGE = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 
 
@@ -61,10 +71,29 @@ def core(chunk: str) -> str:
     return _EDGE.sub("", chunk.lower())
 
 
+def pieces(run: str) -> list[str]:
+    """The overlapping pieces of a run of characters without spaces, by place; a single character is one."""
+    return [run[i : i + n] for i in range(len(run) - 1) for n in PIECES if i + n <= len(run)] or [run]
+
+
+def chunks_of(text: str) -> list[str]:
+    """What stands between white space, and the pieces of runs in scripts without spaces."""
+    chunks = _CHUNK.findall(text)
+    if text.isascii() or not _SPACELESS.search(text):
+        return chunks
+    out = []
+    for chunk in chunks:
+        at = 0
+        for run in _SPACELESS.finditer(chunk):
+            out += [chunk[at : run.start()]] * (run.start() > at) + pieces(run[0])
+            at = run.end()
+        out += [chunk[at:]] * (at < len(chunk))
+    return out
+
+
 def terms_of(text: str | None) -> set[str]:
     """Words, and beginnings of longer words marked with a star."""
-    words = {core(c) for c in set(_CHUNK.findall(text or ""))}
-    out = {w for w in words if 2 <= len(w) <= 24}
+    out = {core(c) for c in set(chunks_of(text or ""))} - {""}
     return out | {w[:n] + "*" for w in out for n in BEGINNINGS if len(w) > n}
 
 
@@ -221,14 +250,16 @@ def features(text: str | None, automaton: Automaton, cache: dict) -> np.ndarray:
     out = np.zeros(FEATURES)
     if not text or not automaton.terms:
         return out
-    chunks = _CHUNK.findall(text)
+    chunks = chunks_of(text)
     hits = []
     for i, chunk in enumerate(chunks):
         found = cache.get(chunk, 0)
         if found == 0:
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-            found = cache[chunk] = automaton.match(core(chunk))
+            found = automaton.match(core(chunk))
+            if len(chunk) <= CACHE_LETTERS:
+                if len(cache) > CACHE_WORDS:
+                    cache.clear()
+                cache[chunk] = found
         if found:
             hits.append((i, *found))
     if not hits:

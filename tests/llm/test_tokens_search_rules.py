@@ -279,3 +279,23 @@ def test_rare_short_and_inflected_insults_are_learned(sent):
     asked = sent.createDataFrame([(i, f"the old {w} of the market") for i, w in enumerate(words)], DOCS)
     got = {words[x["row"]["doc_id"]]: x["score"] for x in toxicity.score(asked, model).collect()}
     assert all(got[w] > 2 * got["garden"] for w in words[:7]) and got["letters"] == got["garden"]
+
+
+def test_words_of_any_length_and_script_are_terms():
+    from lapframe.llm import toxicity
+
+    assert toxicity.chunks_of("a 坏家伙 b坏") == ["a", "坏家", "坏家伙", "家伙", "b", "坏"]
+    long = "x" * 5000
+    assert {"a", long, "坏家", "家伙"} <= toxicity.terms_of(f"A, {long}. 坏家伙")
+    assert toxicity.terms_of(None) == toxicity.terms_of(" ... ") == set()
+
+
+def test_toxic_terms_without_spaces_are_learned(sent):
+    from lapframe.llm import toxicity
+
+    plain = ["今天天气很好我们去公园", "河水上涨到早晨低处的道路", "他在图书馆里看书", "我们一起去吃饭吧"]
+    docs = [(i, plain[i % 4] + ("你这个蠢货真讨厌" if i % 2 else "") + plain[i // 4 % 4]) for i in range(200)]
+    frame = sent.createDataFrame(docs, "doc_id long, text string")
+    labels = sent.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    got = toxicity.score(frame, toxicity.train(frame, labels)).select("row.doc_id", "predicted").collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in got)
