@@ -21,7 +21,7 @@ The steps, each linear in the text:
 "Earlier" compares (doc_id, start); rows that share a doc_id are compared by start. A null id comes
 after all others. Null and empty texts have no words; an empty table gives an empty one. A very long text is a block
 of its own. Other columns are not read. Equal windows are told by 64 hash bits
-and the share (a share's size does not grow with the corpus if there are shares enough).
+and the share; there are as many shares as the written blocks need, so a share does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapframe.llm.blocks import BLOCK_BYTES, array, document_blocks, joined, partitions, routed, squeezed, unpack
+from lapframe.llm.blocks import BLOCK_BYTES, array, document_blocks, joined, routed, squeezed, unpack
+from lapframe.llm.exchange import shares
 from lapframe.llm.words import Words, grams, mix, sliding_argmin, utf8, whole
 
 MIN_WORDS = 20
@@ -291,8 +292,8 @@ def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Per document its kept words (joined by one space) and its factors with their sources."""
-    n = partitions(docs)
     blocks = document_blocks(docs, F.col(id_col), F.col(text_col), block_bytes)
+    n = shares(blocks, block_bytes)
     wanted = blocks.mapInArrow(_anchors(min_words, n), ANCHORS).groupBy("share").applyInArrow(_common, WANTED)
     wanted = wanted.filter(F.length("number") > 0)
     # Rows of one block, whatever they are: its documents, its wanted anchors, its repeated windows.
