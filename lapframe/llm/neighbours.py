@@ -38,6 +38,8 @@ WINDOW = 0.22
 BITS = 12
 RANGE_ROWS = 20_000
 SAMPLE_ROWS = 20_000
+#: More than two products of unit vectors can differ by rounding.
+ROUNDING = 1e-11
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -149,9 +151,11 @@ def _reranked(dimension: int, k: int):
         unit = _unit(vectors) if len(vectors) else vectors
         for i in range(0, len(queries) if len(vectors) else 0, 256):
             near = _unit(queries[i : i + 256]) @ unit.T
-            top = min(k + 3, near.shape[1])
-            for q, some in enumerate(np.argpartition(-near, top - 1, axis=1)[:, :top]):
-                own = names[i + q, 0]
+            # The query's own vector may be one of the nearest. What rounding may have put below the last is compared exactly.
+            last = near.shape[1] - min(k + 1, near.shape[1])
+            least = np.partition(near, last, axis=1)[:, last] - ROUNDING
+            for q, own in enumerate(names[i : i + 256, 0]):
+                some = np.flatnonzero(near[q] >= least[q])
                 score = cosine(queries[i + q], vectors[some])
                 who, score = ids[some].ravel(), np.repeat(score, ids.shape[1])
                 keep = (who != own) & (who != NO_ID)

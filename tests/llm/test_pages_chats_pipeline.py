@@ -270,3 +270,17 @@ def test_every_query_gives_its_columns(sent):
         want = columns.get(name.split("_")[0])
         if want:
             assert set(want.split()) <= set(query(sent, SF).columns), name
+
+
+def test_scaled_copies_of_a_vector_are_ranked_by_exact_score_and_id(sent):
+    random = np.random.default_rng(8)
+    base, other = random.normal(size=(2, 16))
+    rows = [(i, (base * (1 + i * 0.37)).tolist()) for i in range(30)] + [(100 + i, (other * (i + 1)).tolist()) for i in range(12)]
+    frame = sent.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.search(frame, lambda i: i % 10 == 0).collect()
+    for q, own in rows:
+        if q % 10:
+            continue
+        scores = neighbours.cosine(np.array(own), np.array([v for _, v in rows]))
+        want = sorted((-x, i) for (i, _), x in zip(rows, scores) if i != q)[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, -x) for x, i in want]
