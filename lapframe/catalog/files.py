@@ -83,6 +83,75 @@ def scan_coordinates(spark: SparkSession, sf: str) -> DataFrame:
     return readers.track_coordinates(spark, path)
 
 
+_BLOCK = 500  # events of a weather document
+
+
+@query(
+    f"""WITH d AS (SELECT event_id, value, event_id // {_BLOCK} AS block FROM events)
+    SELECT CAST(2000 + block % 25 AS INT) AS year, 'grand_prix_' || (block % 7) AS slug, 'race' || block AS label,
+       CAST(DATE '2024-01-01' + CAST(block % 300 AS INT) AS DATE) AS date, event_id, value AS temp FROM d"""
+)
+def scan_weather_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather documents of up to 500 readings, landed as {year}/{slug}/{label}_{date}.json, as rows with the path's fields."""
+    block = F.floor(F.col("event_id") / _BLOCK)
+    docs = b.table(spark, sf, "events").groupBy(block.alias("block")).agg(
+        F.collect_list(F.struct("event_id", F.col("value").alias("temp"))).alias("days")
+    )
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("block") % 300).cast("int"))
+    name = F.format_string(
+        "%d/grand_prix_%d/race%d_%s.json", 2000 + F.col("block") % 25, F.col("block") % 7, F.col("block"), day.cast("string")
+    )
+    path = new_path(spark, "weather")
+    writers.named_files(docs.select(name.alias("name"), F.to_json(F.struct("days")).alias("body")), path, "name", "body")
+    body = T.StructType.fromDDL("days array<struct<event_id: long, temp: double>>")
+    return readers.weather_documents(spark, path, body).select("year", "slug", "label", "date", F.inline("days"))
+
+
+_TRACK = 20  # vectors of a track
+_TRACKS_SQL = f"""{b.VERTICES_SQL}, tracks AS (
+  SELECT 'track_' || (track // {_TRACK}) AS name, CAST(row_number() OVER (PARTITION BY track // {_TRACK} ORDER BY track, idx) - 1 AS INT) AS place,
+         lon, lat, elevation_m FROM vertices)"""
+
+
+def _tracks(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per track of at most 640 vertices, ``points`` in order."""
+    points = F.array_sort(F.collect_list(F.struct("track", "idx", "lon", "lat", "elevation_m")))
+    name = F.concat(F.lit("track_"), F.floor(F.col("track") / _TRACK))
+    return b.vertices(spark, sf).groupBy(name.alias("name")).agg(points.alias("points"))
+
+
+@query(f"WITH {_TRACKS_SQL} SELECT name AS track, place AS idx, lon, lat FROM tracks")
+def scan_centerlines(spark: SparkSession, sf: str) -> DataFrame:
+    """A GeoJSON file per track, named after it, with a second feature that does not count."""
+    line = F.transform("points", lambda p: F.array(p["lon"], p["lat"]))
+    features = F.array(*[F.struct(F.struct(c.alias("coordinates")).alias("geometry")) for c in (line, F.slice(line, 1, 1))])
+    docs = _tracks(spark, sf).select(F.concat("name", F.lit(".geojson")).alias("file"), F.to_json(F.struct(features.alias("features"))).alias("body"))
+    path = new_path(spark, "centerlines")
+    writers.named_files(docs, path, "file", "body")
+    return readers.centerlines(spark, path)
+
+
+@query(
+    f"""WITH {_TRACKS_SQL} SELECT name AS track, place * 10.0::DOUBLE AS distance_m,
+       CASE WHEN place % 5 <> 3 THEN elevation_m END AS elevation_m, CAST(0.5 AS DOUBLE) AS elev_delta_m FROM tracks"""
+)
+def scan_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """A profile file per track in a folder of its own, NaN in it, and a file of another name that does not count."""
+    rows = _tracks(spark, sf).select("name", F.posexplode("points").alias("place", "p"))
+    height = F.when(F.col("place") % 5 == 3, "NaN").otherwise(F.col("p.elevation_m").cast("string"))
+    line = F.concat_ws(",", "name", (F.col("place") * 10.0).cast("string"), height, F.lit("0.5"))
+    # The first vertex brings the header with it.
+    shown = F.when(F.col("place") == 0, F.array(F.lit("track,distance_m,elevation_m,elev_delta_m"), line)).otherwise(F.array(line))
+    lines = rows.select("name", "place", F.posexplode(shown).alias("part", "line"))
+    path = new_path(spark, "profiles")
+    for tail in ("elevation_profile.csv", "notes.csv"):
+        named = lines.withColumn("file", F.concat("name", F.lit("/"), "name", F.lit(f"_{tail}")))
+        writers.named_files(named, path, "file", "line", ["place", "part"])
+    profiles = readers.elevation_profiles(spark, path)
+    readers.require_profiles(lines.select(F.col("name").alias("track")).distinct(), profiles)
+    return profiles
+
+
 @query(
     f"""WITH {b.LAPS_SQL}, e AS (SELECT race_round AS fold, lap_time - 60 AS error FROM clean),
     f AS (SELECT fold, {settled_sql("sqrt(avg(error * error))")} AS rmse, {settled_sql("avg(abs(error))")} AS mae FROM e GROUP BY fold)

@@ -206,3 +206,36 @@ def test_landing_an_event_again_replaces_only_its_folder(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(season" in one._jdf.queryExecution().toString()
     writers.land_partitions(rows.limit(0), path, ["season", "race_round"])
     assert spark.read.schema(rows.schema).parquet(path).count() == 23
+
+
+def _files(folder):
+    return {str(p.relative_to(folder)): p.read_text() for p in folder.rglob("*") if p.is_file() and not p.name.startswith(".")}
+
+
+def test_named_files_are_whole_ordered_and_replaced(spark, tmp_path):
+    rows = [(f"a/{i % 3}.txt", i, None if i == 4 else f"line {i}") for i in range(30)] + [("empty.txt", 0, None)]
+    df = spark.createDataFrame(rows, "file string, at int, text string").repartition(5)
+    writers.named_files(df, str(tmp_path), "file", "text", ["at"])
+    want = {f"a/{k}.txt": "".join(f"line {i}\n" for i in range(k, 30, 3) if i != 4) for k in range(3)} | {"empty.txt": ""}
+    assert _files(tmp_path) == want
+    writers.named_files(df.where("file = 'a/1.txt' and at < 9"), f"file:{tmp_path}", "file", "text", ["at"])
+    assert _files(tmp_path) == want | {"a/1.txt": "line 1\nline 7\n"}
+    writers.named_files(df.limit(0), str(tmp_path), "file", "text")
+    assert _files(tmp_path) == want | {"a/1.txt": "line 1\nline 7\n"}
+
+
+@pytest.mark.parametrize("name", [None, "", "../up.txt", "a//b", "_hidden/x", ".x", "/etc/x"])
+def test_names_that_are_no_files_below_the_folder(spark, tmp_path, name):
+    df = spark.createDataFrame([("fine.txt", "x"), (name, "y")], "file string, text string")
+    with pytest.raises(Exception, match="does not name a file"):
+        writers.named_files(df, str(tmp_path), "file", "text")
+    assert _files(tmp_path) == {}
+
+
+def test_rows_of_a_named_file_must_lie_together(spark, tmp_path):
+    spark.dataSource.register(writers.NamedFiles)
+    for rows in ([("x", "1"), ("y", "2"), ("x", "3")], [("x", "1"), ("x", "2")]):
+        df = spark.createDataFrame(rows, "name string, line string").repartitionByRange(len(rows) if len(rows) == 2 else 1, "line")
+        with pytest.raises(Exception, match="lie apart"):
+            df.write.format("named_files").mode("append").save(str(tmp_path))
+    assert _files(tmp_path) == {}
