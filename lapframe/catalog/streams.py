@@ -10,7 +10,7 @@ from lapframe import bindings as b
 from lapframe.catalog.registry import query, settled, settled_sql
 from lapframe.catalog.tables import MESSAGE, MESSAGE_DEFAULTS
 from lapframe.session import new_path
-from lapframe.streaming import live, windowed
+from lapframe.streaming import layered, live, windowed
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,6 +130,29 @@ def stream_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     return table.read(events.schema)
 
 
+@query(
+    """WITH asked AS (SELECT DISTINCT user_id FROM events ORDER BY user_id LIMIT 10)
+    SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
+       user_id IN (SELECT user_id FROM asked) AS asked, true AS few_files FROM events GROUP BY user_id"""
+)
+def stream_levels_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """All users' newest events from a table in levels, and those of a request for ten users, which opens few files."""
+    path = new_path(spark, "levels")
+    events = b.table(spark, sf, "events").select("user_id", "ts", "event_id")
+    events.repartition(9, "event_id").write.parquet(f"{path}/in")
+    stream = live.file_messages(spark, f"{path}/in", events.schema, files_per_batch=1)
+    table = layered.LayeredTable(spark, f"{path}/table", ["user_id"], ["ts", "event_id"], fan_in=2)
+    live.finish(live.keep_latest(stream, table, f"{path}/checkpoint"))
+    request = [(r.user_id,) for r in events.select("user_id").distinct().orderBy("user_id").limit(10).collect()]
+    found = table.look_up([*request, (-1,)], events.schema)
+    runs = table.manifest()["runs"]
+    few = layered.opened(found) <= 1 + sum(min(len(request) + 1, 1 << r["bits"]) for r in runs) and len(runs) <= 4
+    marked = found.withColumn("asked", F.lit(True)).unionAll(
+        table.read(events.schema).where(~F.col("user_id").isin([r[0] for r in request])).withColumn("asked", F.lit(False))
+    )
+    return marked.withColumn("few_files", F.lit(few))
+
+
 @query(
     """WITH m AS (SELECT event_id, CASE event_type WHEN 'click' THEN -1
          ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k, event_type FROM events)
