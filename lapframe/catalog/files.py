@@ -11,7 +11,7 @@ from lapframe import config
 from lapframe.catalog.registry import query, settled, settled_sql
 from lapframe.functions.arrays import strip_prefix
 from lapframe.operators import clean, evaluate, features, geometry
-from lapframe.plans import landing
+from lapframe.plans import landing, rebuild
 from lapframe.session import materialize, new_path
 from lapframe.sources import readers, writers
 from lapframe.streaming import live
@@ -120,38 +120,113 @@ def _tracks(spark: SparkSession, sf: str) -> DataFrame:
     return b.vertices(spark, sf).groupBy(name.alias("name")).agg(points.alias("points"))
 
 
-@query(f"WITH {_TRACKS_SQL} SELECT name AS track, place AS idx, lon, lat FROM tracks")
-def scan_centerlines(spark: SparkSession, sf: str) -> DataFrame:
+def _land_centerlines(tracks: DataFrame, path: str) -> None:
     """A GeoJSON file per track, named after it, with a second feature that does not count."""
     line = F.transform("points", lambda p: F.array(p["lon"], p["lat"]))
     features = F.array(*[F.struct(F.struct(c.alias("coordinates")).alias("geometry")) for c in (line, F.slice(line, 1, 1))])
-    docs = _tracks(spark, sf).select(F.concat("name", F.lit(".geojson")).alias("file"), F.to_json(F.struct(features.alias("features"))).alias("body"))
-    path = new_path(spark, "centerlines")
+    docs = tracks.select(F.concat("name", F.lit(".geojson")).alias("file"), F.to_json(F.struct(features.alias("features"))).alias("body"))
     writers.named_files(docs, path, "file", "body")
-    return readers.centerlines(spark, path)
 
 
-@query(
-    f"""WITH {_TRACKS_SQL} SELECT name AS track, place * 10.0::DOUBLE AS distance_m,
-       CASE WHEN place % 5 <> 3 THEN elevation_m END AS elevation_m, CAST(0.5 AS DOUBLE) AS elev_delta_m FROM tracks"""
-)
-def scan_profiles(spark: SparkSession, sf: str) -> DataFrame:
+def _land_profiles(tracks: DataFrame, path: str) -> None:
     """A profile file per track in a folder of its own, NaN in it, and a file of another name that does not count."""
-    rows = _tracks(spark, sf).select("name", F.posexplode("points").alias("place", "p"))
+    rows = tracks.select("name", F.posexplode("points").alias("place", "p"))
     height = F.when(F.col("place") % 5 == 3, "NaN").otherwise(F.col("p.elevation_m").cast("string"))
     line = F.concat_ws(",", "name", (F.col("place") * 10.0).cast("string"), height, F.lit("0.5"))
     # The first vertex brings the header with it.
     shown = F.when(F.col("place") == 0, F.array(F.lit("track,distance_m,elevation_m,elev_delta_m"), line)).otherwise(F.array(line))
     lines = rows.select("name", "place", F.posexplode(shown).alias("part", "line"))
-    path = new_path(spark, "profiles")
     for tail in ("elevation_profile.csv", "notes.csv"):
         named = lines.withColumn("file", F.concat("name", F.lit("/"), "name", F.lit(f"_{tail}")))
         writers.named_files(named, path, "file", "line", ["place", "part"])
+
+
+@query(f"WITH {_TRACKS_SQL} SELECT name AS track, place AS idx, lon, lat FROM tracks")
+def scan_centerlines(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "centerlines")
+    _land_centerlines(_tracks(spark, sf), path)
+    return readers.centerlines(spark, path)
+
+
+@query(
+    f"""WITH {_TRACKS_SQL} SELECT name AS track, place * 10.0::DOUBLE AS distance_m,
+       CASE WHEN place % 5 <> 3 THEN elevation_m END AS elevation_m, CAST(0.5 AS DOUBLE) AS elev_delta_m FROM tracks"""
+)
+def scan_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "profiles")
+    tracks = materialize(_tracks(spark, sf), "tracks")
+    _land_profiles(tracks, path)
     profiles = readers.elevation_profiles(spark, path)
-    readers.require_profiles(lines.select(F.col("name").alias("track")).distinct(), profiles)
+    readers.require_profiles(tracks.select(F.col("name").alias("track")), profiles)
     return profiles
 
 
+_CORNERS = (40, 200, 360, 520)  # the vertices at the corners of a track
+
+
+@query(
+    f"""WITH {b.LAPS_SQL}, {_TRACKS_SQL}, flat AS (
+      SELECT *, 6371000.0 * radians(lon - first_value(lon) OVER w) * cos(radians(first_value(lat) OVER w)) AS px,
+        6371000.0 * radians(lat - first_value(lat) OVER w) AS py FROM tracks WINDOW w AS (PARTITION BY name ORDER BY place)),
+    moves AS (SELECT *, coalesce(sqrt(pow(px - lag(px) OVER w, 2) + pow(py - lag(py) OVER w, 2)), 0) AS step
+      FROM flat WINDOW w AS (PARTITION BY name ORDER BY place)),
+    path AS (SELECT *, sum(step) OVER (PARTITION BY name ORDER BY place) AS dist FROM moves),
+    spaced AS (SELECT name, row_number() OVER w AS no, dist - coalesce(lag(dist) OVER w, 0) AS spacing
+      FROM path WHERE place IN {_CORNERS} WINDOW w AS (PARTITION BY name ORDER BY dist)),
+    corners AS (SELECT name, max(spacing) FILTER (no = 1) AS c1, max(spacing) FILTER (no = 3) AS c3 FROM spaced GROUP BY name),
+    shape AS (SELECT name, max(dist) AS track_length,
+        max(elevation_m) FILTER (place % 5 <> 3) - min(elevation_m) FILTER (place % 5 <> 3) AS rise FROM path GROUP BY name),
+    wx AS (SELECT year(o_orderdate) AS season, month(o_orderdate) AS race_round, o_orderdate AS ts, max(o_totalprice) AS temperature
+      FROM orders GROUP BY ALL)
+    SELECT CAST(c.season AS BIGINT) AS season, CAST(c.race_round AS BIGINT) AS race_round, c.driver_id, c.lap_number, c.car_part,
+      c.lap_time, s_nationkey AS grid_position, temperature, round(track_length, 3) AS track_length, round(rise, 6) AS rise,
+      round(c1, 3) AS corner_1_distance, round(c3, 3) AS corner_3_distance
+    FROM clean c LEFT JOIN supplier ON s_suppkey = c.driver_id
+    ASOF LEFT JOIN wx ON c.season = wx.season AND c.race_round = wx.race_round AND c.lap_start >= wx.ts
+    LEFT JOIN shape ON shape.name = 'track_' || c.race_round LEFT JOIN corners ON corners.name = 'track_' || c.race_round"""
+)
+def rebuild_wide_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Laps, results, weather documents, centerlines, profiles and track metadata land as files; one call makes the wide table."""
+    path = new_path(spark, "rebuilt")
+    laps = clean.clean_laps(b.laps(spark, sf)).select(
+        "season",
+        "race_round",
+        F.concat(F.lit("Track "), "race_round").alias("grand_prix"),
+        F.col("driver_id").cast("string").alias("DriverNumber"),
+        F.col("lap_number").alias("LapNumber"),
+        F.col("lap_time").alias("LapTime"),
+        F.col("lap_start").cast("timestamp").alias("lap_start"),
+        "car_part",
+    )
+    laps = materialize(laps, "laps")
+    laps.write.parquet(f"{path}/laps")
+    results = b.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("DriverNumber"), F.col("s_nationkey").alias("GridPosition"))
+    events = laps.select("season", "race_round", "DriverNumber").distinct()
+    events.join(results, "DriverNumber").write.parquet(f"{path}/results")
+    days = (
+        b.table(spark, sf, "orders")
+        .groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("round"), F.to_date("o_orderdate").alias("day"))
+        .agg(F.max("o_totalprice").alias("temp"))
+    )
+    hours = F.array(F.struct(F.lit("00:00:00").alias("datetime"), "temp"))
+    docs = days.groupBy("year", "round").agg(F.collect_list(F.struct(F.col("day").cast("string").alias("datetime"), hours.alias("hours"))).alias("days"))
+    name = F.format_string("%d/track_%d/race_%d-%02d-01.json", "year", "round", "year", "round")
+    writers.named_files(docs.select(name.alias("name"), F.to_json(F.struct("days")).alias("body")), f"{path}/weather", "name", "body")
+    tracks = materialize(_tracks(spark, sf), "tracks")
+    _land_centerlines(tracks, f"{path}/centerlines")
+    _land_profiles(tracks, f"{path}/profiles")
+    spots = [F.get("points", F.lit(v)) for v in _CORNERS]
+    coords = [F.concat_ws(",", p["lat"], p["lon"]).alias(f"corner_{i}_coords") for i, p in enumerate(spots, 1)]
+    writers.csv(tracks.select(F.col("name").alias("slug"), *coords), f"{path}/tracks")
+    folders = rebuild.Folders(*(f"{path}/{x}" for x in ("laps", "results", "weather", "centerlines", "profiles", "tracks")))
+    wide = rebuild.rebuild(spark, folders, f"{path}/wide", lap_schema=laps.schema, extra=["car_part"])
+    return wide.select(
+        "season", "race_round", "driver_id", "lap_number", "car_part", "lap_time", "grid_position", "temperature",
+        F.round("track_length", 3).alias("track_length"), F.round("total_elev_change", 6).alias("rise"),
+        F.round("corner_1_distance", 3).alias("corner_1_distance"), F.round("corner_3_distance", 3).alias("corner_3_distance"),
+    )
+
+
 @query(
     f"""WITH {b.LAPS_SQL}, e AS (SELECT race_round AS fold, lap_time - 60 AS error FROM clean),
     f AS (SELECT fold, {settled_sql("sqrt(avg(error * error))")} AS rmse, {settled_sql("avg(abs(error))")} AS mae FROM e GROUP BY fold)

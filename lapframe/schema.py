@@ -46,6 +46,14 @@ ELEVATION_PROFILE = T.StructType(
     ]
 )
 
+# The part of a landed weather document that is read.
+_HOUR = (
+    T.StructType().add("datetime", "string").add("temp", "double").add("humidity", "double").add("conditions", "string")
+)
+WEATHER_DOCUMENT = T.StructType().add(
+    "days", T.ArrayType(T.StructType().add("datetime", "string").add("hours", T.ArrayType(_HOUR)))
+)
+
 CENTERLINE = T.StructType(
     [
         T.StructField(
