@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lapframe import bindings as b
 from lapframe import config
 from lapframe.catalog.registry import query, settled, settled_sql
-from lapframe.operators import clean, evaluate, folds
+from lapframe.operators import clean, evaluate, folds, sketches
 from lapframe.operators.quantiles import percentiles
-from lapframe.session import materialize
+from lapframe.session import materialize, new_path
 
 # The deterministic predictor: the race median, and bands at its residual percentiles.
 PREDICTIONS_SQL = f"""{b.LAPS_SQL},
@@ -238,3 +238,30 @@ def prediction_bands(spark: SparkSession, sf: str) -> DataFrame:
         settled("pred_low", 9).alias("default_low"),
         settled("pred_high", 9).alias("default_high"),
     )
+
+
+_SKETCHED_SQL = " UNION ALL ".join(
+    f"SELECT '{grain}' AS grain, {season} AS season, {race} AS race_round, "
+    + ", ".join(settled_sql(f"quantile_cont(lap_time, {p})") + f" AS p{round(100 * p)}" for p in (0.1, 0.5, 0.9))
+    + f" FROM clean {group}"
+    for grain, season, race, group in (
+        ("race", "season", "race_round", "GROUP BY season, race_round"),
+        ("season", "season", "CAST(NULL AS INT)", "GROUP BY season"),
+        ("all", "CAST(NULL AS INT)", "CAST(NULL AS INT)", ""),
+    )
+)
+
+
+@query(f"WITH {b.LAPS_SQL} {_SKETCHED_SQL}")
+def percentiles_from_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches per race, added in two landings, serve exact percentiles of races, seasons and everything."""
+    laps = materialize(clean.clean_laps(b.laps(spark, sf)).select("season", "race_round", "lap_time"), "laps")
+    table = sketches.SketchTable(spark, new_path(spark, "sketches"), ["season", "race_round"], "season", "lap_time")
+    for odd in (0, 1):
+        table.add(laps.where(F.col("season") % 2 == odd))
+    found = []
+    for grain, by in (("race", ["season", "race_round"]), ("season", ["season"]), ("all", [])):
+        rows = table.exact(laps, by, [0.1, 0.5, 0.9], "q")
+        keys = [(F.col(k) if k in by else F.lit(None).cast("int")).alias(k) for k in ("season", "race_round")]
+        found.append(rows.select(F.lit(grain).alias("grain"), *keys, *[F.col("q")[i].alias(n) for i, n in enumerate(("p10", "p50", "p90"))]))
+    return _rounded(found[0].unionAll(found[1]).unionAll(found[2]), "p10", "p50", "p90")

@@ -66,12 +66,14 @@ def _narrowed(
     fractions: Sequence[float],
     name: str,
     max_rows: int | None,
+    checked: bool = False,
 ) -> DataFrame:
     """Count values one by one inside the brackets and in bulk between them.
 
     The running count says where each wanted rank lies, whatever the error of the sketch. A
     rank that misses its bracket, which the margin makes all but impossible, is looked up in
-    its bulk interval by one more pass over the values.
+    its bulk interval by one more pass over the values. With ``checked`` the rows of each group, a
+    sketch's or not, must be as many as its sketch has counted.
     """
     pairs = [(k, f"_s_{k}") for k in keys]
     cuts, v = F.col("_cuts"), F.col("_v")
@@ -79,7 +81,7 @@ def _narrowed(
     for i in range(len(fractions)):
         bracketed = bracketed | v.between(cuts[2 * i], cuts[2 * i + 1])
     placed = values.join(
-        sketch.drop("_n"), same_keys(values, sketch, pairs)
+        sketch.drop("_n"), same_keys(values, sketch, pairs), "left" if checked else "inner"
     ).select(
         *keys,
         F.size(F.filter(cuts, lambda c: c < v)).alias("_bin"),
@@ -90,6 +92,8 @@ def _narrowed(
     counts = materialize(
         placed.groupBy(*keys, "_bin", "_kept").agg(F.count(F.lit(1)).alias("_copies")), "counts"
     )
+    if checked:
+        _require_counts(counts, sketch, keys, pairs)
     ranked = running_sum(counts, keys, ["_bin", "_kept"], "_copies", "_end", max_rows)
     wanted = _wanted_ranks(sketch, pairs, fractions)
     hits = materialize(_at_rank(ranked, wanted, keys), "hits")
@@ -124,6 +128,15 @@ def _narrowed(
     return points.groupBy(*keys).agg(F.transform(listed, lambda s: s["_p"]).alias(name))
 
 
+def _require_counts(counts: DataFrame, sketch: DataFrame, keys: list[str], pairs: list[tuple[str, str]]) -> None:
+    """Fail, naming one group, when a sketch has counted other rows than there are."""
+    found = counts.groupBy(*keys).agg(F.sum("_copies").alias("_found"))
+    both = found.join(sketch.select(*[s for _, s in pairs], "_n"), same_keys(found, sketch, pairs), "full")
+    odd = both.where(~F.col("_found").eqNullSafe(F.col("_n"))).first()
+    if odd:
+        raise ValueError(f"{odd['_found']} rows, but sketches of {odd['_n']}: {odd.asDict()}")
+
+
 def _wanted_ranks(
     sketch: DataFrame, pairs: list[tuple[str, str]], fractions: Sequence[float]
 ) -> DataFrame:
