@@ -8,7 +8,8 @@ states, and turns are rendered in one canonical form.
 A transcript of any length is decoded exactly in blocks of ``block_turns`` rows, whatever their order values, spread over
 all tasks: a block is first summed up as a table of the best score from every state before it to every
 state at its end, the tables of a transcript are chained to find the states at block borders,
-and each block is then decoded between its borders. Only the tables of one transcript meet in one task.
+and each block is then decoded between its borders. Tables are chained in a tree: ``fan`` neighbours make one table of the same
+size, level by level, and borders are found from the top down, so no more than ``fan`` tables of a transcript meet at once.
 
 Inside a turn, blank lines between two others become one, whatever their number.
 Rows of a transcript are ordered by the order column, nulls last, then by text. Rows with a null
@@ -25,11 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapframe.llm.blocks import partitions
-from lapframe.operators.ordered import row_numbers
+from lapframe.operators.ordered import row_numbers, running_sum
 from lapframe.session import materialize, max_group_rows
 
 ROLES = ("system", "user", "assistant")
@@ -39,6 +40,8 @@ START = STATES
 BLOCK_TURNS = 500
 #: Blocks of a transcript that one task may number; a longer transcript is numbered in parts.
 TASK_BLOCKS = 200
+#: Neighbouring tables that are chained at once.
+FAN = 1000
 LAST = 9223372036854775807
 
 #: Names of speakers.
@@ -105,6 +108,48 @@ def table(model: Model, observed: list[int]) -> np.ndarray:
     return best
 
 
+def chained(tables: list[tuple[np.ndarray | None, bool]]) -> tuple[np.ndarray | None, bool]:
+    """The table of neighbouring blocks from theirs, and whether they end on a blank line.
+
+    A table has two forms, for no and for a blank line before it; a block of blank lines has none.
+    """
+    out: list[np.ndarray] = []
+    for blank in (False, True):
+        whole = None
+        for best, ends_blank in tables:
+            if best is not None:
+                own = best[int(blank)]
+                whole = own if whole is None else (whole[:, :, None] + own[None, :STATES]).max(axis=1)
+            blank = ends_blank
+        if whole is not None:
+            out.append(whole)
+    return (np.stack(out) if out else None), tables[-1][1]
+
+
+def borders(
+    tables: list[tuple[np.ndarray | None, bool]], before: int = START, end: int | None = None, blank: bool = False
+) -> list[tuple[int, int, int, bool]]:
+    """For each block with a table its number here, the best states before it and at its end, and whether a blank line stands before it."""
+    score, back, held = None, [], []
+    for i, (best, ends_blank) in enumerate(tables):
+        if best is not None:
+            own = best[int(blank)]
+            paths = own[before][None] if score is None else score[:, None] + own[:STATES]
+            back.append(paths.argmax(axis=0))
+            score = paths.max(axis=0)
+            held.append((i, blank))
+        blank = ends_blank
+    if not held:
+        return []
+    state = int(score.argmax()) if end is None else end
+    out = []
+    for k in range(len(held) - 1, -1, -1):
+        earlier = int(back[k][state]) if k else before
+        out.append((held[k][0], earlier, state, held[k][1]))
+        state = earlier
+    return out[::-1]
+
+
 def viterbi(model: Model, observed: list[int], before: int = START, end: int | None = None) -> list[int]:
     """The best states, given the state before and, if named, the last one."""
     score = model.steps[before] + model.seen[:, observed[0]]
@@ -184,8 +229,72 @@ def prepared(rows: DataFrame, conv_col: str, order_col: str, text_col: str, bloc
     return out.withColumn("share", F.pmod(F.xxhash64("conv", "block"), F.lit(4 * partitions(rows))).cast("int"))
 
 
+TABLES = "conv long, block long, best binary, blank boolean"
+BORDERS = "conv long, block long, before int, after int, blank boolean"
+
+
+def _siblings(t: pa.Table) -> Iterator[tuple[list[dict], list[tuple[np.ndarray | None, bool]]]]:
+    """The blocks below each parent in order, and their tables."""
+    rows = sorted(t.to_pylist(), key=lambda r: (r["conv"] is None, r["conv"] or 0, r["parent"], r["block"]))
+    begin = 0
+    for i in range(1, len(rows) + 1):
+        if i == len(rows) or (rows[i]["conv"], rows[i]["parent"]) != (rows[begin]["conv"], rows[begin]["parent"]):
+            own = rows[begin:i]
+            yield own, [(None if r["best"] is None else np.frombuffer(r["best"]).reshape(2, STATES + 1, STATES), r["blank"]) for r in own]
+            begin = i
+
+
+def block_borders(tables: DataFrame, shares: int, fan: int = FAN) -> DataFrame:
+    """``conv, block, before, after, blank`` of each block that has a table: the states at its borders.
+
+    ``tables`` is written; a transcript's blocks are numbered from 0.
+    """
+
+    def join_up(t: pa.Table) -> pa.Table:
+        out = []
+        for own, below in _siblings(t):
+            best, blank = chained(below)
+            out.append((own[0]["conv"], own[0]["parent"], None if best is None else best.tobytes(), blank))
+        kinds = {"conv": pa.int64(), "block": pa.int64(), "best": pa.binary(), "blank": pa.bool_()}
+        return pa.table({n: pa.array([r[i] for r in out], k) for i, (n, k) in enumerate(kinds.items())})
+
+    def go_down(t: pa.Table) -> pa.Table:
+        out = []
+        for own, below in _siblings(t):
+            for i, *found in borders(below, own[0]["state_before"], own[0]["state_after"], own[0]["blank_before"]):
+                out.append((own[i]["conv"], own[i]["block"], *found))
+        kinds = {"conv": pa.int64(), "block": pa.int64(), "before": pa.int32(), "after": pa.int32(), "blank": pa.bool_()}
+        return pa.table({n: pa.array([r[i] for r in out], k) for i, (n, k) in enumerate(kinds.items())})
+
+    share = F.pmod(F.xxhash64("conv", "parent"), F.lit(shares))
+    levels = [tables]
+    most = (tables.agg(F.max("block")).first()[0] or 0) + 1
+    while most > fan:
+        below = levels[-1].withColumn("parent", F.expr(f"block div {fan}"))
+        levels.append(materialize(below.withColumn("share", share).groupBy("share").applyInArrow(join_up, TABLES), "tables"))
+        most = -(-most // fan)
+    found = None
+    for level in reversed(levels):
+        if found is None:  # all that is left of a transcript hangs on its begin
+            below = level.withColumn("parent", F.lit(0).cast("long")).withColumns(
+                {"state_before": F.lit(START), "state_after": F.lit(None).cast("int"), "blank_before": F.lit(False)}
+            )
+        else:
+            below = level.withColumn("parent", F.expr(f"block div {fan}")).alias("l").join(
+                found.alias("f"), F.expr("l.conv <=> f.conv and l.parent = f.block")
+            ).selectExpr("l.*", "f.before AS state_before", "f.after AS state_after", "f.blank AS blank_before")
+        found = below.withColumn("share", share).groupBy("share").applyInArrow(go_down, BORDERS)
+    return found
+
+
 def format_chats(
-    rows: DataFrame, model: Model, conv_col: str = "conv_id", order_col: str = "turn", text_col: str = "text", block_turns: int = BLOCK_TURNS
+    rows: DataFrame,
+    model: Model,
+    conv_col: str = "conv_id",
+    order_col: str = "turn",
+    text_col: str = "text",
+    block_turns: int = BLOCK_TURNS,
+    fan: int = FAN,
 ) -> DataFrame:
     """Recovered turns: ``conv_id, turn, role, text`` (markers gone), ``rendered``."""
     ready = prepared(rows, conv_col, order_col, text_col, block_turns)
@@ -201,32 +310,6 @@ def format_chats(
         kinds = {"conv": pa.int64(), "block": pa.int64(), "best": pa.binary(), "blank": pa.bool_()}
         return pa.table({n: pa.array(v, kinds[n]) for n, v in out.items()})
 
-    def chain(t: pa.Table) -> pa.Table:
-        own = sorted(t.to_pylist(), key=lambda r: (r["conv"] is None, r["conv"] or 0, r["block"]))
-        out: dict[str, list] = {"conv": [], "block": [], "before": [], "after": [], "blank": []}
-        begin = 0
-        for i in range(1, len(own) + 1):
-            if i < len(own) and own[i]["conv"] == own[begin]["conv"]:
-                continue
-            score, back, blank, held = None, [], False, []
-            for r in own[begin:i]:
-                if r["best"] is not None:
-                    best = np.frombuffer(r["best"]).reshape(2, STATES + 1, STATES)[int(blank)]
-                    paths = best[START:] if score is None else score[:, None] + best[:STATES]
-                    back.append(paths.argmax(axis=0))
-                    score = paths.max(axis=0)
-                    held.append((r["block"], blank))
-                blank = r["blank"]
-            state = int(score.argmax()) if held else 0
-            for k in range(len(back) - 1, -1, -1):
-                before = int(back[k][state]) if k else START
-                for name, value in zip(out, (own[begin]["conv"], held[k][0], before, state, held[k][1])):
-                    out[name].append(value)
-                state = before
-            begin = i
-        kinds = {"conv": pa.int64(), "block": pa.int64(), "before": pa.int32(), "after": pa.int32(), "blank": pa.bool_()}
-        return pa.table({n: pa.array(v, kinds[n]) for n, v in out.items()})
-
     def decode(t: pa.Table) -> pa.Table:
         out: dict[str, list] = {"conv": [], "block": [], "number": [], "goes_on": [], "role": [], "text": []}
         for (conv, block), own in _parts(t):
@@ -251,18 +334,16 @@ def format_chats(
         kinds = {"conv": pa.int64(), "block": pa.int64(), "number": pa.int32(), "goes_on": pa.bool_(), "role": pa.string(), "text": pa.string()}
         return pa.table({n: pa.array(v, kinds[n]) for n, v in out.items()})
 
-    tables = ready.groupBy("share").applyInArrow(sum_up, "conv long, block long, best binary, blank boolean")
-    tables = tables.withColumn("share", F.pmod(F.xxhash64("conv"), F.lit(4 * partitions(rows))))
-    borders = tables.groupBy("share").applyInArrow(chain, "conv long, block long, before int, after int, blank boolean")
-    joined = ready.alias("r").join(borders.alias("b"), F.expr("r.conv <=> b.conv and r.block = b.block"))
+    tables = ready.groupBy("share").applyInArrow(sum_up, TABLES)
+    found = block_borders(materialize(tables, "tables"), 4 * partitions(rows), fan)
+    joined = ready.alias("r").join(found.alias("b"), F.expr("r.conv <=> b.conv and r.block = b.block"))
     pieces = joined.select("r.*", "b.before", "b.after", "b.blank").groupBy("share").applyInArrow(
         decode, "conv long, block long, number int, goes_on boolean, role string, text string"
     )
     pieces = materialize(pieces, "turns")
     # A turn's number: turns begun in earlier blocks of the transcript and before it in its own.
     begun = pieces.groupBy("conv", "block").agg(F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).alias("n"), F.max(F.col("goes_on").cast("int")).alias("open"))
-    earlier = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = begun.withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    begun = running_sum(begun, ["conv"], ["block"], "n", "upto").withColumn("earlier", F.col("upto") - F.col("n"))
     numbered = pieces.alias("p").join(begun.alias("g"), F.expr("p.conv <=> g.conv and p.block = g.block"))
     turn = (F.col("g.earlier") + F.col("p.number") - F.col("g.open")).cast("long")
     numbered = numbered.select(F.col("p.conv").alias("conv_id"), turn.alias("turn"), "p.block", "p.role", "p.text")

@@ -125,6 +125,41 @@ def test_blocks_do_not_change_the_turns(sent, chats):
     assert len(turns(3)) > 50
 
 
+def test_tables_of_tables_keep_the_best_path():
+    r = np.random.default_rng(5)
+    model = chat_format.from_counts(r.integers(0, 9, (7, 6)).astype(float), r.integers(0, 9, (6, chat_format.SYMBOLS)).astype(float))
+    for _ in range(30):
+        blocks = [[] if r.random() < 0.3 else r.integers(0, chat_format.SYMBOLS, r.integers(1, 5)).tolist() for _ in range(7)]
+        lines = [o for b in blocks for o in b]
+        if not lines:
+            continue
+        tables = [(np.stack([chat_format.table(model, b)] * 2) if b else None, not b) for b in blocks]
+        whole, _ = chat_format.chained(tables)
+        assert whole[0] == pytest.approx(chat_format.table(model, lines))
+        halves = [chat_format.chained(tables[:3]), chat_format.chained(tables[3:])]
+        assert chat_format.chained(halves)[0] == pytest.approx(whole)
+        best = chat_format.viterbi(model, lines)
+        ends = np.cumsum([len(b) for b in blocks])
+        want = [(i, best[e - len(b) - 1] if e > len(b) else chat_format.START, best[e - 1]) for i, (b, e) in enumerate(zip(blocks, ends)) if b]
+        assert [f[:3] for f in chat_format.borders(tables)] == want
+        top = chat_format.borders(halves)
+        below = [(i + 3 * k, *f) for k, *given in top for i, *f in chat_format.borders(tables[3 * k :][: 3 + k], *given)]
+        assert [f[:3] for f in below] == want
+
+
+def test_a_tree_of_blocks_gives_the_same_turns(sent, chats):
+    raw, model = chats
+    blank = sent.createDataFrame([(9_000_001, i, "\n\n") for i in range(9)], "conv_id long, turn long, text string")
+    some = raw.drop("role").filter("conv_id < 40").unionByName(blank)
+    some = some.unionByName(some.withColumn("turn", F.col("conv_id") * 100 + F.col("turn")).withColumn("conv_id", F.lit(None).cast("long")))
+
+    def turns(**more):
+        found = chat_format.format_chats(some, model, **more).collect()
+        return sorted((r["conv_id"] or -1, r["turn"], r["role"], r["text"]) for r in found)
+
+    assert turns(block_turns=1, fan=3) == turns(block_turns=2, fan=2) == turns()
+
+
 def test_equal_and_null_turns_are_cut_into_blocks(sent, chats):
     _, model = chats
     # Fewer spaces before a marker sort later, so speakers take turns in the order of texts too.
