@@ -16,6 +16,7 @@ compared as strings; a null id is the string "null". Extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapframe.llm.blocks import BLOCK_BYTES, array, document_blocks, unpack
+from lapframe.llm.blocks import BLOCK_BYTES, array, release, slices
 from lapframe.llm.words import LETTERS, Words, utf8
-from lapframe.session import materialize
+from lapframe.session import materialize, new_path
 
 WINDOW = 10
 PASS_WORDS = 2_000_000
+#: Places that are followed at once, beside those of one window's rarest word.
+CANDIDATES = 1 << 18
 U64 = np.uint64
 
 INDEX = "block long, docs binary, n_words binary, terms binary, counts binary, places binary"
@@ -46,8 +49,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, blob in zip(batch["block"], batch["docs"]):
-                part = unpack(blob.as_buffer())
+            for part in slices(batch, "text", block_bytes):
                 words = Words(*utf8(part["text"]), LETTERS)
                 h = words.hashes(lower=True)
                 place = (np.arange(len(words)) + words.texts_of()).astype(np.uint32)
@@ -55,7 +57,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 terms, counts = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "block": [block.as_py()],
+                        "block": [uuid.uuid4().int >> 65],
                         "docs": [_ids(part)],
                         "n_words": [words.counts.astype(np.int64).tobytes()],
                         "terms": [terms.tobytes()],
@@ -64,9 +66,27 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     },
                     pa.schema([("block", pa.int64())] + [(c, pa.binary()) for c in "docs n_words terms counts places".split()]),
                 )
+                del words, h, place, order, terms, counts
+                release()
 
-    blocks = document_blocks(docs, F.col(id_col), F.col(text_col), block_bytes)
-    return materialize(blocks.mapInArrow(run, INDEX), "postings")
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("string").alias("text"))
+    return _written(rows.mapInArrow(run, INDEX), "postings")
+
+
+#: How tables of rows of some megabytes are written: pages of a row or two and row groups of a few. Parquet would else
+#: look at its buffers only every 100 rows, and hold as many, in memory that executors keep.
+LARGE_ROWS = {
+    "parquet.page.size.row.check.min": "1",
+    "parquet.block.size.row.check.min": "1",
+    "parquet.block.size": str(16 << 20),
+}
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = new_path(df.sparkSession, name)
+    df.write.options(**LARGE_ROWS).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _ids(part: pa.Table) -> bytes:
@@ -146,7 +166,7 @@ def phrases(postings: Postings, windows: np.ndarray, rarity: np.ndarray) -> Iter
     sizes = postings.sizes[windows]
     rows = rows[(sizes > 0).all(axis=1)]
     first = windows[rows, order[rows, 0]]
-    cuts = np.searchsorted(np.cumsum(postings.sizes[first]), np.arange(1 << 20, postings.sizes[first].sum() + (1 << 20), 1 << 20))
+    cuts = np.searchsorted(np.cumsum(postings.sizes[first]), np.arange(CANDIDATES, postings.sizes[first].sum() + CANDIDATES, CANDIDATES))
     for part in np.split(np.arange(len(rows)), np.unique(cuts[cuts < len(rows)])):
         if not len(part):
             continue
@@ -184,6 +204,7 @@ def corpus_counts(index: DataFrame, terms: np.ndarray) -> np.ndarray:
                 yield pa.RecordBatch.from_pydict(
                     {"term": np.searchsorted(sent.value, own[at]), "n": counts[at].astype(np.int64)}
                 )
+                release()
 
     found = index.select("terms", "counts").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     table = found.toArrow()
@@ -236,6 +257,8 @@ def search(index: DataFrame, queries: Queries, within: int | None = None, finish
                         "items": pa.array([sorted({q.names[i] for i in f}) for f in found], pa.list_(pa.string())),
                     }
                 )
+                del postings, steps, hit, found, row
+                release()
 
     if finish is None:
         return index.mapInArrow(run, HITS)
