@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 MAX_GROUP_ROWS_CONF = "spark.lapframe.maxGroupRows"
 MAX_GROUP_ROWS_DEFAULT = 4_000_000
 
+# Applications and folders of which it is known that the driver sees what tasks write there.
+_reached: set[tuple[str, str]] = set()
+
 
 def build_session(app: str = "lapframe", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators were tuned for."""
@@ -43,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``, and it must be on storage that all nodes share.
+    A plain path or ``file:`` may be such storage, mounted on every node, or the disk of one machine,
+    where tables would lose rows. So the executors are asked, once for each application.
     Only a local session may fall back to a temporary folder, which goes when Python ends; there
     every task sees the same disk.
     """
@@ -50,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not context.master.startswith("local") and _is_local_path(spark, configured):
-            raise RuntimeError(f"spark.checkpoint.dir is {configured!r}, a folder of one machine")
+            _require_reached(spark, configured)
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
         return configured
@@ -70,6 +75,22 @@ def _is_local_path(spark: SparkSession, path: str) -> bool:
     return path.startswith("file:")
 
 
+def _require_reached(spark: SparkSession, folder: str) -> None:
+    """Raise unless the driver finds the rows that tasks on the executors write below the folder."""
+    context = spark.sparkContext
+    if (context.applicationId, folder) in _reached:
+        return
+    tasks = max(2, context.defaultParallelism)
+    written = f"{folder}/probe-{uuid.uuid4().hex}"
+    spark.range(0, tasks, 1, tasks).write.parquet(written)
+    found = spark.read.schema("id long").parquet(written).count()
+    path = context._jvm.org.apache.hadoop.fs.Path(written)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    if found != tasks:
+        raise RuntimeError(f"spark.checkpoint.dir is {folder!r}, a folder of one machine")
+    _reached.add((context.applicationId, folder))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
