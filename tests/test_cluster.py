@@ -68,7 +68,7 @@ def test_a_folder_that_tasks_do_not_share_is_refused(spark, tmp_path):
     assert not os.listdir(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["baseline_lookup", "baseline_predictions", "boosted_tree_splits", "corner_elev_change", "corner_radius", "corner_spacing"])
+@pytest.mark.parametrize("name", ["baseline_lookup", "baseline_predictions", "boosted_tree_splits", "corner_elev_change", "corner_radius", "corner_spacing", "corner_speeds"])
 def test_query_on_a_cluster(spark, mounted, tables, name):
     con = duckdb.connect()
     for table in ("lineitem", "embeddings"):
